@@ -1,0 +1,126 @@
+import numpy as np
+import pytest
+from helpers import assert_close, bars_frame, indicator_loops, rows_by_date
+from pyspark.sql import functions as F
+
+from tickertone.operators.indicators import (
+    indicator_builder, indicator_columns, register_indicator, with_indicators,
+)
+from tickertone.operators.series import along_series, number_rows
+
+
+def walk(n, seed):
+    rng = np.random.default_rng(seed)
+    return 100 + np.cumsum(rng.normal(0, 1, n)), rng.integers(1, 1000, n).astype(float)
+
+
+@pytest.mark.parametrize("n", [1, 5, 14, 15, 26, 33, 34, 35, 60, 500])
+def test_all_indicators_match_the_loops(spark, n):
+    close, volume = walk(n, n)
+    got = rows_by_date(with_indicators(bars_frame(spark, close, volume=volume), daily=True))
+    for name, want in indicator_loops(close, volume).items():
+        assert_close(got[name], want, 100)
+
+
+def test_several_blocks_in_one_series(spark):
+    """More rows than one block of the discounted sums."""
+    close, volume = walk(7000, 3)
+    got = rows_by_date(with_indicators(bars_frame(spark, close, volume=volume), daily=True))
+    for name, want in indicator_loops(close, volume).items():
+        assert_close(got[name], want, 1e3 if name != "OBV" else 1e6)
+
+
+def test_long_series_are_split_with_the_same_result(spark):
+    close, volume = walk(20_000, 4)
+    long = bars_frame(spark, close, "LONG", volume)
+    short = bars_frame(spark, close[:200], "SHORT", volume[:200])
+    got = rows_by_date(
+        with_indicators(long.union(short).repartition(7), limit=10_000, segment=4096)
+    )
+    for ticker, n in (("LONG", 20_000), ("SHORT", 200)):
+        one = got[got.ticker == ticker]
+        assert len(one) == n
+        for name, want in indicator_loops(close[:n], volume[:n]).items():
+            assert_close(one[name], want, 1e3 if name != "OBV" else 1e6)
+
+
+@pytest.mark.parametrize("fast,slow,signal", [(2, 5, 3), (3, 40, 2), (2, 700, 9)])
+def test_other_periods(spark, fast, slow, signal):
+    """Short periods need shorter blocks; a late seed moves the blocks."""
+    close, volume = walk(1500, 5)
+    spec = {
+        "M": ("MACD", {"fastperiod": fast, "slowperiod": slow, "signalperiod": signal}),
+        "E1": ("EMA", {"timeperiod": 1}), "E2": ("EMA", {"timeperiod": 2}),
+        "E300": ("EMA", {"timeperiod": 300}), "R2": ("RSI", {"timeperiod": 2}),
+    }
+    got = rows_by_date(with_indicators(bars_frame(spark, close, volume=volume), spec, daily=True))
+    from helpers import smooth_loop
+    line = (smooth_loop(close, fast, 2 / (fast + 1), slow - 1)
+            - smooth_loop(close, slow, 2 / (slow + 1), slow - 1))
+    want = smooth_loop(line, signal, 2 / (signal + 1), slow + signal - 2)
+    assert_close(got["M_signal"], want, 100)
+    assert_close(got["E1"], close, 100)
+    assert_close(got["E2"], smooth_loop(close, 2, 2 / 3, 1), 100)
+    assert_close(got["E300"], smooth_loop(close, 300, 2 / 301, 299), 100)
+
+
+def test_constant_and_rising_close(spark):
+    flat = rows_by_date(with_indicators(bars_frame(spark, [50.0] * 40), daily=True))
+    assert (flat["RSI"].dropna() == 0).all() and flat["RSI"].notna().sum() == 26
+    assert np.abs(flat["MACD"].dropna()).max() < 1e-9
+    assert (flat["OBV"] == 10).all()
+    rising = rows_by_date(with_indicators(bars_frame(spark, range(1, 41)), daily=True))
+    assert_close(rising["RSI"].dropna(), [100.0] * 26)
+
+
+def test_macd_is_seeded_at_the_slow_average(spark):
+    close, _ = walk(60, 6)
+    got = rows_by_date(with_indicators(bars_frame(spark, close * 50), daily=True))
+    assert abs(got["MACD"][33] - (got["EMA_12"][33] - got["EMA_26"][33])) > 1e-6
+
+
+def test_order_and_partitioning_do_not_matter(spark):
+    close, volume = walk(300, 7)
+    bars = bars_frame(spark, close, volume=volume)
+    one = rows_by_date(with_indicators(bars.coalesce(1), daily=True))
+    other = rows_by_date(with_indicators(bars.orderBy(F.rand(1)).repartition(13), daily=True))
+    assert one.equals(other)
+
+
+def test_null_ticker_is_in_no_series_and_nan_is_missing(spark):
+    bars = bars_frame(spark, [1.0, float("nan"), 3.0]).union(bars_frame(spark, [1.0], None))
+    got = rows_by_date(with_indicators(bars, {"MOM": ("MOM", {"timeperiod": 1})}, daily=True))
+    assert len(got) == 3 and got["MOM"].isna().all()
+
+
+def test_registry(spark):
+    register_indicator("DOUBLE", lambda ctx, out: [{out: F.col("close") * 2}])
+    got = rows_by_date(with_indicators(bars_frame(spark, [1.0, 2.0]), {"D": ("DOUBLE", {})}, daily=True))
+    assert list(got["D"]) == [2.0, 4.0]
+    with pytest.raises(ValueError):
+        indicator_builder("NOPE")
+    assert indicator_columns(["close", "MACD_hist", "RSI", "vix"]) == ["RSI", "MACD_hist"]
+
+
+def test_row_numbers_without_gathering_a_series(spark):
+    bars = bars_frame(spark, range(500), "A", gap=3).union(bars_frame(spark, range(3), "B"))
+    got = rows_by_date(number_rows(bars.repartition(5), ["ticker"]))
+    assert list(got["row"]) == [*range(500), *range(3)]
+
+
+@pytest.mark.parametrize("segment", [40, 64, 100])
+def test_segments_keep_running_and_last_seen_values(spark, segment):
+    close, volume = walk(1000, 8)
+    bars = bars_frame(spark, close, volume=volume).withColumn(
+        "vix", F.when(F.dayofyear("date") % 97 == 1, F.dayofyear("date").cast("double"))
+    )
+    def build(ctx):
+        return [
+            {"total": ctx.running_sum("total", F.col("volume")), "seen": ctx.last_seen("seen", F.col("vix")),
+             "next": ctx.lead(F.col("close")), "m": ctx.mean(F.col("close"), 30)},
+        ]
+    plain = rows_by_date(along_series(bars, build, daily=True))
+    split = rows_by_date(along_series(bars, build, limit=10, segment=segment))
+    assert (plain["total"] == split["total"]).all()
+    for c in ("seen", "next", "m"):
+        assert_close(split[c], plain[c], 100)

@@ -127,17 +127,19 @@ def with_indicators(
             *[indicator_builder(kind)(ctx, out, **params) for out, (kind, params) in chosen.items()]
         )
 
-    return along_series(bars, build, **series)
+    full = along_series(bars, build, **series)
+    first = [*bars.columns, *indicator_columns(full.columns, chosen)]
+    return full.select(*first, *[c for c in full.columns if c not in first])
 
 
 def indicator_columns(
     columns: list[str], indicators: Mapping[str, tuple[str, dict]] | None = None
 ) -> list[str]:
-    """The indicator columns among ``columns``; MACD stands for three of them."""
+    """The indicator columns among ``columns``, in registry order; MACD makes three."""
     chosen = Settings().indicators if indicators is None else indicators
-    names = set()
+    names: list[str] = []
     for out, (kind, _) in chosen.items():
-        names.add(out)
+        names.append(out)
         if kind.upper() == "MACD":
-            names |= {f"{out}_signal", f"{out}_hist"}
-    return [c for c in columns if c in names]
+            names += [f"{out}_signal", f"{out}_hist"]
+    return [c for c in names if c in columns]

@@ -248,15 +248,17 @@ def along_series(
     daily: bool = False,
     limit: int = LONG_SERIES,
     segment: int = SEGMENT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns ``build`` describes to every row of every key's series.
 
     Rows without a key belong to no series and are left out. ``daily`` states that a key
-    has at most one row per day, which bounds the series; otherwise it is checked.
+    has at most one row per day, which bounds the series; otherwise the rows per key of
+    ``counted`` (a cheaper frame with the same rows) or of ``df`` are checked.
     """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    split = not daily and has_long_series(df, keys, limit)
+    split = not daily and has_long_series(df if counted is None else counted, keys, limit)
     ctx = SeriesContext(tuple(keys), order, split)
     stages = build(ctx)
     if split:

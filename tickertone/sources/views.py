@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def mean_cents(col: str) -> Column:
     """The mean in whole cents, rounded down."""
     total = F.sum(F.round(F.col(col) * 100).cast("bigint"))
-    return F.floor(total / F.count(F.lit(1)))
+    return F.call_function("div", total, F.count(F.lit(1)))
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
