@@ -47,7 +47,7 @@ def text_or_empty(col: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased words of the whole text, without empty ones."""
-    return F.filter(F.split(F.lower(text_or_empty(text)), SPACES), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text_or_empty(text)), SPACES), "")
 
 
 def word_key(word: Column) -> Column:

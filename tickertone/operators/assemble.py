@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NOT_FEATURES
@@ -69,24 +69,30 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
 
 
 def fit_min_max(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """min and max of every column, in one row (or one row per ``by`` key)."""
-    parts = [
+    """The factor and shift that map every column's minimum to 0 and maximum to 1, in one
+    row (or one row per ``by`` key). A constant column keeps its unit and becomes 0."""
+    ends = [
         part
         for c in columns
         for part in (F.min(no_nan(F.col(c).cast("double"))).alias(f"{c}__min"),
                      F.max(no_nan(F.col(c).cast("double"))).alias(f"{c}__max"))
     ]
-    return df.groupBy(*by).agg(*parts) if by else df.agg(*parts)
-
-
-def _scaled(c: str) -> Column:
-    low, high, x = F.col(f"{c}__min"), F.col(f"{c}__max"), F.col(c).cast("double")
-    return F.when(high > low, (x - low) / (high - low)).when(x.isNotNull(), x - low)
+    bounds = df.groupBy(*by).agg(*ends) if by else df.agg(*ends)
+    maps = []
+    for c in columns:
+        low, high = F.col(f"{c}__min"), F.col(f"{c}__max")
+        factor = F.when(high > low, 1.0 / F.nullif(high - low, F.lit(0.0))).otherwise(1.0)
+        maps += [factor.alias(f"{c}__factor"), (-low * factor).alias(f"{c}__shift")]
+    return bounds.select(*by, *maps)
 
 
 def scale_min_max(
     df: DataFrame, bounds: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(x - min) / (max - min); 0 for a constant column; nulls stay null."""
+    """One multiplication and one addition per value; nulls stay null."""
     joined = df.join(bounds, list(by), "left") if by else df.crossJoin(F.broadcast(bounds))
-    return joined.select(*[_scaled(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return joined.select(*[
+        (F.col(c) * F.col(f"{c}__factor") + F.col(f"{c}__shift")).alias(c) if c in columns
+        else F.col(c)
+        for c in df.columns
+    ])

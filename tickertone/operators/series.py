@@ -46,6 +46,7 @@ class SeriesContext:
     blocks: dict[str, Column] = field(default_factory=dict)
     totals: dict[str, Column] = field(default_factory=dict)
     seen: dict[str, Column] = field(default_factory=dict)
+    _windows: dict[str, WindowSpec] = field(default_factory=dict)
 
     row = property(lambda self: F.col("__row"))
 
@@ -54,20 +55,23 @@ class SeriesContext:
 
     def _block_column(self, block: int = BLOCK_ROWS, start: int = 0) -> str:
         name = f"__blk_{block}_{start}"
-        self.blocks[name] = F.floor((F.col("__pos") - start) / block)
+        if name not in self.blocks:
+            self.blocks[name] = F.floor((F.col("__pos") - start) / block)
         return name
 
     def _along(self, blk: str | None = None) -> WindowSpec:
         # Ordering by block first lets this window and the block window share one sort.
         blk = blk or self._block_column()
-        return Window.partitionBy(*self._parts()).orderBy(blk, self.order)
+        if blk not in self._windows:
+            self._windows[blk] = Window.partitionBy(*self._parts()).orderBy(blk, self.order)
+        return self._windows[blk]
 
     def _in_block(self, blk: str) -> WindowSpec:
-        return (
-            Window.partitionBy(*self._parts(), blk)
-            .orderBy(self.order)
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
+        name = f"in {blk}"
+        if name not in self._windows:
+            inside = Window.partitionBy(*self._parts(), blk).orderBy(self.order)
+            self._windows[name] = inside.rowsBetween(Window.unboundedPreceding, 0)
+        return self._windows[name]
 
     def _reach(self, back: int = 0, ahead: int = 0) -> None:
         self.back += back

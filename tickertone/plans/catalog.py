@@ -40,7 +40,9 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Round for comparing, with the same plain arithmetic as the SQL."""
+    scale = float(10**digits)
+    return df.withColumns({c: F.floor(F.col(c) * scale + 0.5) / scale for c in columns})
 
 
 def _clock(col: str = "date") -> Column:
@@ -180,8 +182,7 @@ def headline_class(spark: SparkSession, sf: str) -> DataFrame:
     """Most likely class (0 neg, 1 neu, 2 pos) and confidence of every headline."""
     scores = [F.col("neg"), F.col("neu"), F.col("pos")]
     return views.scored_headlines(spark, sf).select(
-        "news_id", argmax_class(scores).alias("class"),
-        F.round(confidence(*scores), 6).alias("conf"),
+        "news_id", argmax_class(scores).alias("class"), confidence(*scores).alias("conf")
     )
 
 
@@ -324,9 +325,7 @@ def _dataset(spark: SparkSession, sf: str) -> DataFrame:
 def full_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Bars, index and tone to the scaled training table."""
     out = _dataset(spark, sf)
-    return out.withColumns(
-        {c: F.round(c, 5) for c, t in out.dtypes if t == "double"}
-    )
+    return rounded(out, 5, *[c for c, t in out.dtypes if t == "double"])
 
 
 # Splits and samples ------------------------------------------------------------------
@@ -369,10 +368,10 @@ def lookback_samples(spark: SparkSession, sf: str) -> DataFrame:
     features = ("close", "volume", "MOM")
     made = samples.lookback_samples(_tagged(spark, sf), features, **DAILY)
     steps = [
-        F.round(F.col("seq")[i][j], 4).alias(f"{name}_{i}")
+        F.col("seq")[i][j].alias(f"{name}_{i}")
         for i in range(Settings().lookback) for j, name in enumerate(features)
     ]
-    scores = [F.round(F.col("tone")[i], 6).alias(n) for i, n in enumerate(("pos", "neg", "neu"))]
+    scores = [F.col("tone")[i].alias(n) for i, n in enumerate(("pos", "neg", "neu"))]
     return made.select("split", "ticker", "date", *steps, *scores, "label")
 
 

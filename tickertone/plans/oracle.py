@@ -242,8 +242,14 @@ def _with(body: str, *names: str) -> str:
     return f"WITH {recursive}{parts} {body}"
 
 
+def _round(value: str, digits: int, name: str) -> str:
+    """Plain arithmetic, so that both engines round the same way."""
+    scale = f"CAST({10**digits} AS DOUBLE)"
+    return f"floor(({value}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale} AS {name}"
+
+
 def _rounded(columns: str, digits: int) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())
+    return ", ".join(_round(c, digits, c) for c in columns.split())
 
 
 _CLOCK = "strftime(date, '%Y-%m-%d %H:%M:%S') AS date"
@@ -255,9 +261,11 @@ _DATASET = (
 
 def _scaled(columns: str, digits: int, over: str = "") -> str:
     return ", ".join(
-        f"round(CASE WHEN max({c}) OVER ({over}) > min({c}) OVER ({over}) "
-        f"THEN ({c} - min({c}) OVER ({over})) / (max({c}) OVER ({over}) - min({c}) OVER ({over})) "
-        f"ELSE {c} - min({c}) OVER ({over}) END, {digits}) AS {c}"
+        _round(
+            f"CASE WHEN max({c}) OVER ({over}) > min({c}) OVER ({over}) "
+            f"THEN ({c} - min({c}) OVER ({over})) / (max({c}) OVER ({over}) - min({c}) OVER ({over})) "
+            f"ELSE {c} - min({c}) OVER ({over}) END", digits, c,
+        )
         for c in columns.split()
     )
 
@@ -265,8 +273,9 @@ def _scaled(columns: str, digits: int, over: str = "") -> str:
 def _tone_join(tone: str, prefix: str, neu: int, vix: str) -> str:
     return _with(
         f"""SELECT b.date, b.ticker, b.close, {vix} AS vix,
-            round(coalesce(t.pos, 0), 6) AS {prefix}pos, round(coalesce(t.neg, 0), 6) AS {prefix}neg,
-            round(coalesce(t.neu, {neu}), 6) AS {prefix}neu
+            {_round('coalesce(t.pos, 0)', 6, prefix + 'pos')},
+            {_round('coalesce(t.neg, 0)', 6, prefix + 'neg')},
+            {_round(f'coalesce(t.neu, {neu})', 6, prefix + 'neu')}
         FROM with_vix b LEFT JOIN {tone} t ON t.ticker = b.ticker AND t.date = b.date""",
         "with_vix", tone,
     )
@@ -316,19 +325,19 @@ def _report(pairs: str, names: list[str], by: str, *needs: str) -> str:
         SELECT {lead}'weighted avg', {_zero('sum(precision * support)', 'sum(support)')},
                {_zero('sum(recall * support)', 'sum(support)')},
                {_zero('sum(f1 * support)', 'sum(support)')}, sum(support) FROM shares {group})
-      SELECT {lead}class, round(precision, 4) AS precision, round(recall, 4) AS recall,
-             round(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM every"""
+      SELECT {lead}class, {_round('precision', 4, 'precision')}, {_round('recall', 4, 'recall')},
+             {_round('f1', 4, 'f1')}, CAST(support AS BIGINT) AS support FROM every"""
     return _with(body, *needs)
 
 
 def _lookback() -> str:
     features = ("close", "volume", "MOM")
     steps = ", ".join(
-        f"round(lag({f}, {10 - i}) OVER w, 4) AS {f}_{i}" for i in range(10) for f in features
+        f"lag({f}, {10 - i}) OVER w AS {f}_{i}" for i in range(10) for f in features
     )
     return _with(
         f"""SELECT * EXCLUDE (nth) FROM (
-            SELECT split, ticker, date, {steps}, {_rounded('pos neg neu', 6)}, label,
+            SELECT split, ticker, date, {steps}, pos, neg, neu, label,
                    row_number() OVER w AS nth
             FROM tagged WINDOW w AS (PARTITION BY split, ticker ORDER BY date))
         WHERE nth > 10""",
@@ -360,7 +369,7 @@ def oracles() -> dict[str, str]:
         "bars",
     )
     softmax = ", ".join(
-        f"round(exp(s_{c} - top) / (exp(s_neg - top) + exp(s_neu - top) + exp(s_pos - top)), 6) AS {c}"
+        _round(f"exp(s_{c} - top) / (exp(s_neg - top) + exp(s_neu - top) + exp(s_pos - top))", 6, c)
         for c in ("neg", "neu", "pos")
     )
     return {
@@ -403,7 +412,7 @@ def oracles() -> dict[str, str]:
         ),
         "headline_class": _with(
             """SELECT news_id, CASE WHEN neg >= neu AND neg >= pos THEN 0 WHEN neu >= pos THEN 1
-                      ELSE 2 END AS class, round(greatest(neg, neu, pos), 6) AS conf FROM scored""",
+                      ELSE 2 END AS class, greatest(neg, neu, pos) AS conf FROM scored""",
             "scored",
         ),
         "sma": _indicators("SMA_5 SMA_30"),
@@ -416,9 +425,9 @@ def oracles() -> dict[str, str]:
             "SMA_5 SMA_30 EMA_12 EMA_26 RSI MACD MACD_signal MACD_hist MOM OBV"
         ),
         "series_split": _with(
-            f"""SELECT m.date, m.ticker, round(CASE WHEN rn >= 4 THEN a5 END, 4) AS SMA_5,
-                       round(CASE WHEN rn >= 29 THEN a30 END, 4) AS SMA_30,
-                       round(m.close - before14, 4) AS MOM, round(obv, 4) AS OBV,
+            f"""SELECT m.date, m.ticker, {_round('CASE WHEN rn >= 4 THEN a5 END', 4, 'SMA_5')},
+                       {_round('CASE WHEN rn >= 29 THEN a30 END', 4, 'SMA_30')},
+                       {_round('m.close - before14', 4, 'MOM')}, {_round('obv', 4, 'OBV')},
                        v.filled AS vix, next_close
                 FROM moved m JOIN with_vix v ON v.ticker = m.ticker AND v.date = m.date""",
             "moved", "with_vix",
@@ -461,9 +470,8 @@ def oracles() -> dict[str, str]:
         "split_counts": _with("SELECT split, count(*) AS rows FROM tagged GROUP BY split", "tagged"),
         "lookback_samples": _lookback(),
         "class_weight": _with(
-            """SELECT count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,
-                      round(CAST(count(*) FILTER (label = 0) AS DOUBLE)
-                            / nullif(count(*) FILTER (label = 1), 0), 6) AS pos_weight
+            f"""SELECT count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,
+                      {_round('CAST(count(*) FILTER (label = 0) AS DOUBLE) / nullif(count(*) FILTER (label = 1), 0)', 6, 'pos_weight')}
                FROM tagged WHERE split = 'train'""",
             "tagged",
         ),
@@ -501,8 +509,8 @@ def oracles() -> dict[str, str]:
             "doc_scores",
         ),
         "tone_batch_scorer": _with(
-            """SELECT news_id, round(p / (p + n + u), 6) AS pos, round(n / (p + n + u), 6) AS neg,
-                      round(u / (p + n + u), 6) AS neu
+            f"""SELECT news_id, {_round('p / (p + n + u)', 6, 'pos')}, {_round('n / (p + n + u)', 6, 'neg')},
+                      {_round('u / (p + n + u)', 6, 'neu')}
                FROM (SELECT news_id, CAST(length(headline) % 7 + 1 AS DOUBLE) AS p,
                             CAST(length(headline) % 5 + 1 AS DOUBLE) AS n,
                             CAST(length(headline) % 3 + 1 AS DOUBLE) AS u FROM headlines)""",
@@ -522,9 +530,9 @@ def oracles() -> dict[str, str]:
                       ELSE 2 END AS pred FROM corpus JOIN scored ON news_id = doc_id""",
             ["neg", "neu", "pos"], "", "corpus", "scored",
         ),
-        "weighted_log_loss": _with("SELECT round(avg(loss), 6) AS loss FROM losses", "losses"),
+        "weighted_log_loss": _with(f"SELECT {_round('avg(loss)', 6, 'loss')} FROM losses", "losses"),
         "batched_log_loss": _with(
-            """SELECT round(avg(loss), 6) AS loss FROM (
+            f"""SELECT {_round('avg(loss)', 6, 'loss')} FROM (
                  SELECT avg(loss) AS loss FROM (
                    SELECT (row_number() OVER (ORDER BY ticker, date) - 1) // 32 AS batch, loss
                    FROM losses) GROUP BY batch)""",

@@ -20,6 +20,8 @@ def get_spark(app: str = "tickertone", cores: str | int = "*", **conf) -> SparkS
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites for error messages cost several round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -56,3 +58,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Share the rows of an input too small to fill the cores, for heavy work per row.
+
+    A file of one row group is one task, however much is done to each row. An input of
+    more files than cores (known from its size, without a job) is left as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    per_task = 1 << 20
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= cores * (128 << 20):
+        return df
+    tasks = max(1, min(cores, size // per_task + 1))
+    return df.repartition(tasks, key) if tasks > 1 else df

@@ -11,6 +11,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
@@ -84,7 +86,7 @@ def feed_b(spark: SparkSession, folder: str) -> DataFrame:
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled sentences: 0 negative, 1 neutral, 2 positive."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     label = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
     return (
         table(spark, folder, "labels")
