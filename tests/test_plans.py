@@ -47,4 +47,4 @@ def test_assembly_has_no_python_and_broadcasts_the_calendar_only(spark):
 def test_copies_and_daily_tone_are_combined_before_the_shuffle(spark):
     both = news.union_feeds(views.feed_a(spark, SF), views.feed_b(spark, SF))
     assert "partial_min" in plan(news.drop_copies(both))
-    assert "partial_max_by" in plan(news.daily_tone(views.scored_headlines(spark, SF)))
+    assert "partial_min_by" in plan(news.daily_tone(views.scored_headlines(spark, SF)))

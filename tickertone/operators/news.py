@@ -36,27 +36,29 @@ def count_by_feed(news: DataFrame) -> DataFrame:
 
 
 def _by_day(scored: DataFrame) -> DataFrame:
+    """Headlines with their day as ``date`` and their time of arrival as ``time``."""
     return (
-        scored.withColumn("date", day(F.col("date")))
+        scored.withColumn("time", F.col("date")).withColumn("date", day(F.col("date")))
         .where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
     )
 
 
 def daily_tone_most_confident(
-    scored: DataFrame, scores: Sequence[str] = ("pos", "neg", "neu"), tie: str = "news_id"
+    scored: DataFrame, scores: Sequence[str] = ("pos", "neg", "neu"),
+    tie: Sequence[str] = ("news_id",),
 ) -> DataFrame:
-    """The scores of each (ticker, day)'s most confident headline; ties: smallest key.
+    """The scores of each (ticker, day)'s most confident headline; of equally confident
+    ones the first by the ``tie`` columns.
 
     An aggregate with map-side combine rather than a ranking window: a day with a third
     of all headlines is reduced before it is shuffled.
     """
-    rank = F.struct(F.col("__conf"), (-F.col(tie)).alias("__tie"))
     best = (
         _by_day(scored)
         .withColumn("__conf", confidence(*[F.col(c) for c in scores]))
         .where(F.col("__conf").isNotNull())
         .groupBy("ticker", "date")
-        .agg(F.max_by(F.struct(*scores), rank).alias("__best"))
+        .agg(F.min_by(F.struct(*scores), F.struct(-F.col("__conf"), *tie)).alias("__best"))
     )
     return best.select("ticker", "date", *[F.col(f"__best.{c}").alias(c) for c in scores])
 

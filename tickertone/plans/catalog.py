@@ -443,21 +443,20 @@ def tone_pipeline_score(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("news_id", "ticker", _clock(), "cnn_neg", "cnn_neu", "cnn_pos")
 
 
-def _length_scorer() -> tone.Scorer:
-    def score(texts):
-        n = np.array([len(t) for t in texts], dtype="int64")
-        raw = np.stack([n % 7 + 1, n % 5 + 1, n % 3 + 1], axis=1).astype("float64")
-        return raw / raw.sum(axis=1, keepdims=True)
-
-    return score
-
-
 @query
 def tone_batch_scorer(spark: SparkSession, sf: str) -> DataFrame:
     """A plugged-in batch model; here its scores come from the text's length."""
-    return rounded(
-        tone.score_batches(views.headlines(spark, sf), _length_scorer), 6, "pos", "neg", "neu"
-    )
+
+    def load() -> tone.Scorer:
+        def score(texts):
+            n = np.array([len(t) for t in texts], dtype="int64")
+            raw = np.stack([n % 7 + 1, n % 5 + 1, n % 3 + 1], axis=1).astype("float64")
+            return raw / raw.sum(axis=1, keepdims=True)
+
+        return score
+
+    scored = tone.score_batches(views.headlines(spark, sf), load)
+    return rounded(scored, 6, "pos", "neg", "neu")
 
 
 # Metrics -----------------------------------------------------------------------------
