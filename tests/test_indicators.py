@@ -124,3 +124,19 @@ def test_segments_keep_running_and_last_seen_values(spark, segment):
     assert (plain["total"] == split["total"]).all()
     for c in ("seen", "next", "m"):
         assert_close(split[c], plain[c], 100)
+
+
+def test_many_rows_a_day_are_split_too(spark):
+    """Minute bars of one hot ticker, which holds most of all rows."""
+    close, volume = walk(30_000, 9)
+    minute = F.timestamp_add("MINUTE", F.col("id"), F.expr("TIMESTAMP_NTZ'2024-03-09 12:00:00'"))
+    values = spark.createDataFrame(
+        [(i, float(c), float(v)) for i, (c, v) in enumerate(zip(close, volume))],
+        "id long, close double, volume double",
+    ).select(minute.alias("date"), F.lit("HOT").alias("ticker"), "close", "volume")
+    spec = {"E": ("EMA", {"timeperiod": 12}), "O": ("OBV", {}), "S": ("SMA", {"timeperiod": 5})}
+    got = rows_by_date(with_indicators(values.repartition(9), spec, limit=5000, segment=2048))
+    want = indicator_loops(close, volume)
+    assert_close(got["E"], want["EMA_12"], 1e3)
+    assert_close(got["O"], want["OBV"], 1e6)
+    assert_close(got["S"], want["SMA_5"], 1e3)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NOT_FEATURES
-from ..functions.columns import no_nan
+from ..functions.columns import day, no_nan
 from .series import SeriesContext, Stages, along_series
 
 # A day without news is neutral.
@@ -21,7 +21,7 @@ def with_market_index(bars: DataFrame, index: DataFrame, value: str = "vix") ->
     The index is reduced to one row per day first, so what is broadcast is bounded by the
     calendar (a century is 36,525 rows) however many bars there are.
     """
-    by_day = index.groupBy("date").agg(F.max(no_nan(F.col(value))).alias(value))
+    by_day = index.groupBy(day(F.col("date")).alias("date")).agg(F.max(no_nan(F.col(value))).alias(value))
     return bars.join(F.broadcast(by_day), "date", "left")
 
 

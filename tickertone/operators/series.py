@@ -21,12 +21,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 
 LONG_SERIES = 100_000      # rows per key above which series are split
 SEGMENT_ROWS = 65_536
-CHUNK_DAYS = 64            # rows are counted per key and this many days
 BLOCK_ROWS = 2048
 # exp(-39) is below a double's relative rounding; exp(600) is far from overflow.
 FORGOTTEN, OVERFLOW = 39.0, 600.0
@@ -161,24 +161,35 @@ def in_step(*plans: Stages) -> Stages:
     return out
 
 
-def has_long_series(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether any key has more than ``limit`` rows; reads only the key columns."""
-    long = df.groupBy(*keys).count().where(F.col("count") > limit)
-    return not long.isEmpty()
+def _seconds(df: DataFrame, order: str) -> Column:
+    """The order column on a line of seconds, whatever the session's zone."""
+    if isinstance(df.schema[order].dataType, T.TimestampType):
+        return F.unix_seconds(F.col(order))
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01'")
+    return F.timestamp_diff("SECOND", epoch, F.col(order).cast("timestamp_ntz"))
+
+
+def longest_series(df: DataFrame, keys: Sequence[str], order: str = "date") -> tuple[int, int]:
+    """Rows and length in seconds of the longest series; reads keys and order only."""
+    when = _seconds(df, order)
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.max(when) - F.min(when)).alias("span")
+    )
+    row = per_key.agg(F.max(F.struct("n", "span")).alias("top")).first()
+    return (row.top.n, row.top.span or 0) if row.top else (0, 0)
 
 
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: str = "date",
-    out: str = "row", chunk_days: int = CHUNK_DAYS,
+    out: str = "row", chunk_seconds: int = 64 * 86_400,
 ) -> DataFrame:
     """0-based position of each row in its key's series, without gathering the series.
 
-    Rows are numbered inside (key, some days); the counts of earlier chunks, one small
-    row each, are then added up per key.
+    Rows are numbered inside (key, stretch of time); the counts of earlier stretches, one
+    small row each, are then added up per key.
     """
-    chunk = F.floor(F.datediff(F.to_date(order), F.lit("1970-01-01")) / chunk_days)
     parts = [*keys, "__chunk"]
-    marked = df.withColumn("__chunk", chunk)
+    marked = df.withColumn("__chunk", F.floor(_seconds(df, order) / chunk_seconds))
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -194,9 +205,11 @@ def number_rows(
     )
 
 
-def _segments(df: DataFrame, ctx: SeriesContext, size: int) -> DataFrame:
+def _segments(df: DataFrame, ctx: SeriesContext, size: int, rows: int, span: int) -> DataFrame:
     size = max(size, ctx.back, ctx.ahead)
-    numbered = number_rows(df, ctx.keys, ctx.order, "__row")
+    # About one segment's rows per stretch of time, in the longest series.
+    chunk = max(1, span * size // max(rows, 1))
+    numbered = number_rows(df, ctx.keys, ctx.order, "__row", chunk)
     own = F.floor(F.col("__row") / size)
     following = F.when((own + 1) * size - F.col("__row") <= ctx.back, own + 1)
     previous = F.when((own > 0) & (F.col("__row") - own * size < ctx.ahead), own - 1)
@@ -262,11 +275,14 @@ def along_series(
     """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    split = not daily and has_long_series(df if counted is None else counted, keys, limit)
+    rows = span = 0
+    if not daily:
+        rows, span = longest_series(df if counted is None else counted, keys, order)
+    split = rows > limit
     ctx = SeriesContext(tuple(keys), order, split)
     stages = build(ctx)
     if split:
-        laid = _segments(df, ctx, segment)
+        laid = _segments(df, ctx, segment, rows, span)
     else:
         plain = Window.partitionBy(*keys).orderBy(order)
         laid = df.withColumn("__row", (F.row_number().over(plain) - 1).cast("bigint"))

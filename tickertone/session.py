@@ -60,17 +60,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_INPUT = 1 << 30
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share the rows of an input too small to fill the cores, for heavy work per row.
+    """Share the rows of a small input among the cores, for heavy work per row.
 
-    A file of one row group is one task, however much is done to each row. An input of
-    more files than cores (known from its size, without a job) is left as it is.
+    A file of one row group is one task, however much is done to each row. Inputs of a
+    gigabyte or more (by the optimizer's estimate, without a job) are left as they are.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    per_task = 1 << 20
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= cores * (128 << 20):
+    tasks = min(cores, (size >> 20) + 1)
+    if size >= SMALL_INPUT or tasks == 1:
         return df
-    tasks = max(1, min(cores, size // per_task + 1))
-    return df.repartition(tasks, key) if tasks > 1 else df
+    return df.repartition(tasks, key)
