@@ -53,17 +53,17 @@ class SeriesContext:
     def _parts(self) -> list[str]:
         return [*self.keys, "__seg"] if self.split else list(self.keys)
 
-    def _block_column(self, block: int = BLOCK_ROWS, start: int = 0) -> str:
+    def _block_column(self, block: int, start: int) -> str:
         name = f"__blk_{block}_{start}"
         if name not in self.blocks:
             self.blocks[name] = F.floor((F.col("__pos") - start) / block)
         return name
 
-    def _along(self, blk: str | None = None) -> WindowSpec:
+    def _along(self, blk: str = "") -> WindowSpec:
         # Ordering by block first lets this window and the block window share one sort.
-        blk = blk or self._block_column()
         if blk not in self._windows:
-            self._windows[blk] = Window.partitionBy(*self._parts()).orderBy(blk, self.order)
+            order = [blk, self.order] if blk else [self.order]
+            self._windows[blk] = Window.partitionBy(*self._parts()).orderBy(*order)
         return self._windows[blk]
 
     def _in_block(self, blk: str) -> WindowSpec:
