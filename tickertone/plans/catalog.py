@@ -230,6 +230,21 @@ def series_split(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out.select("date", "ticker", *columns, "vix", "next_close"), 4, *columns)
 
 
+@query
+def hot_series(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as ticks of one ticker, every indicator over its segments."""
+    value = F.col("value")
+    ticks = views.table(spark, sf, "events").select(
+        F.col("ts").alias("date"), F.lit("ALL").alias("ticker"),
+        value.alias("open"), value.alias("high"), value.alias("low"), value.alias("close"),
+        F.lit(1.0).alias("volume"),
+    )
+    full = with_indicators(ticks, limit=500, segment=4096)
+    columns = [c for c in full.columns if c not in ticks.columns]
+    stamp = F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date")
+    return rounded(full, 4, *columns).select(stamp, *columns)
+
+
 # Assembly ----------------------------------------------------------------------------
 
 

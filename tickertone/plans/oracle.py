@@ -223,7 +223,9 @@ NEEDS: dict[str, tuple[str, ...]] = {
 }
 
 
-def _with(body: str, *names: str) -> str:
+def _with(body: str, *names: str, **instead: str) -> str:
+    """``body`` after the common tables it needs; ``instead`` replaces some of them."""
+    tables = {**CTE, **instead}
     order: list[str] = []
 
     def need(name: str) -> None:
@@ -235,7 +237,7 @@ def _with(body: str, *names: str) -> str:
     for name in names:
         need(name)
     parts = ", ".join(
-        f"{n} AS {'MATERIALIZED ' if n in ('moved', 'rules', 'ids', 'vocab') else ''}({CTE[n]})"
+        f"{n} AS {'MATERIALIZED ' if n in ('moved', 'rules', 'ids', 'vocab') else ''}({tables[n]})"
         for n in order
     )
     recursive = "RECURSIVE " if "smoothed" in order else ""
@@ -424,6 +426,14 @@ def oracles() -> dict[str, str]:
         "indicators_all": _indicators(
             "SMA_5 SMA_30 EMA_12 EMA_26 RSI MACD MACD_signal MACD_hist MOM OBV"
         ),
+        "hot_series": _with(
+            f"""SELECT strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date,
+                       {_rounded('SMA_5 SMA_30 EMA_12 EMA_26 RSI MACD MACD_signal MACD_hist MOM OBV', 4)}
+                FROM signals""",
+            "signals",
+            bars="""SELECT ts AS date, 'ALL' AS ticker, value AS open, value AS high, value AS low,
+                           value AS close, CAST(1 AS DOUBLE) AS volume FROM events""",
+        ),
         "series_split": _with(
             f"""SELECT m.date, m.ticker, {_round('CASE WHEN rn >= 4 THEN a5 END', 4, 'SMA_5')},
                        {_round('CASE WHEN rn >= 29 THEN a30 END', 4, 'SMA_30')},

@@ -15,6 +15,7 @@ def get_spark(app: str = "tickertone", cores: str | int = "*", **conf) -> SparkS
         SparkSession.builder.appName(app)
         .master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
