@@ -1,5 +1,6 @@
 """The physical plans the engine relies on."""
 
+from tickertone import session
 from tickertone.config import Settings
 from tickertone.operators import news
 from tickertone.operators.indicators import with_indicators
@@ -48,3 +49,28 @@ def test_copies_and_daily_tone_are_combined_before_the_shuffle(spark):
     both = news.union_feeds(views.feed_a(spark, SF), views.feed_b(spark, SF))
     assert "partial_min" in plan(news.drop_copies(both))
     assert "partial_min_by" in plan(news.daily_tone(views.scored_headlines(spark, SF)))
+
+
+def test_bars_and_tone_meet_without_another_shuffle(spark):
+    """Both are aggregates by ticker and day: the join needs no exchange of its own."""
+    best = news.daily_tone(views.scored_headlines(spark, SF))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(assemble(views.bars(spark, SF), views.vix(spark, SF), best, daily=True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # bars, tone, index (one row per day), and the one along the tickers
+    assert text.count("Exchange hashpartitioning") == 4 and "SortMergeJoin" in text
+
+
+def test_shuffles_and_small_inputs_are_sized(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    docs = views.table(spark, SF, "documents").select("doc_id", "text")
+    try:
+        assert session.size_shuffles(spark, docs) == int(before)
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+        assert session.size_shuffles(spark, docs) > 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    monkeypatch.setattr(session, "SMALL_INPUT", 1)
+    assert "Exchange" not in plan(session.spread(docs, "doc_id"))

@@ -18,7 +18,7 @@ from ..operators.models import DirectionModel, fit_direction, predict, variant_c
 from ..operators.news import count_by_feed, daily_tone, drop_copies, union_feeds
 from ..operators.samples import holdout
 from ..operators.tone import Scorer, ToneFit, fit_best_tone, score_batches, score_tone
-from ..session import stage
+from ..session import size_shuffles, stage
 from ..sources.readers import (
     read_bars,
     read_corpus,
@@ -59,6 +59,7 @@ def ingest(
     prices = read_bars(
         spark, *bars, tickers=settings.tickers, start=settings.start, end=settings.end
     )
+    size_shuffles(spark, prices, both)
     write_table(prices, f"{home}/raw/ohlcv")
     write_table(read_vix(spark, *vix), f"{home}/raw/vix")
     write_table(drop_copies(both), f"{home}/raw/news")
@@ -81,12 +82,14 @@ def prepare(
     news = raw.withColumn("time", F.col("date")).withColumn("date", day(F.col("date")))
     scored = score_batches(news, load_a, news.columns, names=MODEL_A, batch=batch)
     write_table(scored, f"{home}/processed/news_finbert")
+    bars = read_parquet(spark, f"{home}/raw/ohlcv")
+    size_shuffles(spark, bars, raw)
     a = read_parquet(spark, f"{home}/processed/news_finbert").select(
         "ticker", F.col("time").alias("date"), "headline", "feed",
         *[F.col(f"finbert_{c}").alias(c) for c in ("pos", "neg", "neu")],
     )
     dataset = build_dataset(
-        read_parquet(spark, f"{home}/raw/ohlcv"), read_parquet(spark, f"{home}/raw/vix"),
+        bars, read_parquet(spark, f"{home}/raw/vix"),
         daily_tone(a, tie=ARRIVAL), settings, tickers=settings.tickers, **options,
     )
     write_table(dataset, f"{home}/processed/dataset")
@@ -114,6 +117,7 @@ def _samples(
     spark: SparkSession, home: str, variant: str, how: str, settings: Settings
 ) -> DataFrame:
     dataset = read_parquet(spark, f"{home}/processed/dataset")
+    size_shuffles(spark, dataset)
     scored_b = None
     if variant_columns(variant) == CNN_SCORES:
         scored_b = read_parquet(spark, f"{home}/processed/news_cnn")

@@ -62,18 +62,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 SMALL_INPUT = 1 << 30
+SHUFFLE_BYTES = 128 << 20
+MOST_PARTITIONS = 100_000
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate, without a job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Share the rows of a small input among the cores, for heavy work per row.
 
     A file of one row group is one task, however much is done to each row. Inputs of a
-    gigabyte or more (by the optimizer's estimate, without a job) are left as they are.
+    gigabyte or more are left as they are.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    tasks = min(cores, (size >> 20) + 1)
+    size = estimated_bytes(df)
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, (size >> 20) + 1)
     if size >= SMALL_INPUT or tasks == 1:
         return df
     return df.repartition(tasks, key)
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Raise the number of shuffle partitions so that one holds about 128 MB of ``inputs``.
+
+    Never lowers it: adaptive execution merges partitions that turn out small, but cannot
+    divide ones that were planned too large.
+    """
+    name = "spark.sql.shuffle.partitions"
+    wanted = min(MOST_PARTITIONS, sum(map(estimated_bytes, inputs)) // SHUFFLE_BYTES)
+    partitions = max(int(spark.conf.get(name)), wanted)
+    spark.conf.set(name, str(partitions))
+    return partitions

@@ -29,7 +29,7 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     price = F.col("l_extendedprice")
     return (
-        lines.groupBy(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("ticker"))
+        lines.groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"))
         .agg(
             F.min(price).alias("low"),
             F.max(price).alias("high"),
