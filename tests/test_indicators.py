@@ -51,7 +51,7 @@ def test_other_periods(spark, fast, slow, signal):
     spec = {
         "M": ("MACD", {"fastperiod": fast, "slowperiod": slow, "signalperiod": signal}),
         "E1": ("EMA", {"timeperiod": 1}), "E2": ("EMA", {"timeperiod": 2}),
-        "E300": ("EMA", {"timeperiod": 300}), "R2": ("RSI", {"timeperiod": 2}),
+        "E300": ("EMA", {"timeperiod": 300}), "R 2": ("RSI", {"timeperiod": 2}),
     }
     got = rows_by_date(with_indicators(bars_frame(spark, close, volume=volume), spec, daily=True))
     from helpers import smooth_loop

@@ -72,18 +72,16 @@ def fit_min_max(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     """The factor and shift that map every column's minimum to 0 and maximum to 1, in one
     row (or one row per ``by`` key). A constant column keeps its unit and becomes 0."""
     ends = [
-        part
-        for c in columns
-        for part in (F.min(no_nan(F.col(c).cast("double"))).alias(f"{c}__min"),
-                     F.max(no_nan(F.col(c).cast("double"))).alias(f"{c}__max"))
+        f"{fn}(nanvl(double(`{c}`), NULL)) AS `{c}__{fn}`" for c in columns for fn in ("min", "max")
     ]
-    bounds = df.groupBy(*by).agg(*ends) if by else df.agg(*ends)
-    maps = []
-    for c in columns:
-        low, high = F.col(f"{c}__min"), F.col(f"{c}__max")
-        factor = F.when(high > low, 1.0 / F.nullif(high - low, F.lit(0.0))).otherwise(1.0)
-        maps += [factor.alias(f"{c}__factor"), (-low * factor).alias(f"{c}__shift")]
-    return bounds.select(*by, *maps)
+    bounds = df.groupBy(*by).agg(*map(F.expr, ends)) if by else df.selectExpr(*ends)
+    factors = [
+        f"coalesce(1D / nullif(`{c}__max` - `{c}__min`, 0D), 1D) AS `{c}__factor`" for c in columns
+    ]
+    shifts = [f"-`{c}__min` * `{c}__factor` AS `{c}__shift`" for c in columns]
+    return bounds.selectExpr("*", *factors).selectExpr(
+        *by, *[f"`{c}__factor`" for c in columns], *shifts
+    )
 
 
 def scale_min_max(
@@ -91,8 +89,7 @@ def scale_min_max(
 ) -> DataFrame:
     """One multiplication and one addition per value; nulls stay null."""
     joined = df.join(bounds, list(by), "left") if by else df.crossJoin(F.broadcast(bounds))
-    return joined.select(*[
-        (F.col(c) * F.col(f"{c}__factor") + F.col(f"{c}__shift")).alias(c) if c in columns
-        else F.col(c)
+    return joined.selectExpr(*[
+        f"`{c}` * `{c}__factor` + `{c}__shift` AS `{c}`" if c in columns else f"`{c}`"
         for c in df.columns
     ])

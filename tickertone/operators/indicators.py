@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.columns import no_nan
 from .series import SeriesContext, Stages, along_series, in_step
 
 Builder = Callable[..., Stages]
@@ -31,12 +30,13 @@ def indicator_builder(name: str) -> Builder:
         raise ValueError(f"unknown indicator: {name}") from None
 
 
-def _close() -> Column:
-    return no_nan(F.col("close").cast("double"))
+# A missing number is null, never NaN.
+CLOSE = "nanvl(double(close), NULL)"
+VOLUME = "nanvl(double(volume), NULL)"
 
 
-def _volume() -> Column:
-    return no_nan(F.col("volume").cast("double"))
+def _close() -> Column:
+    return F.expr(CLOSE)
 
 
 def sma(ctx: SeriesContext, out: str, timeperiod: int = 30) -> Stages:
@@ -45,7 +45,7 @@ def sma(ctx: SeriesContext, out: str, timeperiod: int = 30) -> Stages:
 
 def ema(ctx: SeriesContext, out: str, timeperiod: int = 30) -> Stages:
     # The empty first stage puts the sums next to those that need a stage before them.
-    return [{}, *ctx.smooth(out, _close(), 2.0 / (timeperiod + 1), timeperiod, timeperiod - 1)]
+    return [{}, *ctx.smooth(out, CLOSE, 2.0 / (timeperiod + 1), timeperiod, timeperiod - 1)]
 
 
 def rsi(ctx: SeriesContext, out: str, timeperiod: int = 14) -> Stages:
@@ -57,8 +57,8 @@ def rsi(ctx: SeriesContext, out: str, timeperiod: int = 14) -> Stages:
     }
     wilder = dict(alpha=1.0 / timeperiod, n=timeperiod, first=timeperiod)
     averages = in_step(
-        ctx.smooth(f"{up}_avg", F.col(up), **wilder),
-        ctx.smooth(f"{down}_avg", F.col(down), **wilder),
+        ctx.smooth(f"{up}_avg", f"`{up}`", **wilder),
+        ctx.smooth(f"{down}_avg", f"`{down}`", **wilder),
     )
     gain, loss = F.col(f"{up}_avg"), F.col(f"{down}_avg")
     strength = F.when(gain + loss == 0, 0.0).otherwise(gain * 100.0 / (gain + loss))
@@ -76,11 +76,11 @@ def macd(
     ready = start + signalperiod - 1
     fast, slow, line, signal = (f"__{out}_{p}" for p in ("fast", "slow", "line", "signal"))
     lines = in_step(
-        ctx.smooth(fast, _close(), 2.0 / (fastperiod + 1), fastperiod, start),
-        ctx.smooth(slow, _close(), 2.0 / (slowperiod + 1), slowperiod, start),
+        ctx.smooth(fast, CLOSE, 2.0 / (fastperiod + 1), fastperiod, start),
+        ctx.smooth(slow, CLOSE, 2.0 / (slowperiod + 1), slowperiod, start),
     )
     # Rows before the start carry no weight in the signal, but must not be null there.
-    full_line = F.coalesce(F.col(line), F.lit(0.0))
+    full_line = f"coalesce(`{line}`, 0D)"
     signals = ctx.smooth(signal, full_line, 2.0 / (signalperiod + 1), signalperiod, ready)
     shown = F.when(ctx.row >= ready, F.col(line))
     return [
@@ -98,11 +98,11 @@ def mom(ctx: SeriesContext, out: str, timeperiod: int = 10) -> Stages:
 
 def obv(ctx: SeriesContext, out: str) -> Stages:
     step = f"__{out}_step"
-    before = ctx.lag(_close())
+    close, volume, before = _close(), F.expr(VOLUME), ctx.lag(_close())
     signed = (
-        F.when(ctx.row == 0, _volume())
-        .when(_close() > before, _volume())
-        .when(_close() < before, -_volume())
+        F.when(ctx.row == 0, volume)
+        .when(close > before, volume)
+        .when(close < before, -volume)
         .otherwise(0.0)
     )
     return [{step: signed}, {out: ctx.running_sum(out, F.col(step))}]

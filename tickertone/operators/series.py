@@ -46,7 +46,7 @@ class SeriesContext:
     blocks: dict[str, Column] = field(default_factory=dict)
     totals: dict[str, Column] = field(default_factory=dict)
     seen: dict[str, Column] = field(default_factory=dict)
-    _windows: dict[str, WindowSpec] = field(default_factory=dict)
+    _window: WindowSpec | None = None
 
     row = property(lambda self: F.col("__row"))
 
@@ -59,19 +59,10 @@ class SeriesContext:
             self.blocks[name] = F.floor((F.col("__pos") - start) / block)
         return name
 
-    def _along(self, blk: str = "") -> WindowSpec:
-        # Ordering by block first lets this window and the block window share one sort.
-        if blk not in self._windows:
-            order = [blk, self.order] if blk else [self.order]
-            self._windows[blk] = Window.partitionBy(*self._parts()).orderBy(*order)
-        return self._windows[blk]
-
-    def _in_block(self, blk: str) -> WindowSpec:
-        name = f"in {blk}"
-        if name not in self._windows:
-            inside = Window.partitionBy(*self._parts(), blk).orderBy(self.order)
-            self._windows[name] = inside.rowsBetween(Window.unboundedPreceding, 0)
-        return self._windows[name]
+    def _along(self) -> WindowSpec:
+        if self._window is None:
+            self._window = Window.partitionBy(*self._parts()).orderBy(self.order)
+        return self._window
 
     def _reach(self, back: int = 0, ahead: int = 0) -> None:
         self.back += back
@@ -106,19 +97,20 @@ class SeriesContext:
             self.seen[name] = value
         return F.last(value, ignorenulls=True).over(whole)
 
-    def smooth(self, name: str, x: Column, alpha: float, n: int, first: int) -> Stages:
+    def smooth(self, name: str, x: str, alpha: float, n: int, first: int) -> Stages:
         """e[t] = e[t-1] + alpha * (x[t] - e[t-1]), seeded at row ``first`` with the mean
-        of the ``n`` values that end there; null before. Two stages:
+        of the ``n`` values that end there; null before. ``x`` is SQL text. Two stages:
 
         1. the discounted sum of what the row's block has seen so far, the seed included;
         2. plus what the end of the block before is still worth.
 
         Blocks are long enough for older ones to be worth nothing, and short enough for
-        the growing weights (1 - alpha)**-k to stay finite.
+        the growing weights (1 - alpha)**-k to stay finite. Ordering the second window by
+        block first lets both share one sort.
         """
         if alpha >= 1.0:
-            return [{}, {name: F.when(self.row >= first, x)}]
-        keep, decay = 1.0 - alpha, -math.log1p(-alpha)
+            return [{}, {name: F.expr(f"CASE WHEN __row >= {first} THEN {x} END")}]
+        decay = -math.log1p(-alpha)
         block, start = BLOCK_ROWS, 0
         if not FORGOTTEN <= block * decay <= OVERFLOW:
             block = 2 ** int(math.log2(OVERFLOW / decay))
@@ -126,26 +118,23 @@ class SeriesContext:
             start = first - n + 1
         blk = self._block_column(block, start)
         self._reach(back=math.ceil(FORGOTTEN / decay) + first + 1)
-        local = f"__{name}_local"
-        k = F.pmod(F.col("__pos") - start, F.lit(block)).cast("double")
-
-        def grow(value: Column, power: Column) -> Column:
-            return value * F.pow(F.lit(keep), power)
-
-        weighted = (
-            F.when(self.row <= first - n, 0.0)
-            .when(self.row <= first, x / float(n) * keep ** -float(first - start))
-            .when(F.col("__pos") == 0, grow(x, -k))
-            .otherwise(grow(x * alpha, -k))
-        )
-        ends = F.when(k == block - 1, F.col(local))
-        before = F.last(ends, ignorenulls=True).over(
-            self._along(blk).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carried = grow(F.coalesce(before, F.lit(0.0)), k + 1)
+        local, keep = f"__{name}_local", f"{1.0 - alpha!r}D"
+        seed_weight = (1.0 - alpha) ** -float(first - start) / n
+        k = f"double(pmod(__pos - {start}, {block}))"
+        parts, order = ", ".join(f"`{p}`" for p in self._parts()), f"`{self.order}`"
+        weighted = f"""CASE WHEN __row <= {first - n} THEN 0D
+            WHEN __row <= {first} THEN ({x}) * {seed_weight!r}D
+            WHEN __pos = 0 THEN ({x}) * pow({keep}, -{k})
+            ELSE ({x}) * {alpha!r}D * pow({keep}, -{k}) END"""
+        seen = f"""sum({weighted}) OVER (PARTITION BY {parts}, {blk} ORDER BY {order}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+        before = f"""last(CASE WHEN {k} = {block - 1} THEN `{local}` END, true) OVER (
+            PARTITION BY {parts} ORDER BY {blk}, {order}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+        done = f"`{local}` + coalesce({before}, 0D) * pow({keep}, {k} + 1)"
         return [
-            {local: grow(F.sum(weighted).over(self._in_block(blk)), k)},
-            {name: F.when(self.row >= first, F.col(local) + carried)},
+            {local: F.expr(f"{seen} * pow({keep}, {k})")},
+            {name: F.expr(f"CASE WHEN __row >= {first} THEN {done} END")},
         ]
 
 

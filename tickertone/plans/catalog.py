@@ -41,8 +41,11 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round for comparing, with the same plain arithmetic as the SQL."""
-    scale = float(10**digits)
-    return df.withColumns({c: F.floor(F.col(c) * scale + 0.5) / scale for c in columns})
+    one = f"1e{digits}D"
+    return df.selectExpr(*[
+        f"floor(`{c}` * {one} + 0.5D) / {one} AS `{c}`" if c in columns else f"`{c}`"
+        for c in df.columns
+    ])
 
 
 def _clock(col: str = "date") -> Column:
