@@ -158,14 +158,19 @@ def _seconds(df: DataFrame, order: str) -> Column:
     return F.timestamp_diff("SECOND", epoch, F.col(order).cast("timestamp_ntz"))
 
 
-def longest_series(df: DataFrame, keys: Sequence[str], order: str = "date") -> tuple[int, int]:
-    """Rows and length in seconds of the longest series; reads keys and order only."""
-    when = _seconds(df, order)
+def long_series(
+    df: DataFrame, keys: Sequence[str], order: str, limit: int
+) -> tuple[bool, float]:
+    """Whether a series has more than ``limit`` rows, and the seconds per row of the densest
+    such series. One aggregate that reads the keys and the order only."""
+    when, n = _seconds(df, order), F.col("n")
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), (F.max(when) - F.min(when)).alias("span")
     )
-    row = per_key.agg(F.max(F.struct("n", "span")).alias("top")).first()
-    return (row.top.n, row.top.span or 0) if row.top else (0, 0)
+    row = per_key.where(n > limit).agg(
+        F.count(F.lit(1)).alias("long"), F.min(F.col("span") / n).alias("pace")
+    ).first()
+    return row.long > 0, row.pace or 0.0
 
 
 def number_rows(
@@ -194,15 +199,14 @@ def number_rows(
     )
 
 
-def _segments(df: DataFrame, ctx: SeriesContext, size: int, rows: int, span: int) -> DataFrame:
+def _segments(df: DataFrame, ctx: SeriesContext, size: int, pace: float) -> DataFrame:
     size = max(size, ctx.back, ctx.ahead)
-    # About one segment's rows per stretch of time, in the longest series.
-    chunk = max(1, span * size // max(rows, 1))
-    numbered = number_rows(df, ctx.keys, ctx.order, "__row", chunk)
+    # In the densest series a stretch of time holds about one segment's rows.
+    numbered = number_rows(df, ctx.keys, ctx.order, "__row", max(1, int(pace * size)))
     own = F.floor(F.col("__row") / size)
     following = F.when((own + 1) * size - F.col("__row") <= ctx.back, own + 1)
     previous = F.when((own > 0) & (F.col("__row") - own * size < ctx.ahead), own - 1)
-    copies = F.filter(F.array(own, following, previous), lambda s: s.isNotNull())
+    copies = F.array_compact(F.array(own, following, previous))
     laid = (
         numbered.withColumn("__home", own)
         .withColumn("__seg", F.explode(copies))
@@ -264,14 +268,13 @@ def along_series(
     """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    rows = span = 0
+    split, pace = False, 0.0
     if not daily:
-        rows, span = longest_series(df if counted is None else counted, keys, order)
-    split = rows > limit
+        split, pace = long_series(df if counted is None else counted, keys, order, limit)
     ctx = SeriesContext(tuple(keys), order, split)
     stages = build(ctx)
     if split:
-        laid = _segments(df, ctx, segment, rows, span)
+        laid = _segments(df, ctx, segment, pace)
     else:
         plain = Window.partitionBy(*keys).orderBy(order)
         laid = df.withColumn("__row", (F.row_number().over(plain) - 1).cast("bigint"))

@@ -14,13 +14,11 @@ from ..config import Settings
 from ..functions.columns import argmax_class, confidence
 from ..operators import assemble as asm
 from ..operators import metrics, models, news, samples, text, tone
-from ..operators.indicators import with_indicators
-from ..operators.series import along_series, in_step
-from ..operators.series import SeriesContext, Stages
-from ..operators.indicators import mom, obv, sma
+from ..operators.indicators import mom, obv, sma, with_indicators
+from ..operators.series import SeriesContext, Stages, along_series, in_step
 from ..session import shared_folder, stage
 from ..sources import readers, views, writers
-from .dataset import assemble, build_dataset, scale
+from .dataset import build_dataset, scale
 from .evaluate import train_and_compare, variant_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -427,7 +425,8 @@ def encode_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """The 64 ids of every headline under the corpus vocabulary."""
     vocabulary = text.build_vocabulary(views.corpus(spark, sf), "doc_id", "sentence")
     ids = text.encode(views.headlines(spark, sf), vocabulary, "news_id", "headline")
-    return ids.select("news_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
+    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return ids.select("news_id", joined.alias("ids"))
 
 
 @query
