@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a whitespace split breaks on, Unicode spaces included.
+# The characters a whitespace split breaks on, Unicode spaces included. The
+# rare ones sit behind one range check, so that an ordinary letter costs two tests, not ten.
 SPACES = (
-    r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]+"
 )
 PAD, UNKNOWN, FIRST_WORD = 0, 1, 2
 LONGEST_PLAIN_KEY = 64
@@ -45,9 +46,13 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
-def words(text: Column) -> Column:
-    """Lower-cased words of the whole text, without empty ones."""
-    return F.array_remove(F.split(F.lower(text_or_empty(text)), SPACES), "")
+def words(text: Column, at_most: int | None = None) -> Column:
+    """Lower-cased words of the text, without empty ones: all, or the first ``at_most``."""
+    lowered = F.lower(text_or_empty(text))
+    if at_most is None:
+        return F.array_remove(F.split(lowered, SPACES), "")
+    # Splitting stops early: the words, maybe an empty piece before them, and the rest.
+    return F.slice(F.array_remove(F.split(lowered, SPACES, at_most + 2), ""), 1, at_most)
 
 
 def word_key(word: Column) -> Column:

@@ -61,7 +61,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL_INPUT = 1 << 30
+SMALL_INPUT = 128 << 20  # could be a single row group
 SHUFFLE_BYTES = 128 << 20
 MOST_PARTITIONS = 100_000
 
@@ -74,8 +74,8 @@ def estimated_bytes(df: DataFrame) -> int:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Share the rows of a small input among the cores, for heavy work per row.
 
-    A file of one row group is one task, however much is done to each row. Inputs of a
-    gigabyte or more are left as they are.
+    A file of one row group is one task, however much is done to each row. Inputs that
+    fill more than one task anyway are left as they are.
     """
     size = estimated_bytes(df)
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, (size >> 20) + 1)
