@@ -32,6 +32,7 @@ from ..sources.writers import load_model, save_model, write_csv, write_json, wri
 from .dataset import build_dataset
 from .evaluate import CNN_SCORES, variant_samples
 
+# Table and column names of the hand-over files.
 MODEL_A = ("finbert_pos", "finbert_neg", "finbert_neu")
 # Headlines have no number of their own: earlier feed, then earlier time, comes first.
 ARRIVAL = ("feed", "time", "headline")
