@@ -122,10 +122,7 @@ def _samples(
     scored_b = None
     if variant_columns(variant) == CNN_SCORES:
         scored_b = read_parquet(spark, f"{home}/processed/news_cnn")
-    # The dataset has one row per ticker and day, so its series are bounded.
-    return variant_samples(
-        dataset, variant, scored_b, how, settings, tie=ARRIVAL, daily=True
-    )
+    return variant_samples(dataset, variant, scored_b, how, settings, tie=ARRIVAL)
 
 
 def train(
