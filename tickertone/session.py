@@ -67,8 +67,9 @@ MOST_PARTITIONS = 100_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate, without a job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Bytes of all files ``df`` reads, by the optimizer's estimate, without a job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
