@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets
+from . import personal, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.scan(table(spark, folder, "documents"))
