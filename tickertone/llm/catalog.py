@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import personal, quality, secrets
+from . import language, personal, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,8 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal.scan(table(spark, folder, "documents"))
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))

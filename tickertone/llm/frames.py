@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW = "__row"
 SLICE = 1 << 16    # numbers of a long vector that travel in one row
@@ -25,7 +26,7 @@ def rows_of(df: DataFrame, **columns: Column | str) -> DataFrame:
 
 def each_batch(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
-    schema: str,
+    schema: str | T.StructType,
 ) -> DataFrame:
     """``work`` on every Arrow batch of ``df``; it returns one batch or yields several."""
     def run(batches: Batches) -> Batches:

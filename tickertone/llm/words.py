@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20  # texts are worked on about this much at a time
+CHUNK_ROWS = 4096
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -42,7 +43,8 @@ class Texts:
 
 
 def texts(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
-    """The column in pieces of about ``size`` bytes, whole texts each; a null text is empty."""
+    """The column in pieces of about ``size`` bytes and CHUNK_ROWS rows at most, whole texts
+    each; a null text is empty."""
     column = column.cast(pa.large_binary())
     n = len(column)
     if n == 0:
@@ -54,7 +56,7 @@ def texts(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
     first = 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
-        last = min(n, max(first + 1, last))
+        last = min(n, first + CHUNK_ROWS, max(first + 1, last))
         at = offsets[first:last + 1]
         yield Texts(first, data[at[0]:at[-1]], at - at[0], valid[first:last])
         first = last
