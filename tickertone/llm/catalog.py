@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, personal, quality, secrets
+from . import chat, language, mixing, personal, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +40,28 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op3_chat_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_preferences(table(spark, folder, "conversations"))
+
+
+MIX = mixing.Mix(
+    weights={
+        "domain": {"d0": 4.0, "d1": 3.0, "d2": 2.0, "d3": 1.0},
+        "lang": {"en": 4.0, "de": 3.0, "fr": 2.0, "es": 1.0},
+    },
+    share=0.6, max_epochs=2, seed=7,
+)
+
+
+@query
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    taken = mixing.select(docs, mixing.plan(docs, MIX), MIX)
+    return taken.select(
+        "doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"),
+        F.col("__source").alias("source"), F.col("__budget").alias("leaf_budget"),
+        F.col("__copies").alias("copies"),
+    )
