@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, mixing, personal, quality, secrets
+from . import chat, jaccard, language, mixing, personal, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,11 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("__source").alias("source"), F.col("__budget").alias("leaf_budget"),
         F.col("__copies").alias("copies"),
     )
+
+
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.jaccard_classes(
+        table(spark, folder, "documents"), jaccard.Rule(words=4, num=85, den=100)
+    )
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
