@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, mixing, personal, quality, secrets
+from . import chat, jaccard, language, mixing, personal, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,8 @@ def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), jaccard.Rule(words=4, num=85, den=100)
     )
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents")).drop("kept_text")

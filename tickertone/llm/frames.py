@@ -7,10 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .words import mixed
+
 ROW = "__row"
 SLICE = 1 << 16    # numbers of a long vector that travel in one row
 FAN_IN = 512       # partial vectors that one task adds up
@@ -91,3 +94,40 @@ def summed_vector(df: DataFrame, length: int) -> np.ndarray:
         numbers = np.frombuffer(zlib.decompress(row.numbers), dtype=np.float64)
         total[row.piece * SLICE:row.piece * SLICE + len(numbers)] += numbers
     return total[:length]
+
+
+SLOTS = 1 << 22  # of a filter of ids: 512 kB when broadcast, whatever the input
+
+
+def _slots(ids: pa.Array) -> np.ndarray:
+    numbers = np.asarray(ids.fill_null(-1)).astype(np.int64).view(np.uint64)
+    return (mixed(numbers) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+class IdFilter:
+    """Which ids may be among those of a table: never misses one, lets a few others through.
+
+    With many more ids than slots it lets everything through, which costs a shuffle of rows
+    that a join then drops, and changes no result.
+    """
+
+    def __init__(self, ids: DataFrame):
+        def fill(batches: Batches) -> Batches:
+            total = np.zeros(SLOTS, dtype=np.int64)
+            for batch in batches:
+                total[_slots(batch.column(0))] = 1
+            yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
+
+        filled = summed_vector(ids.mapInArrow(fill, VECTOR), SLOTS) > 0
+        self._bits = ids.sparkSession.sparkContext.broadcast(np.packbits(filled))
+
+    def holds(self, ids: pa.Array) -> pa.Array:
+        at = _slots(ids)
+        return pa.array((self._bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+
+def among(df: DataFrame, chosen: IdFilter, id_column: int = 0) -> DataFrame:
+    """Rows whose id may be among the chosen ones."""
+    return each_batch(
+        df, lambda batch: batch.filter(chosen.holds(batch.column(id_column))), df.schema
+    )

@@ -37,10 +37,11 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import words as W
 from .components import components
-from .frames import ROW, each_batch, pieces, rows_of, summed_vector, vector_rows
+from .frames import (
+    ROW, VECTOR, IdFilter, each_batch, pieces, rows_of, summed_vector, vector_rows,
+)
 
 SKETCH = 1 << 22
-NEEDED = 1 << 22       # slots of the filter that picks the texts to verify
 PAIRED = 32            # nodes of a shingle that are still paired one by one
 BLOCK = 512            # nodes of a block, on average
 BLOCK_BYTES = 8 << 20  # ... and bytes of their sets
@@ -120,7 +121,7 @@ def rarities(docs: DataFrame, rule: Rule) -> np.ndarray:
                 total += np.bincount(_slot(shingles(part, rule)[0]), minlength=SKETCH)
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
-    counts = summed_vector(docs.mapInArrow(count, "part int, piece int, numbers binary"), SKETCH)
+    counts = summed_vector(docs.mapInArrow(count, VECTOR), SKETCH)
     return np.floor(4 * np.log2(1 + counts)).astype(np.uint8)
 
 
@@ -301,23 +302,12 @@ def block_links(live: DataFrame, members: DataFrame, held: DataFrame, rule: Rule
 def needed_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     """(node, members) of the nodes to verify: whole sets, built again from the texts.
 
-    Texts are picked by a filter of NEEDED slots first, so that few of them are shuffled.
+    Texts are picked by a filter of ids first, so that few of them are worked on.
     """
-    def fill(batches):
-        total = np.zeros(NEEDED, dtype=np.int64)
-        for batch in batches:
-            ids = np.asarray(batch.column(0).fill_null(-1))
-            total += np.bincount(_id_slot(ids), minlength=NEEDED)
-        yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
-
-    filled = summed_vector(
-        members.select("doc_id").mapInArrow(fill, "part int, piece int, numbers binary"), NEEDED
-    ) > 0
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(filled))
+    chosen = IdFilter(members.select("doc_id"))
 
     def build(batch: pa.RecordBatch):
-        ids = np.asarray(batch.column(0).fill_null(-1))
-        batch = batch.filter(pa.array(np.unpackbits(shared.value)[_id_slot(ids)].astype(bool)))
+        batch = batch.filter(chosen.holds(batch.column(0)))
         for part in W.texts(batch.column(1)):
             hashes, edges = distinct_sets(part, rule)
             yield pa.RecordBatch.from_arrays(
@@ -334,11 +324,6 @@ def needed_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return built.join(wanted, "set_id").groupBy("node").agg(F.first("members").alias("members"))
 
 
-def _id_slot(ids: np.ndarray) -> np.ndarray:
-    mixed = W.mixed(ids.astype(np.int64).view(np.uint64))
-    return (mixed >> np.uint64(64 - NEEDED.bit_length() + 1)).astype(np.int64)
-
-
 def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id") -> DataFrame:
     """One row per row of ``docs``: __row, doc_id, n_shingles, component_id, n_links, first_row.
 
