@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, mixing, personal, quality, secrets, substrings
+from . import chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeats(table(spark, folder, "documents")).drop("kept_text")
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
