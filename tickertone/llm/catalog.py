@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, substrings
+from . import chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, substrings, training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,9 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return training_order.write_shards(docs, training_order.new_folder(spark))
