@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, substrings, training_order
 
@@ -59,12 +58,8 @@ MIX = mixing.Mix(
 @query
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    taken = mixing.select(docs, mixing.plan(docs, MIX), MIX)
-    return taken.select(
-        "doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"),
-        F.col("__source").alias("source"), F.col("__budget").alias("leaf_budget"),
-        F.col("__copies").alias("copies"),
-    )
+    taken = mixing.select(docs, mixing.plan(docs, MIX), MIX, "taken")
+    return taken.select("doc_id", "taken.*").withColumnRenamed("budget", "leaf_budget")
 
 
 @query

@@ -27,6 +27,13 @@ def rows_of(df: DataFrame, **columns: Column | str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(ROW), *picked)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` begins with."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def each_batch(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
     schema: str | T.StructType,

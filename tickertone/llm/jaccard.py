@@ -45,6 +45,7 @@ SKETCH = 1 << 22
 PAIRED = 32            # nodes of a shingle that are still paired one by one
 BLOCK = 512            # nodes of a block, on average
 BLOCK_BYTES = 8 << 20  # ... and bytes of their sets
+LAST = (1 << 63) - 1   # stands for a missing id where the smallest is looked for
 PROFILE = 64           # parts of the hash space that the suffix filter counts
 
 
@@ -324,17 +325,26 @@ def needed_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return built.join(wanted, "set_id").groupBy("node").agg(F.first("members").alias("members"))
 
 
-def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id") -> DataFrame:
+def jaccard_classes(
+    docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id", row: str | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: __row, doc_id, n_shingles, component_id, n_links, first_row.
 
-    ``first_row`` is the key of one row of each component, to keep one of each group by.
+    ``row`` may name a column with a unique number for each row; it is made here otherwise.
+    ``first_row`` is the row of each component with the smallest id, to keep one of each group by.
     """
     rows = rows_of(docs, doc_id=F.col(doc_id).cast("long"), text=F.col(text).cast("string"))
+    if row:
+        rows = docs.select(
+            F.col(row).alias(ROW), F.col(doc_id).cast("long").alias("doc_id"),
+            F.col(text).cast("string").alias("text"),
+        )
     rarity = rarities(rows.select("text"), rule)
     sets = stage(sets_of(rows, rule, rarity), "sets")
     classes = stage(
         sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
             F.min(ROW).alias("node"), F.min("doc_id").alias("doc_id"),
+            F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), ROW)).alias("first"),
             F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
             F.first("prefix").alias("prefix"), F.first("profile").alias("profile"),
         ), "classes",
@@ -346,7 +356,7 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="d
     lists = live.groupBy("node").agg(
         F.transform(F.array_sort(F.collect_list(often)), lambda s: s["token"]).alias("frequent")
     )
-    members = stage(classes.drop("prefix").join(lists, "node"), "members")
+    members = stage(classes.drop("prefix", "first").join(lists, "node"), "members")
     pairs = stage(paired(live, members, rule), "pairs")
     in_blocks = F.size("frequent") > 0
     in_pairs = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
@@ -363,11 +373,13 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="d
     links = stage(of_pairs.unionByName(block_links(live, members, held, rule)), "links")
     roots = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
     counted = links.groupBy("node").agg(F.sum("weight").alias("links"))
-    ids = classes.select("set_id", "node", "doc_id", "copies").join(roots, "node", "left")
+    ids = classes.select("set_id", "node", "doc_id", "first", "copies").join(roots, "node", "left")
     ids = ids.withColumn("root", F.coalesce("root", "node")).join(counted, "node", "left")
-    least = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = ids.groupBy("root").agg(
+        F.min("doc_id").alias("component_id"), F.min("first").alias("least")
+    )
     by_set = ids.join(least, "root").select(
-        "set_id", F.col("root").alias("first_row"), "component_id",
+        "set_id", F.col(f"least.{ROW}").alias("first_row"), "component_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     return sets.select(ROW, "doc_id", F.col("n").cast("long").alias("n_shingles"), "set_id").join(

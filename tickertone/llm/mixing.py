@@ -20,13 +20,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .frames import unused
 
-STRETCH_DOCS = 4096
+STRETCH_DOCS = 1024
 LEVELS = ("domain", "lang", "source")
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -147,22 +149,32 @@ def plan(docs: DataFrame, mix: Mix, text="text", **columns) -> DataFrame:
     )
 
 
-def select(docs: DataFrame, planned: DataFrame, mix: Mix, **columns) -> DataFrame:
-    """The documents that are taken, with ``copies``: how many epochs take each of them."""
+def select(docs: DataFrame, planned: DataFrame, mix: Mix, out: str, **columns) -> DataFrame:
+    """The documents that are taken, with the struct ``out``: their leaf, its budget, and
+    ``copies``, how many epochs take each of them."""
+    own, leaf = unused(docs, "__own"), unused(docs, "__leaf")
     named = leaf_columns(**columns)
-    renamed = planned.select(*[F.col(c).alias(f"__{c}") for c in planned.columns])
-    marked = docs.select("*", *[c.alias(f"__own_{n}") for n, c in named.items()])
-    match = [F.col(f"__own_{n}") == F.col(f"__{n}") for n in LEVELS]
-    key = _key(mix, F.col("__epochs"), F.col("__own_id"))
-    more = F.coalesce(key <= F.col("__last_key"), F.lit(False)).cast("long")
+    marked = docs.select("*", F.struct(*[c.alias(n) for n, c in named.items()]).alias(own))
+    planned = planned.select(F.struct("*").alias(leaf), *[F.col(c).alias(f"{leaf}_{c}") for c in LEVELS])
+    marked = marked.select("*", *[F.col(f"{own}.{c}").alias(f"{own}_{c}") for c in LEVELS])
+    match = [F.col(f"{own}_{c}") == F.col(f"{leaf}_{c}") for c in LEVELS]
+    epochs = F.col(f"{leaf}.epochs")
+    more = F.coalesce(_key(mix, epochs, F.col(f"{own}.id")) <= F.col(f"{leaf}.last_key"), F.lit(False))
+    copies = (epochs + more.cast("long")).alias("copies")
+    taken = F.struct(*[F.col(f"{leaf}.{c}").alias(c) for c in (*LEVELS, "budget")], copies)
     return (
-        marked.join(renamed, match)
-        .withColumn("__copies", F.col("__epochs") + more).where("__copies > 0")
+        marked.join(planned, match).select(*docs.columns, taken.alias(out))
+        .where(F.col(f"{out}.copies") > 0)
     )
 
 
 def mixture(docs: DataFrame, mix: Mix, **columns) -> DataFrame:
     """Each taken document once per epoch that takes it, with the columns of ``docs``."""
-    taken = select(docs, plan(docs, mix, **columns), mix, **columns)
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return taken.select(*docs.columns, copies.alias("__epoch")).drop("__epoch")
+    out = unused(docs, "__taken")
+    taken = select(docs, plan(docs, mix, **columns), mix, out, **columns)
+    # Epoch after epoch, so that copies of a text are not next to each other.
+    epochs = [
+        taken.where(F.col(f"{out}.copies") >= epoch).drop(out)
+        for epoch in range(1, mix.max_epochs + 1)
+    ]
+    return reduce(DataFrame.unionByName, epochs)
