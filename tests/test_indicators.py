@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from helpers import assert_close, bars_frame, indicator_loops, rows_by_date
 from pyspark.sql import functions as F
 
+from tickertone.config import Settings
 from tickertone.operators.indicators import (
     indicator_builder, indicator_columns, register_indicator, with_indicators,
 )
@@ -35,7 +37,7 @@ def test_long_series_are_split_with_the_same_result(spark):
     long = bars_frame(spark, close, "LONG", volume)
     short = bars_frame(spark, close[:200], "SHORT", volume[:200])
     got = rows_by_date(
-        with_indicators(long.union(short).repartition(7), limit=10_000, segment=4096)
+        with_indicators(long.union(short).repartition(7), segment=4096)
     )
     for ticker, n in (("LONG", 20_000), ("SHORT", 200)):
         one = got[got.ticker == ticker]
@@ -120,7 +122,7 @@ def test_segments_keep_running_and_last_seen_values(spark, segment):
              "next": ctx.lead(F.col("close")), "m": ctx.mean(F.col("close"), 30)},
         ]
     plain = rows_by_date(along_series(bars, build, daily=True))
-    split = rows_by_date(along_series(bars, build, limit=10, segment=segment))
+    split = rows_by_date(along_series(bars, build, segment=segment))
     assert (plain["total"] == split["total"]).all()
     for c in ("seen", "next", "m"):
         assert_close(split[c], plain[c], 100)
@@ -135,8 +137,48 @@ def test_many_rows_a_day_are_split_too(spark):
         "id long, close double, volume double",
     ).select(minute.alias("date"), F.lit("HOT").alias("ticker"), "close", "volume")
     spec = {"E": ("EMA", {"timeperiod": 12}), "O": ("OBV", {}), "S": ("SMA", {"timeperiod": 5})}
-    got = rows_by_date(with_indicators(values.repartition(9), spec, limit=5000, segment=2048))
+    got = rows_by_date(with_indicators(values.repartition(9), spec, segment=2048))
     want = indicator_loops(close, volume)
     assert_close(got["E"], want["EMA_12"], 1e3)
     assert_close(got["O"], want["OBV"], 1e6)
     assert_close(got["S"], want["SMA_5"], 1e3)
+
+
+@pytest.mark.parametrize("series", [{"daily": True}, {"segment": 900}])
+def test_long_flat_stretches_keep_every_indicator(spark, series):
+    """Flat for longer than several blocks and segments; the loops carry every value along."""
+    close, volume = walk(9000, 10)
+    close[1500:8000] = close[1500]
+    got = rows_by_date(with_indicators(bars_frame(spark, close, volume=volume), **series))
+    for name, want in indicator_loops(close, volume).items():
+        assert_close(got[name], want, 1e3 if name != "OBV" else 1e6)
+    assert got["RSI"][1500:8000].nunique() == 1 and got["RSI"][5000] > 1
+
+
+def test_a_burst_at_one_time_is_cut_too(spark):
+    """Half of a ticker's rows have the same time; no task gets more than a range of them."""
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("s"),
+        F.lit("T").alias("ticker"), (F.col("id") % 100).cast("double").alias("close"), "id",
+    ).select(F.timestamp_add("SECOND", "s", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).alias("date"),
+             "ticker", "close", "id")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")  # so few rows would be one range otherwise
+    try:
+        numbered = number_rows(rows, ["ticker"])
+    finally:
+        spark.conf.unset(name)
+    places = [r.row for r in numbered.select("row").orderBy("row").collect()]
+    assert places == list(range(40_000))
+    ranges = [pq.read_metadata(f.removeprefix("file:")).num_rows for f in set(numbered.inputFiles())]
+    assert sum(ranges) == 40_000 and max(ranges) < 20_000
+
+
+def test_rows_looked_back_on_are_those_of_the_longest_chain():
+    from tickertone.operators.series import SeriesContext
+
+    ctx, macd = (SeriesContext(("ticker",), "date", True) for _ in range(2))
+    for kind, params in Settings().indicators.values():
+        indicator_builder(kind)(ctx, kind, **params)
+    indicator_builder("MACD")(macd, "M")
+    assert ctx.back == macd.back < 900

@@ -49,20 +49,31 @@ def ema(ctx: SeriesContext, out: str, timeperiod: int = 30) -> Stages:
 
 
 def rsi(ctx: SeriesContext, out: str, timeperiod: int = 14) -> Stages:
-    up, down = f"__{out}_up", f"__{out}_down"
+    """The share of gains in the smoothed moves.
+
+    While the close does not move, both averages shrink alike and their ratio stays as it is,
+    so it is taken at the first full row and wherever the close moves, and carried over the
+    rows between. A series that has not moved at all is at 0.
+    """
+    up, down, moved = f"__{out}_up", f"__{out}_down", f"__{out}_moved"
     change = _close() - ctx.lag(_close())
     moves = {
         up: F.greatest(change, F.lit(0.0)),
         down: F.greatest(-change, F.lit(0.0)),
     }
-    wilder = dict(alpha=1.0 / timeperiod, n=timeperiod, first=timeperiod)
+    wilder = dict(alpha=1.0 / timeperiod, n=timeperiod, first=timeperiod, after=1)
     averages = in_step(
         ctx.smooth(f"{up}_avg", f"`{up}`", **wilder),
         ctx.smooth(f"{down}_avg", f"`{down}`", **wilder),
     )
     gain, loss = F.col(f"{up}_avg"), F.col(f"{down}_avg")
     strength = F.when(gain + loss == 0, 0.0).otherwise(gain * 100.0 / (gain + loss))
-    return [moves, *averages, {out: strength}]
+    moves_here = F.col(up) + F.col(down) > 0
+    known = (ctx.row == timeperiod) | ((ctx.row > timeperiod) & moves_here)
+    return [
+        moves, *averages, {moved: F.when(known, strength)},
+        {out: ctx.last_seen(out, F.col(moved), along_blocks=True)},
+    ]
 
 
 def macd(
@@ -81,7 +92,10 @@ def macd(
     )
     # Rows before the start carry no weight in the signal, but must not be null there.
     full_line = f"coalesce(`{line}`, 0D)"
-    signals = ctx.smooth(signal, full_line, 2.0 / (signalperiod + 1), signalperiod, ready)
+    signals = ctx.smooth(
+        signal, full_line, 2.0 / (signalperiod + 1), signalperiod, ready,
+        after=ctx.smoothing_reach(2.0 / (slowperiod + 1), start),
+    )
     shown = F.when(ctx.row >= ready, F.col(line))
     return [
         {},

@@ -1,10 +1,9 @@
-"""Window work along one key's time series, with a split form for long series.
+"""Window work along one key's time series, whole or cut into segments.
 
 A daily series holds at most one row per key and calendar day, so a plain window per
 key is small (a century is 36,525 rows) and costs one shuffle. Callers that can prove
-it pass ``daily=True``. For any other input the row count per key is checked first, and
-when some key is longer than ``limit`` the series are cut into segments of equal row
-count. A segment also gets copies of the rows just before (and after) it, as many as the
+it pass ``daily=True``. Any other series is cut into segments of equal row count, whatever its
+length. A segment also gets copies of the rows just before (and after) it, as many as the
 columns look back (ahead), so no task ever holds a whole long series:
 
 * sliding frames are exact, since every row they reach is in the segment;
@@ -25,7 +24,6 @@ from pyspark.sql import types as T
 
 from ..session import stage
 
-LONG_SERIES = 100_000      # rows per key above which series are split
 SEGMENT_ROWS = 65_536
 BLOCK_ROWS = 2048
 # exp(-39) is below a double's relative rounding; exp(600) is far from overflow.
@@ -44,8 +42,8 @@ class SeriesContext:
     back: int = 0
     ahead: int = 0
     blocks: dict[str, Column] = field(default_factory=dict)
-    totals: dict[str, Column] = field(default_factory=dict)
-    seen: dict[str, Column] = field(default_factory=dict)
+    totals: list[str] = field(default_factory=list)
+    seen: list[str] = field(default_factory=list)
     _window: WindowSpec | None = None
 
     row = property(lambda self: F.col("__row"))
@@ -65,7 +63,8 @@ class SeriesContext:
         return self._window
 
     def _reach(self, back: int = 0, ahead: int = 0) -> None:
-        self.back += back
+        """The farthest row any chain of columns looks at; chains run side by side."""
+        self.back = max(self.back, back)
         self.ahead = max(self.ahead, ahead)
 
     def lag(self, col: Column, n: int = 1) -> Column:
@@ -87,19 +86,33 @@ class SeriesContext:
         whole = self._along().rowsBetween(Window.unboundedPreceding, 0)
         if self.split:
             step = F.when(F.col("__own"), step)
-            self.totals[name] = step
+            self.totals.append(name)
         return F.sum(step).over(whole)
 
-    def last_seen(self, name: str, value: Column) -> Column:
-        whole = self._along().rowsBetween(Window.unboundedPreceding, 0)
+    def last_seen(self, name: str, value: Column, along_blocks: bool = False) -> Column:
+        """``along_blocks`` asks for the sort order that the last smoothing average left."""
+        order = [self.order]
+        if along_blocks and self.blocks:
+            order = [next(reversed(self.blocks)), self.order]
+        whole = Window.partitionBy(*self._parts()).orderBy(*order)
         if self.split:
             value = F.when(F.col("__own"), value)
-            self.seen[name] = value
-        return F.last(value, ignorenulls=True).over(whole)
+            self.seen.append(name)
+        return F.last(value, ignorenulls=True).over(
+            whole.rowsBetween(Window.unboundedPreceding, 0)
+        )
+
+    @staticmethod
+    def smoothing_reach(alpha: float, first: int) -> int:
+        """Rows after which a smoothing average has forgotten what was before."""
+        return 0 if alpha >= 1.0 else math.ceil(FORGOTTEN / -math.log1p(-alpha)) + first + 1
 
-    def smooth(self, name: str, x: str, alpha: float, n: int, first: int) -> Stages:
+    def smooth(
+        self, name: str, x: str, alpha: float, n: int, first: int, after: int = 0
+    ) -> Stages:
         """e[t] = e[t-1] + alpha * (x[t] - e[t-1]), seeded at row ``first`` with the mean
-        of the ``n`` values that end there; null before. ``x`` is SQL text. Two stages:
+        of the ``n`` values that end there; null before. ``x`` is SQL text and looks back
+        ``after`` rows itself. Two stages:
 
         1. the discounted sum of what the row's block has seen so far, the seed included;
         2. plus what the end of the block before is still worth.
@@ -109,6 +122,7 @@ class SeriesContext:
         block first lets both share one sort.
         """
         if alpha >= 1.0:
+            self._reach(back=after)
             return [{}, {name: F.expr(f"CASE WHEN __row >= {first} THEN {x} END")}]
         decay = -math.log1p(-alpha)
         block, start = BLOCK_ROWS, 0
@@ -117,7 +131,7 @@ class SeriesContext:
         if first >= block:  # keep the whole seed in one block
             start = first - n + 1
         blk = self._block_column(block, start)
-        self._reach(back=math.ceil(FORGOTTEN / decay) + first + 1)
+        self._reach(back=after + self.smoothing_reach(alpha, first))
         local, keep = f"__{name}_local", f"{1.0 - alpha!r}D"
         seed_weight = (1.0 - alpha) ** -float(first - start) / n
         k = f"double(pmod(__pos - {start}, {block}))"
@@ -150,64 +164,48 @@ def in_step(*plans: Stages) -> Stages:
     return out
 
 
-def _seconds(df: DataFrame, order: str) -> Column:
-    """The order column on a line of seconds, whatever the session's zone."""
-    if isinstance(df.schema[order].dataType, T.TimestampType):
-        return F.unix_seconds(F.col(order))
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01'")
-    return F.timestamp_diff("SECOND", epoch, F.col(order).cast("timestamp_ntz"))
-
-
-def long_series(
-    df: DataFrame, keys: Sequence[str], order: str, limit: int
-) -> tuple[bool, float]:
-    """Whether a series has more than ``limit`` rows, and the seconds per row of the densest
-    such series. One aggregate that reads the keys and the order only."""
-    when, n = _seconds(df, order), F.col("n")
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(when) - F.min(when)).alias("span")
-    )
-    row = per_key.where(n > limit).agg(
-        F.count(F.lit(1)).alias("long"), F.min(F.col("span") / n).alias("pace")
-    ).first()
-    return row.long > 0, row.pace or 0.0
-
-
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str = "date",
-    out: str = "row", chunk_seconds: int = 64 * 86_400,
+    df: DataFrame, keys: Sequence[str], order: str = "date", out: str = "row"
 ) -> DataFrame:
     """0-based position of each row in its key's series, without gathering the series.
 
-    Rows are numbered inside (key, stretch of time); the counts of earlier stretches, one
-    small row each, are then added up per key.
+    The rows are written once, sorted in ranges of (key, order); equal times are told apart
+    by a hash of the row, so that a range ends anywhere, also inside a burst. A row's place in
+    its range comes with the writing, and the rows of a key in earlier ranges are added up
+    from one small row per key and range.
     """
-    parts = [*keys, "__chunk"]
-    marked = df.withColumn("__chunk", F.floor(_seconds(df, order) / chunk_seconds))
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    by = [*keys, order, "__tie"]
+    placed = stage(
+        df.withColumn("__tie", F.xxhash64(*hashed))
+        .repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumn("__at", F.monotonically_increasing_id()).drop("__tie"),
+        "numbered",
+    ).withColumn("__part", F.shiftright("__at", 33))
+    own = [*keys, "__part"]
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = (
-        marked.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
-        .select(*parts, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    starts = (
+        placed.groupBy(*own)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+        .select(*own, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first"))
+                .alias("__shift"))
     )
-    inside = F.row_number().over(Window.partitionBy(*parts).orderBy(order)) - 1
     return (
-        marked.join(offsets, parts)
-        .withColumn(out, (F.col("__before") + inside).cast("bigint"))
-        .drop("__chunk", "__before")
+        placed.join(starts, own).withColumn(out, F.col("__at") + F.col("__shift"))
+        .drop("__at", "__part", "__shift")
     )
 
 
-def _segments(df: DataFrame, ctx: SeriesContext, size: int, pace: float) -> DataFrame:
+def _segments(df: DataFrame, ctx: SeriesContext, size: int) -> DataFrame:
     size = max(size, ctx.back, ctx.ahead)
-    # In the densest series a stretch of time holds about one segment's rows.
-    numbered = number_rows(df, ctx.keys, ctx.order, "__row", max(1, int(pace * size)))
+    numbered = number_rows(df, ctx.keys, ctx.order, "__row")
     own = F.floor(F.col("__row") / size)
     following = F.when((own + 1) * size - F.col("__row") <= ctx.back, own + 1)
     previous = F.when((own > 0) & (F.col("__row") - own * size < ctx.ahead), own - 1)
     copies = F.array_compact(F.array(own, following, previous))
-    laid = (
+    return (
         numbered.withColumn("__home", own)
         .withColumn("__seg", F.explode(copies))
         .withColumn("__own", F.col("__seg") == F.col("__home"))
@@ -217,26 +215,25 @@ def _segments(df: DataFrame, ctx: SeriesContext, size: int, pace: float) -> Data
         )
         .drop("__home")
     )
-    return stage(laid, "segments")  # read twice: by the columns and by their totals
 
 
 def _finish(df: DataFrame, ctx: SeriesContext) -> DataFrame:
     """Add to each segment what its running columns brought along from earlier ones."""
-    own = df.where("__own")
-    if not (ctx.totals or ctx.seen):
+    own = df.where("__own").drop(*ctx.blocks)
+    carried_on = [*ctx.totals, *ctx.seen]
+    if not carried_on:
         return own
+    own = stage(own.drop(*[c for c in own.columns if c.startswith("__")
+                           and c not in ("__seg", "__row")]), "segments")
     parts = [*ctx.keys, "__seg"]
-    per_segment = own.groupBy(*parts).agg(
-        *[F.sum(step).alias(f"__t_{name}") for name, step in ctx.totals.items()],
-        *[
-            F.max_by(value, F.when(value.isNotNull(), F.col("__row"))).alias(f"__t_{name}")
-            for name, value in ctx.seen.items()
-        ],
-    )
+    at_end = own.groupBy(*parts).agg(*[
+        F.max_by(name, F.when(F.col(name).isNotNull(), F.col("__row"))).alias(f"__t_{name}")
+        for name in carried_on
+    ])
     earlier = Window.partitionBy(*ctx.keys).orderBy("__seg").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = per_segment.select(
+    carried = at_end.select(
         *parts,
         *[F.sum(f"__t_{n}").over(earlier).alias(f"__c_{n}") for n in ctx.totals],
         *[F.last(f"__t_{n}", ignorenulls=True).over(earlier).alias(f"__c_{n}") for n in ctx.seen],
@@ -256,25 +253,19 @@ def along_series(
     keys: Sequence[str] = ("ticker",),
     order: str = "date",
     daily: bool = False,
-    limit: int = LONG_SERIES,
     segment: int = SEGMENT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns ``build`` describes to every row of every key's series.
 
     Rows without a key belong to no series and are left out. ``daily`` states that a key
-    has at most one row per day, which bounds the series; otherwise the rows per key of
-    ``counted`` (a cheaper frame with the same rows) or of ``df`` are checked.
+    has at most one row per day, which bounds the series; any other is cut into segments.
     """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    split, pace = False, 0.0
-    if not daily:
-        split, pace = long_series(df if counted is None else counted, keys, order, limit)
-    ctx = SeriesContext(tuple(keys), order, split)
+    ctx = SeriesContext(tuple(keys), order, not daily)
     stages = build(ctx)
-    if split:
-        laid = _segments(df, ctx, segment, pace)
+    if ctx.split:
+        laid = _segments(df, ctx, segment)
     else:
         plain = Window.partitionBy(*keys).orderBy(order)
         laid = df.withColumn("__row", (F.row_number().over(plain) - 1).cast("bigint"))
@@ -284,6 +275,6 @@ def along_series(
     for columns in stages:
         if columns:
             laid = laid.withColumns(columns)
-    if split:
+    if ctx.split:
         laid = _finish(laid, ctx)
     return laid.drop(*[c for c in laid.columns if c.startswith("__")])

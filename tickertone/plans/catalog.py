@@ -14,7 +14,7 @@ from ..config import Settings
 from ..functions.columns import argmax_class, confidence
 from ..operators import assemble as asm
 from ..operators import metrics, models, news, samples, text, tone
-from ..operators.indicators import mom, obv, sma, with_indicators
+from ..operators.indicators import indicator_builder, mom, sma, with_indicators
 from ..operators.series import SeriesContext, Stages, along_series, in_step
 from ..session import shared_folder, stage
 from ..sources import readers, views, writers
@@ -215,35 +215,60 @@ _indicator_query(
 )
 
 
+TEN = ("SMA_5", "SMA_30", "EMA_12", "EMA_26", "RSI", "MACD", "MACD_signal", "MACD_hist", "MOM", "OBV")
+
+
 @query
 def series_split(spark: SparkSession, sf: str) -> DataFrame:
-    """The path for long series: every ticker is cut into segments of 128 rows."""
+    """Every ticker cut into segments, with all indicators, forward fill and next close."""
     bars = asm.with_market_index(views.bars(spark, sf), views.vix(spark, sf))
 
     def build(ctx: SeriesContext) -> Stages:
-        return in_step(
-            sma(ctx, "SMA_5", 5), sma(ctx, "SMA_30", 30), mom(ctx, "MOM", 14), obv(ctx, "OBV"),
-            asm.fill_forward_stages(ctx, "vix"), asm.next_day_stages(ctx),
-        )
+        chosen = [indicator_builder(kind)(ctx, out, **p) for out, (kind, p) in INDICATORS.items()]
+        return in_step(*chosen, asm.fill_forward_stages(ctx, "vix"), asm.next_day_stages(ctx))
 
-    out = along_series(bars, build, limit=100, segment=128)
-    columns = ("SMA_5", "SMA_30", "MOM", "OBV")
-    return rounded(out.select("date", "ticker", *columns, "vix", "next_close"), 4, *columns)
+    out = along_series(bars, build, segment=128)
+    return rounded(out.select("date", "ticker", *TEN, "vix", "next_close"), 4, *TEN)
 
 
-@query
-def hot_series(spark: SparkSession, sf: str) -> DataFrame:
-    """All events as ticks of one ticker, every indicator over its segments."""
-    value = F.col("value")
-    ticks = views.table(spark, sf, "events").select(
+def _ticks(spark: SparkSession, sf: str, value: Column) -> DataFrame:
+    """All events as bars of one ticker."""
+    return views.table(spark, sf, "events").select(
         F.col("ts").alias("date"), F.lit("ALL").alias("ticker"),
         value.alias("open"), value.alias("high"), value.alias("low"), value.alias("close"),
         F.lit(1.0).alias("volume"),
     )
-    full = with_indicators(ticks, limit=500, segment=4096)
-    columns = [c for c in full.columns if c not in ticks.columns]
-    stamp = F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date")
-    return rounded(full, 4, *columns).select(stamp, *columns)
+
+
+def _stamp(col: str = "date") -> Column:
+    return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(col)
+
+
+@query
+def hot_series(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as ticks of one ticker, every indicator over its segments."""
+    full = with_indicators(_ticks(spark, sf, F.col("value")), segment=4096)
+    return rounded(full, 4, *TEN).select(_stamp(), *TEN)
+
+
+@query
+def rsi_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks that stand still for longer than several blocks and segments, whole and cut."""
+    events = views.table(spark, sf, "events")
+    n = events.agg(F.count(F.lit(1)).alias("n"))
+    still = F.when(
+        (F.col("event_id") >= F.col("n") * 0.2) & (F.col("event_id") < F.col("n") * 0.8), F.lit(50.0)
+    ).otherwise(F.col("value"))
+    ticks = events.crossJoin(F.broadcast(n)).select(
+        F.col("ts").alias("date"), F.lit("ALL").alias("ticker"), still.alias("close")
+    )
+    only = {"RSI": INDICATORS["RSI"]}
+    forms = [
+        with_indicators(ticks, only, **series).withColumn("form", F.lit(form))
+        for form, series in (("whole", DAILY), ("cut", {"segment": 1024}))
+    ]
+    both = forms[0].unionByName(forms[1])
+    return rounded(both, 4, "RSI").select("form", _stamp(), "RSI")
 
 
 # Assembly ----------------------------------------------------------------------------

@@ -434,13 +434,23 @@ def oracles() -> dict[str, str]:
             bars="""SELECT ts AS date, 'ALL' AS ticker, value AS open, value AS high, value AS low,
                            value AS close, CAST(1 AS DOUBLE) AS volume FROM events""",
         ),
+        "rsi_flat": _with(
+            f"""SELECT form, strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date, {_rounded('RSI', 4)}
+                FROM signals, (VALUES ('whole'), ('cut')) forms(form)""",
+            "signals",
+            bars="""SELECT ts AS date, 'ALL' AS ticker, 0.0::DOUBLE AS open, 0.0::DOUBLE AS high,
+                           0.0::DOUBLE AS low,
+                           CASE WHEN event_id >= n * 0.2 AND event_id < n * 0.8
+                                THEN 50.0::DOUBLE ELSE value END AS close,
+                           1.0::DOUBLE AS volume
+                    FROM events, (SELECT count(*) AS n FROM events)""",
+        ),
         "series_split": _with(
-            f"""SELECT m.date, m.ticker, {_round('CASE WHEN rn >= 4 THEN a5 END', 4, 'SMA_5')},
-                       {_round('CASE WHEN rn >= 29 THEN a30 END', 4, 'SMA_30')},
-                       {_round('m.close - before14', 4, 'MOM')}, {_round('obv', 4, 'OBV')},
+            f"""SELECT s.date, s.ticker,
+                       {_rounded('SMA_5 SMA_30 EMA_12 EMA_26 RSI MACD MACD_signal MACD_hist MOM OBV', 4)},
                        v.filled AS vix, next_close
-                FROM moved m JOIN with_vix v ON v.ticker = m.ticker AND v.date = m.date""",
-            "moved", "with_vix",
+                FROM signals s JOIN with_vix v ON v.ticker = s.ticker AND v.date = s.date""",
+            "signals", "with_vix",
         ),
         "vix_ffill": _with(
             "SELECT date, ticker, close, filled AS vix FROM with_vix", "with_vix"
