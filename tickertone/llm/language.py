@@ -158,12 +158,14 @@ def learn(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
         & ~held_out(F.col("id"))
     )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-    share = F.lit(float(max_documents << 20)) / F.col("docs")
-    sample = (
-        rows.join(counts.select("lang", share.alias("until")), "lang")
-        .where(F.col("at") < F.col("until")).select("lang", "text")
-    )
+    # One number per language reaches the driver, as do the profiles later on.
+    counts = {r.lang: r.docs for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()}
+    if not counts:
+        return Profiles({}, profile)
+    until = F.create_map(*[
+        F.lit(x) for name, n in counts.items() for x in (name, (max_documents << 20) // n)
+    ])
+    sample = rows.where(F.col("at") < F.try_element_at(until, F.col("lang"))).select("lang", "text")
     grams = each_batch(sample, _count, "lang string, code long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = (
