@@ -63,7 +63,8 @@ def test_programs(spark, home):
     files = {n: [f"{home}/landing/{n}.{'json' if n in 'ab' else 'parquet'}"] for n in ("bars", "vix", "a", "b")}
     counts = {r.name: r["rows"] for r in programs.ingest(
         spark, files["bars"], files["vix"], files["a"], files["b"], home, CHOSEN).collect()}
-    assert counts == {"feed_0": 320, "feed_1": 51, "combined": 321, "prices": 320}
+    trouble = {f"feed_{i}_{n}": 0 for i in (0, 1) for n in ("missing_paths", "bad_lines", "skipped_files")}
+    assert counts == {"feed_0": 320, "feed_1": 51, "combined": 321, "prices": 320, **trouble}
 
     dataset = programs.prepare(spark, home, model_a(), CHOSEN)
     assert dataset.count() == 2 * (160 - 34)
@@ -90,6 +91,8 @@ def test_programs(spark, home):
     assert set(table) == {"baseline", "cnn_fusion"}  # the third has not been trained
     csv = spark.read.schema(readers.METRICS).option("header", True).csv(f"{home}/results/comparison").collect()
     assert {r.model: r for r in csv} == table
+    report = spark.read.json(f"{home}/results/baseline_report").toPandas()
+    assert set(report["class"]) == {"Down", "Up", "accuracy", "macro avg", "weighted avg"}
     cells = spark.read.json(f"{home}/results/baseline_confusion").toPandas()
     dates = sorted(pdf.date.unique())
     n_test = sum(d >= dates[-int(len(dates) * 0.25)] for d in dates)

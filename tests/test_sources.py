@@ -118,3 +118,29 @@ def test_sinks(spark, tmp_path):
     assert spark.read.schema(df.schema).json(str(tmp_path / "j")).count() == 2
     writers.write_csv(df, str(tmp_path / "c"))
     assert spark.read.option("header", True).schema(df.schema).csv(str(tmp_path / "c")).count() == 2
+
+
+def test_one_missing_path_or_bad_line_costs_nothing_else(spark, tmp_path):
+    good = {"ticker": "A", "datetime": 0, "headline": "h"}
+    (tmp_path / "a.json").write_text(json.dumps(good) + "\n{not json\n" + json.dumps(good) + "\n")
+    (tmp_path / "b.json").write_text(json.dumps({**good, "ticker": "B"}) + "\n")
+    (tmp_path / "c.json").write_text("")
+    (tmp_path / "d.json.gz").write_bytes(b"no gzip at all")
+    paths = [str(tmp_path / n) for n in ("a.json", "gone.json", "b.json", "c.json", "d.json.gz")]
+    got = readers.read_or_empty(spark, readers.read_news_feed_b, *paths)
+    assert sorted(r.ticker for r in got.collect()) == ["A", "A", "B"] and got.count() == 3
+    assert readers.feed_problems(spark, readers.FEED_B, *paths) == {
+        "missing_paths": 1, "bad_lines": 1, "skipped_files": 1}
+    assert readers.read_or_empty(spark, readers.read_news_feed_a, paths[1]).count() == 0
+    assert readers.feed_problems(spark, readers.FEED_A, paths[1])["missing_paths"] == 1
+    nested = {"ticker": "A", "data": {"news": [{"created_at": "2024-01-01T00:00:00Z", "headline": "h"}]}}
+    (tmp_path / "n.json").write_text(json.dumps(nested) + "\n" + json.dumps({**nested, "data": 7}) + "\n")
+    assert readers.read_news_feed_a(spark, str(tmp_path / "n.json")).count() == 1
+
+
+def test_corpus_key_follows_files_and_rows(spark, tmp_path):
+    for name, sentences in (("b", ["x", "y"]), ("a", ["u", "v", "w"])):
+        train = pa.array([{"sentence": s, "label": 1} for s in sentences])
+        pq.write_table(pa.table({"train": train}), tmp_path / f"{name}.parquet")
+    got = readers.read_corpus(spark, str(tmp_path), key="row").orderBy("row").collect()
+    assert [r.sentence for r in got] == list("uvwxy") and len({r.row for r in got}) == 5

@@ -7,19 +7,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.columns import day
-from ..operators.metrics import binary_metrics, confusion
+from ..operators.metrics import binary_metrics, class_report, confusion
 from ..operators.models import DirectionModel, fit_direction, predict, variant_columns
 from ..operators.news import count_by_feed, daily_tone, drop_copies, union_feeds
 from ..operators.samples import holdout
 from ..operators.tone import Scorer, ToneFit, fit_best_tone, score_batches, score_tone
 from ..session import size_shuffles, stage
 from ..sources.readers import (
+    FEED_A,
+    FEED_B,
+    feed_problems,
+    present,
     read_bars,
     read_corpus,
     read_news_feed_a,
@@ -38,21 +41,12 @@ MODEL_A = ("finbert_pos", "finbert_neg", "finbert_neu")
 ARRIVAL = ("feed", "time", "headline")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def ingest(
     spark: SparkSession, bars: Sequence[str], vix: Sequence[str], feed_a: Sequence[str],
     feed_b: Sequence[str], home: str, settings: Settings = Settings(),
 ) -> DataFrame:
-    """Landed files to three raw tables; returns the row counts worth logging."""
+    """Landed files to three raw tables; returns the counts worth logging: rows of every
+    table, and what was missing or unreadable in each feed."""
     both = union_feeds(
         read_or_empty(spark, read_news_feed_a, *feed_a),
         read_or_empty(spark, read_news_feed_b, *feed_b),
@@ -70,7 +64,13 @@ def ingest(
             F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
         for name, table in (("combined", "news"), ("prices", "ohlcv"))
     ]
-    return per_feed.unionByName(written[0]).unionByName(written[1])
+    problems = [
+        (f"feed_{i}_{name}", n)
+        for i, (schema, paths) in enumerate(((FEED_A, feed_a), (FEED_B, feed_b)))
+        for name, n in feed_problems(spark, schema, *paths).items()
+    ]
+    trouble = spark.createDataFrame(problems, "name string, rows long")
+    return per_feed.unionByName(written[0]).unionByName(written[1]).unionByName(trouble)
 
 
 def prepare(
@@ -145,7 +145,7 @@ def evaluate(
     comparison table; all are written."""
     table = None
     for name in variants:
-        if not exists(spark, f"{home}/checkpoints/{name}_best/metadata"):
+        if not present(spark, f"{home}/checkpoints/{name}_best/metadata")[0]:
             continue
         samples = _samples(spark, home, name, "mean", settings).where(F.col("split") == "test")
         model = load_model(f"{home}/checkpoints/{name}_best")
@@ -156,6 +156,7 @@ def evaluate(
         )
         write_json(binary_metrics(said).coalesce(1), f"{home}/results/{name}_metrics")
         write_json(confusion(said).coalesce(1), f"{home}/results/{name}_confusion")
+        write_json(class_report(said).coalesce(1), f"{home}/results/{name}_report")
         table = said if table is None else table.unionByName(said)
     if table is None:
         raise ValueError("no variant has been trained")

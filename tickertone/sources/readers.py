@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,17 +97,64 @@ def read_bars(
     return df.select(day(when).alias("date"), "ticker", *numbers)
 
 
+BAD_LINE = "__bad_line"
+
+
 def _landed_json(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, tolerant: bool
 ) -> DataFrame:
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(tolerant).lower())
-    return reader.json(list(paths))
+    """Rows of JSON lines; those that cannot be parsed hold only the line, in BAD_LINE."""
+    marked = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    reader = spark.read.schema(marked).option("columnNameOfCorruptRecord", BAD_LINE)
+    return reader.option("ignoreCorruptFiles", str(tolerant).lower()).json(list(paths))
+
+
+def _whole_lines(landed: DataFrame) -> DataFrame:
+    """Without the lines that could not be parsed. A parsed column is looked at, too, since
+    Spark refuses to read nothing but the marker."""
+    parsed = F.length(F.coalesce("ticker", F.lit(""))) >= 0
+    return landed.where(F.col(BAD_LINE).isNull() & parsed)
+
+
+def present(spark: SparkSession, *paths: str) -> tuple[list[str], list[str]]:
+    """The paths that are there, and those that are not."""
+    there, gone = [], []
+    for path in paths:
+        try:
+            spark.read.text(path)
+            there.append(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            gone.append(path)
+    return there, gone
+
+
+def feed_problems(spark: SparkSession, schema: T.StructType, *paths: str) -> dict[str, int]:
+    """What a tolerant read of these paths leaves out: paths that are not there, lines that are
+    not JSON of this schema, and files of which not one line could be read."""
+    there, gone = present(spark, *paths)
+    counts = {"missing_paths": len(gone), "bad_lines": 0, "skipped_files": 0}
+    if there:
+        raw = _landed_json(spark, there, schema, tolerant=True)
+        filled = (
+            spark.read.format("binaryFile").load(list(raw.inputFiles()))
+            .where("length > 0").select(F.count(F.lit(1)).alias("n"))
+        ) if raw.inputFiles() else None
+        seen = raw.select("ticker", BAD_LINE, F.col("_metadata.file_path").alias("file")).agg(
+            F.count("ticker").alias("tickers"),  # see _whole_lines
+            F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad"),
+            F.count_distinct("file").alias("files"),
+        ).first()
+        counts["bad_lines"] = seen.bad
+        counts["skipped_files"] = (filled.first().n if filled else 0) - seen.files
+    return counts
 
 
 def read_news_feed_a(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
     """Nested payloads ``{ticker, data: {news: [{created_at, headline}]}}``, flattened."""
     return (
-        _landed_json(spark, paths, FEED_A, tolerant)
+        _whole_lines(_landed_json(spark, paths, FEED_A, tolerant))
         .select("ticker", F.explode("data.news").alias("item"))
         .select("ticker", utc_wall_time(F.col("item.created_at")).alias("date"), "item.headline")
     )
@@ -115,7 +162,8 @@ def read_news_feed_a(spark: SparkSession, *paths: str, tolerant: bool = False) -
 
 def read_news_feed_b(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
     """Flat rows ``{ticker, datetime, headline}`` with the time in epoch seconds."""
-    return _landed_json(spark, paths, FEED_B, tolerant).select(
+    landed = _whole_lines(_landed_json(spark, paths, FEED_B, tolerant))
+    return landed.select(
         "ticker", epoch_seconds_to_wall_time(F.col("datetime")).alias("date"), "headline"
     )
 
@@ -124,14 +172,11 @@ def read_or_empty(
     spark: SparkSession, read: Callable[..., DataFrame], *paths: str,
     schema: T.StructType = NEWS,
 ) -> DataFrame:
-    """A feed that is not there is an empty table, so that the others still run; files
-    that cannot be read are passed over."""
-    try:
-        return read(spark, *paths, tolerant=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """The paths of a feed that are there; without any, an empty table. So one ticker's missing
+    file costs no other's rows. Files and lines that cannot be read are passed over, and
+    counted by ``feed_problems``."""
+    there, _ = present(spark, *paths)
+    return read(spark, *there, tolerant=True) if there else spark.createDataFrame([], schema)
 
 
 def _first_level(name: str) -> str:
@@ -150,9 +195,26 @@ def read_vix(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFram
     )
 
 
-def read_corpus(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFrame:
-    """Labelled sentences whose rows sit in a struct column ``train``."""
-    return spark.read.format(fmt).load(list(paths)).select("train.sentence", "train.label")
+def read_corpus(
+    spark: SparkSession, *paths: str, fmt: str = "parquet", key: str | None = None
+) -> DataFrame:
+    """Labelled sentences whose rows sit in a struct column ``train``.
+
+    ``key`` adds a number that follows the order of the files (by path) and of the rows in
+    them, which Parquet files know.
+    """
+    raw = spark.read.format(fmt).load(list(paths))
+    if key is None:
+        return raw.select("train.sentence", "train.label")
+    placed = raw.select(
+        "train.sentence", "train.label", F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__at"),
+    )
+    files = placed.select("__file").distinct().select(
+        "__file", (F.row_number().over(Window.orderBy("__file")) - 1).cast("bigint").alias("__nth")
+    )
+    number = F.shiftleft("__nth", 40) + F.col("__at")
+    return placed.join(files, "__file").select(number.alias(key), "sentence", "label")
 
 
 def read_history(spark: SparkSession, *paths: str) -> DataFrame:
