@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
@@ -19,7 +20,7 @@ from ..operators.series import SeriesContext, Stages, along_series, in_step
 from ..session import shared_folder, stage
 from ..sources import readers, views, writers
 from .dataset import build_dataset, scale
-from .evaluate import train_and_compare, variant_samples
+from .evaluate import fit_variants, variant_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,7 +91,7 @@ def feed_a_landed(spark: SparkSession, sf: str) -> DataFrame:
         "headline",
     )
     writers.write_json(
-        views.feed_a(spark, sf).select(
+        views.headlines(spark, sf).select(
             F.col("ticker").cast("string"), F.struct(F.array(item).alias("news")).alias("data")
         ),
         path,
@@ -102,38 +103,75 @@ def feed_a_landed(spark: SparkSession, sf: str) -> DataFrame:
 def feed_b_landed(spark: SparkSession, sf: str) -> DataFrame:
     """Flat JSON rows with epoch seconds."""
     path = _folder(spark, "feed-b")
-    seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), F.col("date"))
-    writers.write_json(
-        views.feed_b(spark, sf).select(
-            F.col("ticker").cast("string"), seconds.alias("datetime"), "headline"
-        ),
-        path,
-    )
+    writers.write_json(_flat(views.headlines(spark, sf)), path)
     return readers.read_news_feed_b(spark, path).select("ticker", _clock(), "headline")
 
 
+def _flat(headlines: DataFrame) -> DataFrame:
+    seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), F.col("date"))
+    return headlines.select(F.col("ticker").cast("string"), seconds.alias("datetime"), "headline")
+
+
 @query
 def feed_missing(spark: SparkSession, sf: str) -> DataFrame:
-    """One feed is not there: the union still holds all of the other."""
-    path = _folder(spark, "feed-b")
+    """One feed is not there; of the other, landed in several paths, one path is missing and one
+    has a line that is no JSON: everything else arrives."""
+    folder = _folder(spark, "feed-b")
+    paths = [f"{folder}/{name}" for name in ("even", "gone", "odd", "bad")]
     gone = readers.read_or_empty(spark, readers.read_news_feed_a, _folder(spark, "gone"))
-    seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), F.col("date"))
-    writers.write_json(
-        views.headlines(spark, sf).select(
-            F.col("ticker").cast("string"), seconds.alias("datetime"), "headline"
-        ),
-        path,
-    )
-    there = readers.read_or_empty(spark, readers.read_news_feed_b, path)
+    headlines = views.headlines(spark, sf)
+    for name, rest in (("even", 0), ("odd", 1)):
+        writers.write_json(_flat(headlines.where(F.col("news_id") % 2 == rest)), f"{folder}/{name}")
+    broken = F.concat(F.lit('{"ticker": "'), F.max("news_id").cast("string"))
+    headlines.agg(broken.alias("value")).write.text(f"{folder}/bad")
+    there = readers.read_or_empty(spark, readers.read_news_feed_b, *paths)
     return news.union_feeds(gone, there).select("feed", "ticker", _clock(), "headline")
 
 
+@query
+def feed_trouble(spark: SparkSession, sf: str) -> DataFrame:
+    """What a landed feed leaves out: some headlines are cut off in its line."""
+    folder = _folder(spark, "feed-b")
+    line = F.to_json(F.struct(*_flat(views.headlines(spark, sf)).columns))
+    whole = views.headlines(spark, sf)
+    lines = _flat(whole).withColumn("cut", F.substring(F.md5("headline"), 1, 1) == "0")
+    lines.select(
+        F.when(F.col("cut"), F.substring(line, 1, 12)).otherwise(line).alias("value")
+    ).write.text(folder)
+    counts = readers.feed_problems(spark, readers.FEED_B, folder, f"{folder}-gone")
+    found = readers.read_or_empty(spark, readers.read_news_feed_b, folder, f"{folder}-gone")
+    return found.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()]
+    )
+
+
+@query
+def bars_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars landed in one path per half of the tickers, read for some tickers and a period."""
+    folder = _folder(spark, "bars")
+    bars = views.bars(spark, sf)
+    for rest in (0, 1):
+        writers.write_table(
+            bars.where(F.col("ticker") % 2 == rest), f"{folder}/{rest}", cluster_by=("ticker", "date")
+        )
+    return readers.read_bars(
+        spark, f"{folder}/0", f"{folder}/1", tickers=[1, 2, 3, 5, 8],
+        start=dt.date(1993, 6, 1), end=dt.date(1996, 5, 31),
+    )
+
+
 @query
 def corpus_landed(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences nested in a struct column, unwrapped by the reader."""
+    return readers.read_corpus(spark, _landed_corpus(spark, sf))
+
+
+def _landed_corpus(spark: SparkSession, sf: str) -> str:
+    """Files and rows in the order of the documents."""
     path = _folder(spark, "corpus")
-    views.corpus(spark, sf).select(F.struct("sentence", "label").alias("train")).write.parquet(path)
-    return readers.read_corpus(spark, path)
+    in_order = views.corpus(spark, sf).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    in_order.select(F.struct("sentence", "label").alias("train")).write.parquet(path)
+    return path
 
 
 @query
@@ -456,8 +494,9 @@ def encode_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tone_nb_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Word log-probabilities per class."""
-    model = tone.fit_word_classes(views.corpus(spark, sf))
+    """Word log-probabilities per class, from the landed corpus by the order of its rows."""
+    corpus = readers.read_corpus(spark, _landed_corpus(spark, sf), key="row")
+    model = tone.fit_word_classes(corpus, key="row")
     return rounded(
         model.vocabulary.select("word", "idx").join(model.word_scores, "idx"),
         6, "lp_neg", "lp_neu", "lp_pos",
@@ -480,9 +519,14 @@ def tone_pipeline_score(spark: SparkSession, sf: str) -> DataFrame:
     parts = samples.holdout(views.corpus(spark, sf), "doc_id")
     train = stage(parts.where(F.col("part") == "train").select("sentence", "label"), "train")
     path = _folder(spark, "tone-model")
-    writers.save_model(tone.fit_tone_pipeline(train, features=2000, iterations=10), path)
+    writers.save_model(tone.fit_tone_pipeline(train), path)
     scored = tone.score_tone(views.headlines(spark, sf), writers.load_model(path))
-    return scored.select("news_id", "ticker", _clock(), "cnn_neg", "cnn_neu", "cnn_pos")
+    p = [F.col(f"cnn_{c}") for c in tone.CLASSES]
+    inside = [(x >= 0) & (x <= 1) for x in p]
+    adds_up = F.abs(p[0] + p[1] + p[2] - 1) < 1e-9
+    return scored.select(
+        "news_id", "ticker", _clock(), (inside[0] & inside[1] & inside[2] & adds_up).alias("proper")
+    )
 
 
 @query
@@ -532,6 +576,13 @@ def confusion(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion(_predictions(spark, sf))
 
 
+@query
+def confusion_every_class(spark: SparkSession, sf: str) -> DataFrame:
+    """Days on which the close rose only: the class that is never true has a row, too."""
+    rising = _predictions(spark, sf).where(F.col("label") == 1)
+    return metrics.confusion(rising, other=True)
+
+
 @query
 def class_report(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics.class_report(_predictions(spark, sf)), 4, "precision", "recall", "f1")
@@ -591,13 +642,35 @@ def early_stop(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def history_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Histories written as JSON and read back."""
-    path = _folder(spark, "history")
-    writers.write_json(_history(spark, sf), path)
-    back = spark.read.schema(f"model string, {readers.HISTORY}").json(path)
+    """Histories written as JSON and read back, one path per model and named after it."""
+    history = _history(spark, sf).select(
+        "model", F.struct("epoch", "train_loss", "val_loss", "val_acc").alias("e")
+    )
+    # A history is an array of its epochs, as many as the model was trained for.
+    arrays = history.groupBy("model").agg(F.to_json(F.sort_array(F.collect_list("e"))).alias("value"))
+    back = readers.read_history(spark, *_one_file_per_model(arrays, "history"))
     return back.select("model", "epoch", "train_loss", "val_loss", "val_acc")
 
 
+def _one_file_per_model(objects: DataFrame, name: str) -> list[str]:
+    """Land one JSON text per model; there are only a handful of models."""
+    folder = _folder(objects.sparkSession, name)
+    objects = stage(objects, name)
+    paths = []
+    for row in objects.select("model").collect():
+        paths.append(f"{folder}/{row.model}_{name}.json")
+        objects.where(F.col("model") == row.model).select("value").coalesce(1).write.text(paths[-1])
+    return paths
+
+
+@query
+def metrics_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of all models written as JSON and read back."""
+    table = metrics.binary_metrics(_predictions(spark, sf))
+    objects = table.select("model", F.to_json(F.struct(*table.columns)).alias("value"))
+    return readers.read_metrics(spark, *_one_file_per_model(objects, "metrics"))
+
+
 @query
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """The comparison table through its CSV sink."""
@@ -618,18 +691,40 @@ def _model_b(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def direction_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Training history of the tone-A variant."""
+    """The tone-A variant fitted on its samples: what it was fitted on, and whether the epoch
+    it kept is the one that early stopping keeps from its history."""
     dataset = stage(_dataset(spark, sf), "dataset")
     made = variant_samples(dataset, "finbert_fusion", **DAILY)
-    fitted = models.fit_direction(made, "finbert_fusion", strengths=(1.0, 0.1), iterations=10)
-    return fitted.history
+    fitted = models.fit_direction(made, "finbert_fusion")
+    stop = metrics.early_stop(fitted.history.withColumn("model", F.lit(fitted.variant)))
+    agrees = stop.select((F.col("best_epoch") == fitted.best_epoch).alias("epoch_agrees"))
+    counts = made.groupBy("split").agg(
+        F.count(F.lit(1)).alias("samples"), F.count_if(F.col("label") == 1).alias("ups")
+    )
+    return counts.crossJoin(F.broadcast(agrees))
 
 
 @query
 def direction_evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    """All three variants fitted and compared on the test split."""
+    """All three variants fitted and compared on the test split: predictions per variant and
+    true class, and whether metrics and history of the variant fit together."""
     dataset = stage(_dataset(spark, sf), "dataset")
-    _, table = train_and_compare(
-        dataset, stage(_model_b(spark, sf), "scored"), strengths=(0.1,), iterations=10, **DAILY
+    fitted, test = fit_variants(dataset, stage(_model_b(spark, sf), "scored"), **DAILY)
+    said = stage(models.predictions_of(test, fitted), "said")
+    right = said.groupBy("model").agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("share"))
+    table = metrics.comparison(said).join(right, "model")
+    losses = [
+        (name, m.best_epoch, r.epoch, r.val_loss)
+        for name, m in fitted.items() for r in m.history.collect()  # one row per strength
+    ]
+    history = spark.createDataFrame(losses, "model string, best int, epoch int, loss double")
+    kept = history.groupBy("model").agg(
+        (F.max("best") == F.min_by("epoch", F.struct("loss", "epoch"))).alias("kept_is_best")
+    )
+    fits = table.join(kept, "model").select(
+        "model", (F.col("kept_is_best") & (F.abs(F.col("accuracy") - F.col("share")) <= 5.1e-5)).alias("fits")
+    )
+    cells = metrics.confusion(said).select(
+        "model", "label", (F.col("pred_0") + F.col("pred_1")).alias("predictions")
     )
-    return table
+    return cells.join(fits, "model")

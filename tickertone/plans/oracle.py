@@ -332,6 +332,13 @@ def _report(pairs: str, names: list[str], by: str, *needs: str) -> str:
     return _with(body, *needs)
 
 
+# The rows of the training table, and those that have ten more before them in their split.
+_LABELLED = """SELECT date, ticker, CAST(next_close > close AS INTEGER) AS label
+               FROM numbered WHERE next_close IS NOT NULL AND rn >= 33"""
+_SAMPLES = """SELECT split, label FROM tagged
+    QUALIFY row_number() OVER (PARTITION BY split, ticker ORDER BY date) > 10"""
+
+
 def _lookback() -> str:
     features = ("close", "volume", "MOM")
     steps = ", ".join(
@@ -379,10 +386,10 @@ def oracles() -> dict[str, str]:
         "bars_landed": bars,
         "vix_landed": _with("SELECT date, vix FROM vix", "vix"),
         "feed_a_landed": _with(
-            f"SELECT CAST(ticker AS VARCHAR) AS ticker, {_CLOCK}, headline FROM feeds WHERE feed = 0", "feeds"
+            f"SELECT CAST(ticker AS VARCHAR) AS ticker, {_CLOCK}, headline FROM headlines", "headlines"
         ),
         "feed_b_landed": _with(
-            f"SELECT CAST(ticker AS VARCHAR) AS ticker, {_CLOCK}, headline FROM feeds WHERE feed = 1", "feeds"
+            f"SELECT CAST(ticker AS VARCHAR) AS ticker, {_CLOCK}, headline FROM headlines", "headlines"
         ),
         "feed_missing": _with(
             f"SELECT 1 AS feed, CAST(ticker AS VARCHAR) AS ticker, {_CLOCK}, headline FROM headlines", "headlines"
@@ -563,4 +570,37 @@ def oracles() -> dict[str, str]:
             "SELECT model, epoch, train_loss, val_loss, val_acc FROM history", "history"
         ),
         "model_comparison": _with(_METRICS, "counts"),
+        "feed_trouble": _with(
+            """SELECT count(*) FILTER (NOT cut) AS rows, 1 AS missing_paths,
+                      count(*) FILTER (cut) AS bad_lines, 0 AS skipped_files
+               FROM (SELECT substr(md5(headline), 1, 1) = '0' AS cut FROM headlines)""",
+            "headlines",
+        ),
+        "metrics_json": _with(_METRICS, "counts"),
+        "bars_filtered": _with(
+            """SELECT * FROM bars WHERE ticker IN (1, 2, 3, 5, 8)
+               AND date BETWEEN DATE '1993-06-01' AND DATE '1996-05-31'""", "bars",
+        ),
+        "confusion_every_class": _with(
+            """SELECT model, c AS label, count(*) FILTER (label = c AND pred = 0) AS pred_0,
+                      count(*) FILTER (label = c AND pred = 1) AS pred_1, 0 AS pred_other
+               FROM predictions, (VALUES (0), (1)) classes(c) WHERE label = 1 GROUP BY model, c""",
+            "predictions",
+        ),
+        "tone_pipeline_score": _with(
+            f"SELECT news_id, ticker, {_CLOCK}, true AS proper FROM headlines", "headlines"
+        ),
+        "direction_fit": _with(
+            f"""SELECT split, count(*) AS samples, count(*) FILTER (label = 1) AS ups,
+                       true AS epoch_agrees
+                FROM ({_SAMPLES}) GROUP BY split""",
+            "tagged", rules=_LABELLED,
+        ),
+        "direction_evaluate": _with(
+            f"""SELECT model, c AS label, count(*) FILTER (label = c) AS predictions, true AS fits
+                FROM ({_SAMPLES}), (VALUES (0), (1)) classes(c),
+                     (VALUES ('baseline'), ('cnn_fusion'), ('finbert_fusion')) models(model)
+                WHERE split = 'test' GROUP BY model, c""",
+            "tagged", rules=_LABELLED,
+        ),
     }
