@@ -31,7 +31,7 @@ def ordered(df: pd.DataFrame) -> pd.DataFrame:
         if str(df[c].dtype).startswith("datetime") or df[c].dtype == object:
             sample = df[c].dropna()
             if len(sample) and hasattr(sample.iloc[0], "isoformat"):
-                df[c] = pd.to_datetime(df[c]).dt.strftime("%Y-%m-%d")
+                df[c] = pd.to_datetime(df[c]).dt.strftime("%Y-%m-%d %H:%M:%S.%f")
         if str(df[c].dtype) in ("Int64", "int32", "int64"):
             df[c] = df[c].astype("float64")
     keys = [c for c in df.columns if df[c].dtype != "float64"]

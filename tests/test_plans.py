@@ -1,3 +1,5 @@
+import os
+
 """The physical plans the engine relies on."""
 
 from tickertone import session
@@ -66,11 +68,20 @@ def test_bars_and_tone_meet_without_another_shuffle(spark):
 def test_shuffles_and_small_inputs_are_sized(spark, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     docs = views.table(spark, SF, "documents").select("doc_id", "text")
-    try:
-        assert session.size_shuffles(spark, docs) == int(before)
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
-        assert session.size_shuffles(spark, docs) > 100
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with session.sized_shuffles(spark, docs) as n:
+        assert n == int(before)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+    with session.sized_shuffles(spark, docs) as n:
+        assert n > 100 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     monkeypatch.setattr(session, "SMALL_INPUT", 1)
     assert "Exchange" not in plan(session.spread(docs, "doc_id"))
+
+
+def test_staged_tables_go_when_their_reader_is_done(spark):
+    kept = session.stage(spark.range(3), "kept")
+    with session.staging():
+        gone = session.stage(spark.range(3), "gone")
+        assert gone.count() == 3
+        paths = [f.removeprefix("file:") for f in gone.inputFiles()]
+    assert not any(os.path.exists(p) for p in paths) and kept.count() == 3

@@ -44,4 +44,3 @@ NOT_FEATURES = (
     "date", "ticker", "label", "next_close",
     "pos", "neg", "neu", "cnn_pos", "cnn_neg", "cnn_neu",
 )
-OHLCV = ("open", "high", "low", "close", "volume")

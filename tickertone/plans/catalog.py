@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.columns import argmax_class, confidence
+from ..functions.columns import argmax_class, class_from_logit, confidence, sigmoid
 from ..operators import assemble as asm
 from ..operators import metrics, models, news, samples, text, tone
 from ..operators.indicators import indicator_builder, mom, sma, with_indicators
@@ -609,6 +609,16 @@ def _logits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def logit_class(spark: SparkSession, sf: str) -> DataFrame:
+    """Probability and class of every logit."""
+    logit = F.col("logit")
+    scored = _logits(spark, sf).select(
+        "ticker", "date", sigmoid(logit).alias("p"), class_from_logit(logit).alias("pred")
+    )
+    return rounded(scored, 6, "p")
+
+
 @query
 def weighted_log_loss(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics.weighted_log_loss(_logits(spark, sf)), 6, "loss")

@@ -576,6 +576,11 @@ def oracles() -> dict[str, str]:
                FROM (SELECT substr(md5(headline), 1, 1) = '0' AS cut FROM headlines)""",
             "headlines",
         ),
+        "logit_class": _with(
+            f"""SELECT ticker, date, {_round('1 / (1 + exp(-z))', 6, 'p')}, CAST(z > 0 AS INTEGER) AS pred
+                FROM (SELECT *, (close - SMA_5) / SMA_5 AS z FROM rules)""",
+            "rules",
+        ),
         "metrics_json": _with(_METRICS, "counts"),
         "bars_filtered": _with(
             """SELECT * FROM bars WHERE ticker IN (1, 2, 3, 5, 8)

@@ -17,7 +17,7 @@ from ..operators.models import DirectionModel, fit_direction, predict, variant_c
 from ..operators.news import count_by_feed, daily_tone, drop_copies, union_feeds
 from ..operators.samples import holdout
 from ..operators.tone import Scorer, ToneFit, fit_best_tone, score_batches, score_tone
-from ..session import size_shuffles, stage
+from ..session import sized_shuffles, stage, staging
 from ..sources.readers import (
     FEED_A,
     FEED_B,
@@ -54,10 +54,10 @@ def ingest(
     prices = read_bars(
         spark, *bars, tickers=settings.tickers, start=settings.start, end=settings.end
     )
-    size_shuffles(spark, prices, both)
-    write_table(prices, f"{home}/raw/ohlcv")
-    write_table(read_vix(spark, *vix), f"{home}/raw/vix")
-    write_table(drop_copies(both), f"{home}/raw/news")
+    with sized_shuffles(spark, prices, both):
+        write_table(prices, f"{home}/raw/ohlcv")
+        write_table(read_vix(spark, *vix), f"{home}/raw/vix")
+        write_table(drop_copies(both), f"{home}/raw/news")
     per_feed = count_by_feed(both).select(F.concat(F.lit("feed_"), "feed").alias("name"), "rows")
     written = [
         read_parquet(spark, f"{home}/raw/{table}").agg(
@@ -84,16 +84,16 @@ def prepare(
     scored = score_batches(news, load_a, news.columns, names=MODEL_A, batch=batch)
     write_table(scored, f"{home}/processed/news_finbert")
     bars = read_parquet(spark, f"{home}/raw/ohlcv")
-    size_shuffles(spark, bars, raw)
     a = read_parquet(spark, f"{home}/processed/news_finbert").select(
         "ticker", F.col("time").alias("date"), "headline", "feed",
         *[F.col(f"finbert_{c}").alias(c) for c in ("pos", "neg", "neu")],
     )
-    dataset = build_dataset(
-        bars, read_parquet(spark, f"{home}/raw/vix"),
-        daily_tone(a, tie=ARRIVAL), settings, tickers=settings.tickers, **options,
-    )
-    write_table(dataset, f"{home}/processed/dataset")
+    with staging(), sized_shuffles(spark, bars, raw):
+        dataset = build_dataset(
+            bars, read_parquet(spark, f"{home}/raw/vix"),
+            daily_tone(a, tie=ARRIVAL), settings, tickers=settings.tickers, **options,
+        )
+        write_table(dataset, f"{home}/processed/dataset")
     return read_parquet(spark, f"{home}/processed/dataset")
 
 
@@ -118,21 +118,22 @@ def _samples(
     spark: SparkSession, home: str, variant: str, how: str, settings: Settings
 ) -> DataFrame:
     dataset = read_parquet(spark, f"{home}/processed/dataset")
-    size_shuffles(spark, dataset)
     scored_b = None
     if variant_columns(variant) == CNN_SCORES:
         scored_b = read_parquet(spark, f"{home}/processed/news_cnn")
-    return variant_samples(dataset, variant, scored_b, how, settings, tie=ARRIVAL)
+    with sized_shuffles(spark, dataset):  # the samples are written inside
+        return variant_samples(dataset, variant, scored_b, how, settings, tie=ARRIVAL)
 
 
 def train(
     spark: SparkSession, home: str, variant: str, settings: Settings = Settings(), **learner
 ) -> DirectionModel:
     """Fit one variant; its best model and its history are written."""
-    samples = _samples(spark, home, variant, "most_confident", settings)
-    fitted = fit_direction(samples, variant, settings, **learner)
-    save_model(fitted.model, f"{home}/checkpoints/{variant}_best")
-    write_json(fitted.history.coalesce(1), f"{home}/results/{variant}_history")
+    with staging():
+        samples = _samples(spark, home, variant, "most_confident", settings)
+        fitted = fit_direction(samples, variant, settings, **learner)
+        save_model(fitted.model, f"{home}/checkpoints/{variant}_best")
+        write_json(fitted.history.coalesce(1), f"{home}/results/{variant}_history")
     return fitted
 
 

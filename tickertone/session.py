@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "tickertone", cores: str | int = "*", **conf) -> SparkSession:
@@ -44,10 +49,15 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tickertone-")
+        _own_folders.append(folder)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+_staged: list[str] = []
+_own_folders: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -58,25 +68,54 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(paths: list[str]) -> None:
+    for path in paths:
+        files, folder = pafs.FileSystem.from_uri(path if ":/" in path else os.path.abspath(path))
+        if files.get_file_info(folder).type == pafs.FileType.Directory:
+            files.delete_dir(folder)
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """Tables staged inside are removed at the end. For work that writes its results inside;
+    a lazy result that is returned still needs them."""
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        _remove(_staged[first:])
+        del _staged[first:]
+
+
+def _remove_own_folders() -> None:
+    _remove([path for path in _staged if path.startswith(tuple(_own_folders))] if _own_folders else [])
+
+
+atexit.register(_remove_own_folders)
+
 SMALL_INPUT = 128 << 20  # could be a single row group
 SHUFFLE_BYTES = 128 << 20
-MOST_PARTITIONS = 100_000
+_file_bytes: dict[frozenset[str], int] = {}
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Bytes of all files ``df`` reads, by the optimizer's estimate, without a job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    """Bytes of all files ``df`` reads, listed once per set of files."""
+    files = frozenset(df.inputFiles())
+    if files and files not in _file_bytes:
+        listed = df.sparkSession.read.format("binaryFile").load(sorted(files))
+        _file_bytes[files] = listed.agg(F.sum("length")).first()[0] or 0
+    return _file_bytes.get(files, 0)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Share the rows of a small input among the cores, for heavy work per row.
 
-    A file of one row group is one task, however much is done to each row. Inputs that
-    fill more than one task anyway are left as they are.
+    A file of one row group is one task, however much is done to each row. Only the plan
+    depends on the size: inputs that fill more than one task anyway are left as they are.
     """
     size = estimated_bytes(df)
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, (size >> 20) + 1)
@@ -85,14 +124,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(tasks, key)
 
 
-def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
-    """Raise the number of shuffle partitions so that one holds about 128 MB of ``inputs``.
+@contextmanager
+def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[int]:
+    """While inside, at least so many shuffle partitions that one holds about 128 MB of ``inputs``.
 
-    Never lowers it: adaptive execution merges partitions that turn out small, but cannot
-    divide ones that were planned too large.
+    Never fewer than the session asks for: adaptive execution merges partitions that turn out
+    small, but cannot divide ones that were planned too large.
     """
     name = "spark.sql.shuffle.partitions"
-    wanted = min(MOST_PARTITIONS, sum(map(estimated_bytes, inputs)) // SHUFFLE_BYTES)
-    partitions = max(int(spark.conf.get(name)), wanted)
+    before = spark.conf.get(name)
+    partitions = max(int(before), sum(map(estimated_bytes, inputs)) // SHUFFLE_BYTES)
     spark.conf.set(name, str(partitions))
-    return partitions
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(name, before)
