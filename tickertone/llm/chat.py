@@ -100,7 +100,7 @@ def _rendered(turns: Column) -> tuple[Column, Column]:
 
 def preferences(sides: DataFrame, piece_turns: int = PIECE_TURNS) -> DataFrame:
     """Rendered pairs from rows (kind, chosen_id, rejected_id, side, turn, role, text)."""
-    rows = sides.withColumn("piece", F.floor(F.col("turn") / piece_turns))
+    rows = sides.withColumn("piece", F.floor(F.greatest("turn", F.lit(0)) / piece_turns))
     sign = F.when(F.col("side") == "chosen", 1).otherwise(-1)
     per_piece = (
         rows.groupBy(*PAIR, "piece", "turn", "role", F.md5("text").alias("text"))
