@@ -257,7 +257,7 @@ def _with_texts(rows: DataFrame, runs: DataFrame) -> DataFrame:
     wanted = runs.groupBy("doc", "text_hash").agg(
         F.collect_list(F.struct("anchor", "run", "start", "windows")).alias("wanted")
     )
-    picked = among(rows, IdFilter(runs.select("doc"))).distinct()
+    picked = among(rows, IdFilter(runs.select("doc")))
     return picked.join(wanted, "doc").select("doc", "text", "text_hash", "wanted")
 
 
