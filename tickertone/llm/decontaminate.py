@@ -6,8 +6,10 @@
 * The rows, weighted by inverse document frequency, and those of the benchmark's passages are
   decomposed on the driver (a matrix of some hundred rows). Its right singular vectors are the
   latent space; the benchmark's own directions are weighted up so that they are kept.
-* A second pass projects every window of 64 words (a step of 16 words apart) and compares it
-  with every benchmark passage by cosine. Candidates are checked in place on their words: the
+* A second pass compares every window of 64 words (a step of 16 words apart) with every
+  benchmark passage in that space: how much of the passage it covers, and by cosine. A sparse
+  bound on the first is taken before, and only windows that can reach it are projected.
+  Candidates are checked in place on their words: the
   longest common subsequence with the benchmark passage decides, and in the range of
   paraphrases the words of the answer must be there as well.
 
@@ -42,6 +44,7 @@ RANGE = 32           # rows of the range finder
 ITEMS = 192          # benchmark passages that are searched in one pass
 STEP, STEPS = 16, 4  # words of a block, and blocks of a window
 SHORTEST = 8
+LITTLE = 0.005                   # share of a passage that one word covers and that is not listed
 COSINE, COVERED = 0.3, 0.3       # what makes a window a candidate
 COPIED, PARAPHRASED, ANSWERED = 0.8, 0.5, 0.8
 
@@ -130,6 +133,10 @@ class Space:
     loading: np.ndarray    # (terms that matter, dimensions)
     items: np.ndarray      # (dimensions, passages), of length one
     norms: np.ndarray      # lengths of the projected passages
+    edges: np.ndarray      # of each term's entries in ``entry_item`` and ``entry``
+    entry_item: np.ndarray
+    entry: np.ndarray      # what one occurrence of the term covers of the passage, if not little
+    little: np.ndarray     # the most an occurrence covers of any passage besides
 
 
 def latent_space(some: list[Passage], rows: np.ndarray, frequency: np.ndarray, texts: float) -> Space:
@@ -144,14 +151,50 @@ def latent_space(some: list[Passage], rows: np.ndarray, frequency: np.ndarray, t
     values, left = np.linalg.eigh(stacked @ stacked.T)
     keep = values > 1e-9 * max(float(values[-1]), 1e-300)
     basis = (stacked.T @ left[:, keep]) / np.sqrt(values[keep])
-    loading = basis * idf[:, None]
     matter = np.flatnonzero(np.linalg.norm(own, axis=0) > 0)
+    loading = (basis * idf[:, None])[matter]
     row = np.full(TERMS, -1, dtype=np.int32)
     row[matter] = np.arange(len(matter))
     items = own @ basis
     norms = np.linalg.norm(items, axis=1)
     unit = items / np.where(norms > 0, norms, 1.0)[:, None]
-    return Space(some, row, loading[matter].astype(np.float32), unit.T.astype(np.float32), norms)
+    covers = loading @ unit.T / np.where(norms > 0, norms, np.inf)[None, :]
+    listed = covers >= LITTLE
+    term, item = np.nonzero(listed)
+    return Space(
+        some, row, loading.astype(np.float32), unit.T.astype(np.float32), norms,
+        np.searchsorted(term, np.arange(len(matter) + 1)), item, covers[term, item],
+        np.where(listed, 0.0, np.maximum(covers, 0.0)).max(axis=1, initial=0.0),
+    )
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers first, first + 1, ... of each range, and the range each belongs to."""
+    which = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which], which
+
+
+def _over_windows(blocks: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Sums over each block and the following ones of its window, within a text."""
+    out = blocks.copy()
+    for k in range(1, STEPS):
+        same = owner[k:] == owner[:-k]
+        out[:-k][same] += blocks[k:][same]
+    return out
+
+
+def _worth_projecting(space: Space, rows: np.ndarray, block: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Windows that may cover enough of a passage. Each occurrence of a term counts for the
+    passages it covers noticeably; for all others the most it can add is added to the sum, so
+    that no window that does cover enough is left out."""
+    n = len(owner)
+    count = np.diff(space.edges)[rows]
+    at, which = _spread(space.edges[rows], count)
+    cell = block[which] * len(space.passages) + space.entry_item[at]
+    covered = np.bincount(cell, weights=space.entry[at], minlength=n * len(space.passages))
+    covered = _over_windows(covered.reshape(n, -1), owner).max(axis=1)
+    rest = _over_windows(np.bincount(block, weights=space.little[rows], minlength=n), owner)
+    return np.flatnonzero(covered + rest >= COVERED * (1 - 1e-6))
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -188,15 +231,15 @@ def _search(part: W.Texts, space: Space):
     begin, owner = _blocks(count, STEP)
     row = space.row[_terms(hashes)]
     used = np.flatnonzero(row >= 0)
-    sums = np.zeros((len(begin), space.loading.shape[1]), dtype=np.float32)
-    if len(used):
-        block = np.searchsorted(begin, used, side="right") - 1
-        edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        sums[block[edge]] = np.add.reduceat(space.loading[row[used]], edge, axis=0)
-    window = sums.copy()
-    for k in range(1, STEPS):
-        same = owner[k:] == owner[:-k]
-        window[:-k][same] += sums[k:][same]
+    rows = row[used]
+    some = _worth_projecting(space, rows, np.searchsorted(begin, used, side="right") - 1, owner)
+    if not len(some):
+        return
+    begin, owner = begin[some], owner[some]
+    low = np.searchsorted(used, begin)
+    high = np.searchsorted(used, np.minimum(begin + STEP * STEPS, first[owner + 1]))
+    at, _ = _spread(low, high - low)  # a window worth it has some of the terms
+    window = np.add.reduceat(space.loading[rows[at]], np.cumsum(high - low) - (high - low), axis=0)
     length = np.linalg.norm(window, axis=1)
     along = window @ space.items
     near = (along >= COSINE * length[:, None]) & (along >= COVERED * space.norms[None, :])
