@@ -140,19 +140,24 @@ class Space:
 
 
 def latent_space(some: list[Passage], rows: np.ndarray, frequency: np.ndarray, texts: float) -> Space:
-    idf = np.log((1.0 + texts) / (1.0 + frequency))
-    own = np.stack([np.bincount(_terms(p.words), minlength=TERMS) * idf for p in some])
-    length = np.linalg.norm(own, axis=1, keepdims=True)
+    # A term of every text weighs little, but not nothing: a corpus may be a single text.
+    idf = np.log((1.0 + texts) / (1.0 + frequency)) + 0.01
+    matter = np.unique(np.concatenate([_terms(p.words) for p in some]))
+    own = np.stack([
+        np.bincount(np.searchsorted(matter, _terms(p.words)), minlength=len(matter)) for p in some
+    ]) * idf[matter]
+    own_scaled = 4.0 * own / np.linalg.norm(own, axis=1, keepdims=True)
     corpus = rows * idf
     scale = np.linalg.norm(corpus, axis=1, keepdims=True)
-    stacked = np.concatenate([
-        4.0 * own / np.where(length > 0, length, 1.0), corpus / np.where(scale > 0, scale, 1.0)
-    ])
-    values, left = np.linalg.eigh(stacked @ stacked.T)
-    keep = values > 1e-9 * max(float(values[-1]), 1e-300)
+    corpus /= np.where(scale > 0, scale, 1.0)
+    # Left singular vectors of all rows; the right ones are needed for the terms that matter only.
+    stacked = np.concatenate([own_scaled, corpus[:, matter]])
+    gram = stacked @ stacked.T
+    gram[len(some):, len(some):] = corpus @ corpus.T
+    values, left = np.linalg.eigh(gram)
+    keep = values > 1e-9 * float(values[-1])
     basis = (stacked.T @ left[:, keep]) / np.sqrt(values[keep])
-    matter = np.flatnonzero(np.linalg.norm(own, axis=0) > 0)
-    loading = (basis * idf[:, None])[matter]
+    loading = basis * idf[matter][:, None]
     row = np.full(TERMS, -1, dtype=np.int32)
     row[matter] = np.arange(len(matter))
     items = own @ basis
