@@ -63,7 +63,7 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("paired, block", [(32, 512), (4, 8), (1000, 512)])
+@pytest.mark.parametrize("paired, block", [(32, 512), (4, 8)])
 def test_jaccard_is_exact(spark, monkeypatch, paired, block):
     monkeypatch.setattr(jaccard, "PAIRED", paired)
     monkeypatch.setattr(jaccard, "BLOCK", block)

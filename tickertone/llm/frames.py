@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .words import mixed
 
 ROW = "__row"
-SLICE = 1 << 16    # numbers of a long vector that travel in one row
+SLICE = 1 << 18    # numbers of a long vector that travel in one row
 FAN_IN = 512       # partial vectors that one task adds up
 
 Batches = Iterator[pa.RecordBatch]
