@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 PIECE_TURNS = 4096
 ASSISTANT = "assistant"
 
@@ -133,6 +135,6 @@ def preferences(sides: DataFrame, piece_turns: int = PIECE_TURNS) -> DataFrame:
 
 def format_preferences(conversations: DataFrame, piece_turns: int = PIECE_TURNS) -> DataFrame:
     """Both sorts of pairs of a table of conversations, rendered."""
-    turns = clean_turns(conversations)
-    sides = stale_replies(turns).unionByName(same_openings(turns))
+    turns = stage(clean_turns(conversations), "turns")  # read five times
+    sides = stage(stale_replies(turns).unionByName(same_openings(turns)), "sides")  # three times
     return preferences(sides, piece_turns)
