@@ -77,7 +77,22 @@ def test_jaccard_is_exact(spark, monkeypatch, paired, block):
     assert all(first[r.first_row] == r.component_id for r in got)
 
 
+def test_one_of_each_component_stays(spark):
+    base = near_copies(7, 5, 100, 2)
+    texts = [*base, base[0], base[0].upper(), prose(1, 50), prose(1, 50), "", "", None, prose(2, 60), prose(2, 60)]
+    ids = [9, 8, 7, 6, 5, 5, None, 20, 20, 21, 21, 22, None, None]
+    docs = documents(spark, texts, doc_id=ids).selectExpr("*", "1 as __own", "2 as set_id")
+    out = jaccard.one_per_component(docs)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in out.collect())
+    # id 5 has two near copies, of which one stays; repeated rows without a text all stay.
+    assert [g[0] for g in got] == [-1, 5, 20, 21, 21, 22]
+    assert got[0][1] == prose(2, 60) and got[2][1] == prose(1, 50)
+
+
 def test_jaccard_odd_rows(odd, nothing):
+    assert jaccard.one_per_component(nothing).count() == 0
+    assert jaccard.one_per_component(odd).columns == odd.columns
     rule = jaccard.Rule()
     got = jaccard.jaccard_classes(odd, rule).collect()
     rows = [(r.doc_id, r.text) for r in odd.collect()]

@@ -26,19 +26,22 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from . import words as W
 from .components import components
 from .frames import (
-    ROW, VECTOR, IdFilter, each_batch, pieces, rows_of, summed_vector, vector_rows,
+    ROW, VECTOR, IdFilter, each_batch, pieces, rows_of, summed_vector, unused, vector_rows,
 )
 
 SKETCH = 1 << 22
@@ -326,19 +329,11 @@ def needed_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
 
 
 def jaccard_classes(
-    docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id", row: str | None = None,
+    docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id"
 ) -> DataFrame:
-    """One row per row of ``docs``: __row, doc_id, n_shingles, component_id, n_links, first_row.
-
-    ``row`` may name a column with a unique number for each row; it is made here otherwise.
-    ``first_row`` is the row of each component with the smallest id, to keep one of each group by.
-    """
+    """One row per row of ``docs``: __row, doc_id, set_id, n_shingles, component_id, n_links,
+    first_row. ``first_row`` is the row of each component with the smallest id."""
     rows = rows_of(docs, doc_id=F.col(doc_id).cast("long"), text=F.col(text).cast("string"))
-    if row:
-        rows = docs.select(
-            F.col(row).alias(ROW), F.col(doc_id).cast("long").alias("doc_id"),
-            F.col(text).cast("string").alias("text"),
-        )
     rarity = rarities(rows.select("text"), rule)
     sets = stage(sets_of(rows, rule, rarity), "sets")
     classes = stage(
@@ -385,9 +380,49 @@ def jaccard_classes(
     return sets.select(ROW, "doc_id", F.col("n").cast("long").alias("n_shingles"), "set_id").join(
         by_set, "set_id", "left"
     ).select(
-        ROW, "doc_id", "n_shingles",
+        ROW, "doc_id", "set_id", "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("first_row", ROW).alias("first_row"),
     )
+
+
+def one_per_component(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id="doc_id") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest
+    id stays (one of those with that id and set, if it is repeated).
+
+    Only rows whose id is among those of components with several rows are looked at again; all
+    others go straight through, so few texts are shuffled.
+    """
+    found = jaccard_classes(docs, rule, text, doc_id).where("n_links > 0")
+    decided = stage(
+        found.groupBy("doc_id", "set_id")
+        .agg(F.max(F.col("first_row") == F.col(ROW)).alias("stays")), "decided",
+    )
+    chosen = IdFilter(decided.select("doc_id"))
+    own = unused(docs, "__own")
+    names = [f"{own}_{c}" for c in ("doc_id", "set_id", "stays")]
+    wide = docs.withColumns({
+        f"{own}_text": F.col(text).cast("string"), names[0]: F.col(doc_id).cast("long"),
+    })
+    at_text, at_id = (wide.columns.index(c) for c in (f"{own}_text", names[0]))
+
+    def clear(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pc.invert(chosen.holds(batch.column(at_id))))
+
+    def marked(batch: pa.RecordBatch):
+        batch = batch.filter(chosen.holds(batch.column(at_id)))
+        ids = [set_ids(*distinct_sets(part, rule)) for part in W.texts(batch.column(at_text))]
+        ids = pa.concat_arrays(ids) if ids else pa.array([], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, names[1]])
+
+    schema = T.StructType([*wide.schema.fields, T.StructField(names[1], T.BinaryType())])
+    a, b = each_batch(wide, marked, schema), decided.toDF(*[f"{n}_r" for n in names])
+    same = [F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in names[:2]]
+    judged = a.join(b, same, "left").where(F.coalesce(f"{names[2]}_r", F.lit(True)))
+    # Rows of no component stay as they are, repeated ones as well.
+    kept = judged.where(F.col(f"{names[2]}_r")).dropDuplicates(names[:2])
+    others = judged.where(F.col(f"{names[2]}_r").isNull())
+    parts = [each_batch(wide, clear, wide.schema), kept, others]
+    return reduce(DataFrame.unionByName, [p.select(*docs.columns) for p in parts])
