@@ -267,8 +267,12 @@ def repeats(rows: DataFrame, shard: int = SHARD) -> DataFrame:
     ``rows`` has the columns doc (long, not null) and text.
     """
     runs = stage(each_batch(rows, _emit_runs, RUNS), "runs")
-    anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    live = stage(runs.join(anchors.select("anchor"), "anchor"), "live-runs")
+    # Written, so that both sides of the join are plain shuffles, which Spark splits where skewed.
+    anchors = stage(
+        runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
+        "anchors",
+    )
+    live = stage(runs.join(anchors, "anchor"), "live-runs")
 
     def folded(some: DataFrame) -> DataFrame:
         """Different runs with their first place and how many others their anchor has."""
