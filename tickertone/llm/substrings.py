@@ -44,7 +44,7 @@ SHARD = 20_000                # different runs of one anchor that one automaton
 SHARD_RUNS = 4000             # runs of a shard, on average
 LAST = (1 << 63) - 1
 
-RUNS = "anchor long, run long, doc long, text_hash long, start int, windows int"
+RUNS = "anchor long, run long, doc long, text_hash int, start int, windows int"
 
 
 class SuffixAutomaton:
@@ -123,7 +123,9 @@ def repeated_windows(runs: list[list[bytes]]) -> list[int]:
 
 
 def _text_hashes(part: W.Texts) -> np.ndarray:
-    return W.span_hashes(part.data, part.offsets[:-1], part.offsets[1:]).view(np.int64)
+    """32 bits are enough to tell texts of one id apart."""
+    whole = W.span_hashes(part.data, part.offsets[:-1], part.offsets[1:])
+    return (whole >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _runs_of(part: W.Texts):
@@ -245,7 +247,7 @@ def _by_window(batch: pa.RecordBatch):
                     rows.append((x["anchor"], int(h), doc[part.first + i].as_py(), int(own[i]),
                                  x["start"] + k, 1))
         names = [c.split()[0] for c in RUNS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         columns = zip(*rows, strict=True) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
@@ -325,7 +327,7 @@ def without_repeats(docs: DataFrame, text="text", doc_id="doc_id", shard: int =
     ), "repeats")
     chosen = IdFilter(found.select("doc"))
     hit = among(rows, chosen).join(found, "doc", "left").select("doc", "text", "found")
-    kind = "array<struct<text_hash:long,start:int,bits:int>>"
+    kind = "array<struct<text_hash:int,start:int,bits:int>>"
 
     def rest_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pc.invert(chosen.holds(batch.column(0))))
