@@ -120,7 +120,7 @@ class IdFilter:
 
     def __init__(self, ids: DataFrame):
         def fill(batches: Batches) -> Batches:
-            total = np.zeros(SLOTS, dtype=np.int64)
+            total = np.zeros(SLOTS, dtype=np.int8)
             for batch in batches:
                 total[_slots(batch.column(0))] = 1
             yield from vector_rows(pieces(total, TaskContext.get().partitionId()))

@@ -327,11 +327,12 @@ def without_repeats(docs: DataFrame, text="text", doc_id="doc_id", shard: int =
     ), "repeats")
     chosen = IdFilter(found.select("doc"))
     hit = among(rows, chosen).join(found, "doc", "left").select("doc", "text", "found")
-    kind = "array<struct<text_hash:int,start:int,bits:int>>"
 
-    def rest_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pc.invert(chosen.holds(batch.column(0))))
+    def whole(batch: pa.RecordBatch):
+        """Texts that surely hold no repeat, in the pass that picks them: one worker per task."""
+        batch = batch.filter(pc.invert(chosen.holds(batch.column(0))))
+        none = pa.nulls(batch.num_rows, pa.list_(pa.int8()))
+        yield from _rest(pa.RecordBatch.from_arrays([*batch.columns, none], names=["doc", "text", "found"]))
 
-    clear = each_batch(rows, rest_of, rows.schema).withColumn("found", F.lit(None).cast(kind))
-    done = each_batch(hit, _rest, REST).unionByName(each_batch(clear, _rest, REST))
+    done = each_batch(hit, _rest, REST).unionByName(each_batch(rows, whole, REST))
     return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
