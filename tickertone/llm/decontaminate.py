@@ -112,10 +112,7 @@ def corpus_range(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
                 size = np.diff(np.append(begin, len(hashes)))
                 row = (seeds % np.uint64(RANGE)).astype(np.int64)
                 sign = 1.0 - 2.0 * ((seeds >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
-                rows += np.bincount(
-                    np.repeat(row, size) * TERMS + terms, weights=np.repeat(sign, size),
-                    minlength=RANGE * TERMS,
-                )
+                np.add.at(rows, np.repeat(row, size) * TERMS + terms, np.repeat(sign, size))
         total = np.concatenate([rows, frequency])
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 

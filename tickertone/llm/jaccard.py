@@ -27,9 +27,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -44,6 +44,9 @@ from .frames import (
     ROW, VECTOR, IdFilter, each_batch, pieces, rows_of, summed_vector, unused, vector_rows,
 )
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 SKETCH = 1 << 22
 PAIRED = 32            # nodes of a shingle that are still paired one by one
 BLOCK = 512            # nodes of a block, on average
@@ -119,10 +122,10 @@ def set_ids(hashes: np.ndarray, edges: np.ndarray) -> pa.Array:
 def rarities(docs: DataFrame, rule: Rule) -> np.ndarray:
     """A class of frequency for each slot of the counter table, over all texts."""
     def count(batches):
-        total = np.zeros(SKETCH, dtype=np.int64)
+        total = np.zeros(SKETCH, dtype=np.int32)
         for batch in batches:
             for part in W.texts(batch.column(0)):
-                total += np.bincount(_slot(shingles(part, rule)[0]), minlength=SKETCH)
+                np.add.at(total, _slot(shingles(part, rule)[0]), 1)
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
     counts = summed_vector(docs.mapInArrow(count, VECTOR), SKETCH)
@@ -245,6 +248,8 @@ def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def _block_links(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     """Links among the nodes of two blocks that share a frequent shingle."""
+    import pandas as pd  # only here, as each worker pays for it
+
     m = len(group)
     token = group["token"].iloc[0]
     nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()

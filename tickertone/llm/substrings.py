@@ -25,9 +25,9 @@ null text has no words. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -37,6 +37,9 @@ from ..session import stage
 from . import words as W
 from .frames import IdFilter, among, each_batch
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 WINDOW = 20
 ANCHOR = 6
 SPREAD = WINDOW - ANCHOR + 1  # places of an anchor in a window, and windows of a run at most
@@ -187,6 +190,8 @@ def _emit_words(batch: pa.RecordBatch):
 
 def _shard(group: pd.DataFrame) -> pd.DataFrame:
     """An automaton for each anchor of a shard; runs of different anchors share no window."""
+    import pandas as pd  # only here, as each worker pays for it
+
     group = group.sort_values(["anchor", "doc", "text_hash", "start", "run"])
     spelled = [w.split() for w in group["words"]]
     edges = np.flatnonzero(group["anchor"].diff().ne(0).to_numpy()).tolist()

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20  # texts are worked on about this much at a time
+CHUNK_BYTES = 1 << 19  # texts are worked on about this much at a time
 CHUNK_ROWS = 4096
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, dtype=bool)
