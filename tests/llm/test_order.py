@@ -186,7 +186,6 @@ def test_pipeline(spark, tmp_path):
     mixed = [r.doc_id for r in spark.read.parquet(f"{tmp_path}/stage3").collect()]
     assert set(mixed) <= kept and max(mixed.count(i) for i in kept) <= 2
     assert {s.doc_id for r in left.collect() for s in r.segments} == set(mixed)
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == left.count()
     for name in ("documents", "benchmark"):
         empty = spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0)
         empty.write.parquet(f"{tmp_path}/empty/{name}.parquet")

@@ -26,7 +26,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from typing import TYPE_CHECKING
 
 import numpy as np
@@ -407,27 +406,32 @@ def one_per_component(docs: DataFrame, rule: Rule = Rule(), text="text", doc_id=
     )
     chosen = IdFilter(decided.select("doc_id"))
     own = unused(docs, "__own")
-    names = [f"{own}_{c}" for c in ("doc_id", "set_id", "stays")]
-    wide = docs.withColumns({
-        f"{own}_text": F.col(text).cast("string"), names[0]: F.col(doc_id).cast("long"),
-    })
-    at_text, at_id = (wide.columns.index(c) for c in (f"{own}_text", names[0]))
+    at_text, at_id = docs.columns.index(text), docs.columns.index(doc_id)
+
+    def involved(batch: pa.RecordBatch) -> pa.Array:
+        return chosen.holds(batch.column(at_id).cast(pa.int64()))
 
     def clear(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pc.invert(chosen.holds(batch.column(at_id))))
-
-    def marked(batch: pa.RecordBatch):
-        batch = batch.filter(chosen.holds(batch.column(at_id)))
-        ids = [set_ids(*distinct_sets(part, rule)) for part in W.texts(batch.column(at_text))]
-        ids = pa.concat_arrays(ids) if ids else pa.array([], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, names[1]])
-
-    schema = T.StructType([*wide.schema.fields, T.StructField(names[1], T.BinaryType())])
-    a, b = each_batch(wide, marked, schema), decided.toDF(*[f"{n}_r" for n in names])
-    same = [F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in names[:2]]
-    judged = a.join(b, same, "left").where(F.coalesce(f"{names[2]}_r", F.lit(True)))
-    # Rows of no component stay as they are, repeated ones as well.
-    kept = judged.where(F.col(f"{names[2]}_r")).dropDuplicates(names[:2])
-    others = judged.where(F.col(f"{names[2]}_r").isNull())
-    parts = [each_batch(wide, clear, wide.schema), kept, others]
-    return reduce(DataFrame.unionByName, [p.select(*docs.columns) for p in parts])
+        return batch.filter(pc.invert(involved(batch)))
+
+    def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = batch.filter(involved(batch))
+        texts = batch.column(at_text).cast(pa.string())
+        ids = [set_ids(*distinct_sets(part, rule)) for part in W.texts(texts)]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.concat_arrays(ids) if ids else pa.array([], pa.binary())],
+            names=[*batch.schema.names, f"{own}_set"],
+        )
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(f"{own}_set", T.BinaryType())])
+    looked_at = each_batch(docs, marked, schema).withColumn(f"{own}_id", F.col(doc_id).cast("long"))
+    judged = looked_at.join(
+        decided.toDF(f"{own}_r_id", f"{own}_r_set", f"{own}_stays"),
+        [F.col(f"{own}_{c}").eqNullSafe(F.col(f"{own}_r_{c}")) for c in ("id", "set")], "left",
+    ).where(F.coalesce(f"{own}_stays", F.lit(True)))
+    # Of a repeated row that stays, one does; rows of no component all stay as they are.
+    apart = F.when(F.col(f"{own}_stays"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    kept = judged.withColumn(f"{own}_apart", apart).dropDuplicates(
+        [f"{own}_id", f"{own}_set", f"{own}_apart"]
+    )
+    return each_batch(docs, clear, docs.schema).unionByName(kept.select(*docs.columns))
