@@ -77,6 +77,25 @@ def test_jaccard_is_exact(spark, monkeypatch, paired, block):
     assert all(first[r.first_row] == r.component_id for r in got)
 
 
+def template_copies():
+    """A pair that shares rare words before those of a template of 42 other texts."""
+    template = [f"t{i}" for i in range(86)]
+    shared = [f"s{i}" for i in range(10)]
+    texts = [" ".join([*shared, *template, *(f"{side}{i}" for i in range(4))]) for side in "ab"]
+    return texts + [" ".join([*template, *(f"o{k}x{i}" for i in range(10))]) for k in range(42)]
+
+
+@pytest.mark.parametrize("sketch", [1 << 22, 1 << 10])
+def test_jaccard_counts_rare_words_before_frequent_ones(spark, monkeypatch, sketch):
+    monkeypatch.setattr(jaccard, "SKETCH", sketch)
+    rule = jaccard.Rule(words=1, num=85, den=100)
+    for texts in (template_copies(), template_copies() + corpus()):
+        got = jaccard.jaccard_classes(documents(spark, texts), rule).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == sorted(
+            plain_classes(list(enumerate(texts)), rule)
+        )
+
+
 def test_one_of_each_component_stays(spark):
     base = near_copies(7, 5, 100, 2)
     texts = [*base, base[0], base[0].upper(), prose(1, 50), prose(1, 50), "", "", None, prose(2, 60), prose(2, 60)]

@@ -94,7 +94,7 @@ def distinct_sets(part: W.Texts, rule: Rule, rarity: np.ndarray | None = None):
     if rarity is None:
         order = np.lexsort((hashes, owner))
     else:
-        order = np.lexsort((hashes, rarity[_slot(hashes)], owner))
+        order = np.lexsort((hashes, rarity[_slot(hashes, len(rarity))], owner))
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), dtype=bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -102,8 +102,8 @@ def distinct_sets(part: W.Texts, rule: Rule, rarity: np.ndarray | None = None):
     return hashes, np.searchsorted(owner, np.arange(len(part) + 1))
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
 
 
 def set_ids(hashes: np.ndarray, edges: np.ndarray) -> pa.Array:
@@ -120,14 +120,16 @@ def set_ids(hashes: np.ndarray, edges: np.ndarray) -> pa.Array:
 
 def rarities(docs: DataFrame, rule: Rule) -> np.ndarray:
     """A class of frequency for each slot of the counter table, over all texts."""
+    slots = SKETCH
+
     def count(batches):
-        total = np.zeros(SKETCH, dtype=np.int32)
+        total = np.zeros(slots, dtype=np.int32)
         for batch in batches:
             for part in W.texts(batch.column(0)):
-                np.add.at(total, _slot(shingles(part, rule)[0]), 1)
+                np.add.at(total, _slot(shingles(part, rule)[0], slots), 1)
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
-    counts = summed_vector(docs.mapInArrow(count, VECTOR), SKETCH)
+    counts = summed_vector(docs.mapInArrow(count, VECTOR), slots)
     return np.floor(4 * np.log2(1 + counts)).astype(np.uint8)
 
 
@@ -256,8 +258,9 @@ def _block_links(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     home = (group["block"] == group["low"]).to_numpy()
     wanted = -(-rule.num * (n[:, None] + n[None, :]) // (rule.num + rule.den))
     open_ = rule.num * np.maximum.outer(n, n) <= rule.den * np.minimum.outer(n, n)
+    # Rare shingles that both share may come before this one, so what precedes it counts as well.
     left = n - pos
-    open_ &= np.minimum.outer(left, left) >= wanted
+    open_ &= np.minimum.outer(pos, pos) + np.minimum.outer(left, left) >= wanted
     np.fill_diagonal(open_, False)
     if group["low"].iloc[0] != group["high"].iloc[0]:
         open_ &= home[:, None] != home[None, :]
