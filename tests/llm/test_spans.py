@@ -107,6 +107,39 @@ def test_field_adds_what_the_patterns_leave(spark):
     assert all(got[i].spans == "" for i in range(30, 40))
 
 
+def card_numbers(n):
+    out = []
+    for i in range(n):
+        stem = f"4{i * 7919 + 10**13:014d}"
+        out.append(next(stem + d for d in "0123456789" if personal.luhn(stem + d)))
+    return out
+
+
+def test_field_finds_every_number_of_a_long_list(spark):
+    numbers = card_numbers(1030)
+    texts = [f"words here {n} and more words" for n in numbers[:30]]
+    texts += [f"number {i}{i}{i} is none" for i in range(10)]
+    w = personal.fit_on(documents(spark, texts))
+    listed = " ".join(numbers[30:])
+    [got] = personal.scan(documents(spark, [listed]), weights=w).collect()
+    assert got.spans == ",".join(f"card:{17 * i}:{17 * i + 16}" for i in range(1000))
+
+
+def test_pieces_of_a_region_are_decoded_as_one(monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    text = " ".join(r.choice(["4111111111111111", "1.2.3.4", "a@b.com", "+1 (377)", "12", "x-"], 200))
+    assert personal.regions(text) == [(0, len(text))] and len(personal.stretches(text)) > 1
+    for _ in range(5):
+        w = personal.Weights(r.normal(size=(len(personal.FEATURES), personal.LABELS)),
+                             r.normal(size=(personal.LABELS, personal.LABELS)))
+        whole = personal.decode(personal.Stretch(text, 0, len(text)), w)
+        for piece in (3, 16, 101):
+            monkeypatch.setattr(personal, "PIECE", piece)
+            assert personal.decode_region(text, 0, len(text), w) == whole
+
+
 @pytest.mark.parametrize("scan", [secrets.scan, personal.scan])
 def test_odd_rows(odd, nothing, scan):
     got = scan(odd).collect()

@@ -3,7 +3,8 @@
 Four kinds follow fixed patterns (``email``, ``ip``, ``card``, ``phone``) and are always reported.
 The field looks at the text around digits and at signs. It scores whole spans of up to MAX_TOKENS
 tokens (digit counts, check digit, separators, what stands on either side) and transitions
-between kinds, and a dynamic program over bounded spans picks boundaries and kinds together.
+between kinds, and a dynamic program over bounded spans picks boundaries and kinds together,
+over the whole of each region with digits or at signs, however long it is.
 Spans it finds beyond the fixed ones, and apart from them, are added.
 
 Its weights are fitted here, by gradient steps on the conditional likelihood, on the stretches
@@ -18,7 +19,7 @@ are reported. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 14
 MAX_DOCUMENTS, MAX_STRETCHES = 5000, 400  # bounds of the sample the weights are fitted on
 AROUND = 24                               # characters on either side of a digit or at sign
-STRETCH = 512                             # characters of a stretch, at most
+STRETCH = 512                             # characters of a stretch of the sample, at most
+PIECE = 512                               # tokens of a region that are scored at a time
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -100,6 +102,17 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def regions(text: str) -> list[tuple[int, int]]:
+    """Stretches that touch in one, so that no span is cut where a stretch is full."""
+    out: list[tuple[int, int]] = []
+    for start, end in stretches(text):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+    return out
+
+
 FEATURES = (
     "any", "one at sign", "dot after at", "12 to 19 digits", "9 to 15 digits", "plus first",
     "check digit", "four parts", "space inside", "letter inside", "joined on the left",
@@ -285,23 +298,49 @@ def fit(samples: Sequence[tuple[str, list[S.Span]]], rounds: int = 12, rate: flo
 
 def decode(x: Stretch, w: Weights) -> list[S.Span]:
     """The best segmentation's spans of a kind."""
-    n, s = len(x), w.scores(x)
-    best = np.full((n + 1, LABELS), -np.inf)
+    return _best(x.edges, [w.scores(x)], w)
+
+
+def decode_region(text: str, start: int, end: int, w: Weights) -> list[S.Span]:
+    """The same for a region of any length, of which PIECE tokens are scored at a time."""
+    lengths = np.fromiter((len(m[0]) for m in _TOKEN.finditer(text, start, end)), np.int64)
+    edges = start + np.concatenate([[0], np.cumsum(lengths)])
+    n = len(lengths)
+
+    def blocks():
+        for first in range(0, n, PIECE):
+            # The token before and those that spans reach, and one more, decide on the features.
+            low, high = max(0, first - 1), min(n, first + PIECE + MAX_TOKENS + 1)
+            s = w.scores(Stretch(text, int(edges[low]), int(edges[high])))
+            yield s[first - low:first - low + min(PIECE, n - first)]
+
+    return _best(edges, blocks(), w)
+
+
+def _best(edges: np.ndarray, blocks: Iterable[np.ndarray], w: Weights) -> list[S.Span]:
+    """Spans of the best segmentation; ``blocks`` are the scores of successive first tokens."""
+    n = len(edges) - 1
     enter = np.zeros((n + 1, LABELS))
-    came = np.zeros((n + 1, LABELS), dtype=np.int64)
-    back = np.zeros((n + 1, LABELS), dtype=np.int64)
-    for end in range(1, n + 1):
-        ks = np.arange(min(MAX_TOKENS, end))
-        into = enter[end - ks - 1] + s[end - ks - 1, ks]
-        back[end] = into.argmax(axis=0)
-        best[end] = into.max(axis=0)
-        moves = best[end][:, None] + w.steps
-        came[end], enter[end] = moves.argmax(axis=0), moves.max(axis=0)
-    out, end, label = [], n, int(best[n].argmax())
+    came = np.zeros((n + 1, LABELS), dtype=np.int8)
+    back = np.zeros((n + 1, LABELS), dtype=np.int8)
+    best, done = np.zeros(LABELS), 0
+    held = np.zeros((0, MAX_TOKENS, LABELS))
+    for block in blocks:
+        s, low = np.concatenate([held, block]), done - len(held)
+        for end in range(done + 1, done + len(block) + 1):
+            ks = np.arange(min(MAX_TOKENS, end))
+            into = enter[end - ks - 1] + s[end - ks - 1 - low, ks]
+            back[end] = into.argmax(axis=0)
+            best = into.max(axis=0)
+            moves = best[:, None] + w.steps
+            came[end], enter[end] = moves.argmax(axis=0), moves.max(axis=0)
+        done += len(block)
+        held = s[1 - MAX_TOKENS:]
+    out, end, label = [], n, int(best.argmax())
     while end > 0:
         begin = end - int(back[end][label]) - 1
         if label < LABELS - 1:
-            out.append((int(x.edges[begin]), label, int(x.edges[end])))
+            out.append((int(edges[begin]), label, int(edges[end])))
         label, end = int(came[begin][label]), begin
     return out[::-1]
 
@@ -312,8 +351,8 @@ def all_spans(text: str, w: Weights | None) -> tuple[list[S.Span], list[S.Span]]
     if w is None:
         return base, base
     more = []
-    for start, end in stretches(text):
-        for s, kind, e in decode(Stretch(text, start, end), w):
+    for start, end in regions(text):
+        for s, kind, e in decode_region(text, start, end, w):
             if not any(a < e and s < b for a, _, b in base):
                 more.append((s, kind, e))
     return base, base + more
