@@ -63,6 +63,21 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert {(x.doc_id, x.item_id) for x in got if x.doc_id < len(texts)} == wanted
 
 
+def test_paraphrases_of_long_items_are_found(spark):
+    item = f"{prose('long', 194, 5000)}. {prose('answer', 6, 5000)}"
+    words = item.split()
+    # A third of the words before the answer are others; once the answer is there, once it is not.
+    words = [f"x{j}" if j % 3 == 1 and j < 194 else w for j, w in enumerate(words)]
+    texts = [
+        " ".join([prose(i, 80, 3000), *words[:194], *end, prose(i + 9, 80, 3000)])
+        for i, end in enumerate((words[194:], [f"y{j}" for j in range(6)]))
+    ]
+    texts += [prose(i, 300, 3000) for i in range(20, 40)]
+    got = decontaminate.matches(documents(spark, texts), benchmark(spark, [item])).collect()
+    assert [(r.doc_id, r.item_id, r.answered) for r in got] == [(0, 0, 1.0)]
+    assert 0.5 <= got[0].shared < 0.8
+
+
 def test_benchmarks_are_searched_in_parts(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 3)
     items = [prose(f"b{i}", 20, 5000) for i in range(8)]

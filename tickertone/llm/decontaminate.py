@@ -17,8 +17,8 @@ Benchmark passages are searched ITEMS at a time, each time against all texts, so
 the tasks is bounded (TERMS rows of about ITEMS + RANGE numbers) whatever the benchmark's size.
 
 Defined cases: null or empty texts match nothing. Benchmark items that are null or shorter than
-SHORTEST words are not searched; long ones are cut into passages of 64 words, and any of these
-may match. Without an answer column the last sentence is taken as the answer. Repeated rows and
+SHORTEST words are not searched; long ones are cut into passages of 64 words, any of these may
+match, and the item's answer is looked for as far away as the item is long. Without an answer column the last sentence is taken as the answer. Repeated rows and
 ids are searched one by one; a match of the same id and item is returned once. Rows without an id
 are searched but left out of ``matches``. An empty table gives an empty result.
 """
@@ -51,11 +51,12 @@ COPIED, PARAPHRASED, ANSWERED = 0.8, 0.5, 0.8
 
 @dataclass
 class Passage:
-    """A benchmark passage: its words and those of its answer, as hashes."""
+    """A benchmark passage: its words and those of its item's answer, as hashes."""
 
     item: int
     words: np.ndarray
     answer: Counter
+    reach: int  # words of the whole item: so far on either side the answer may stand
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -75,8 +76,10 @@ def passages(item: int, text: str, answer: str | None = None) -> list[Passage]:
     whole = STEP * STEPS
     edges = [*range(0, max(1, len(found) - whole // 2), whole), len(found)]
     if len(edges) == 2:
-        return [Passage(item, found, wanted)]
-    return [Passage(item, found[a:b], Counter()) for a, b in zip(edges, edges[1:], strict=False)]
+        return [Passage(item, found, wanted, len(found))]
+    return [
+        Passage(item, found[a:b], wanted, len(found)) for a, b in zip(edges, edges[1:], strict=False)
+    ]
 
 
 def _terms(hashes: np.ndarray) -> np.ndarray:
@@ -212,12 +215,12 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - state.bit_count()
 
 
-def _judge(p: Passage, region: np.ndarray) -> tuple[float, float, bool]:
-    """Shares of the passage and of its answer in the region, and whether that is a leak."""
+def _judge(p: Passage, region: np.ndarray, around: np.ndarray) -> tuple[float, float, bool]:
+    """Shares of the passage in the region and of its answer around it, and whether that is a leak."""
     share = common_subsequence(p.words, region) / len(p.words)
     if share < PARAPHRASED:
         return share, 0.0, False
-    held = Counter(region.tolist())
+    held = Counter(around.tolist())
     wanted = sum(p.answer.values())
     answer = sum(min(n, held[x]) for x, n in p.answer.items()) / wanted if wanted else 0.0
     return share, answer, share >= COPIED or answer >= ANSWERED
@@ -249,9 +252,11 @@ def _search(part: W.Texts, space: Space):
     for w, j in zip(*np.nonzero(near), strict=True):
         p = space.passages[j]
         text = owner[w]
-        low = max(first[text], begin[w] - len(p.words))
-        high = min(first[text + 1], begin[w] + STEP * STEPS + len(p.words))
-        share, answer, leak = _judge(p, hashes[low:high])
+        region, around = (
+            hashes[max(first[text], begin[w] - n):min(first[text + 1], begin[w] + STEP * STEPS + n)]
+            for n in (len(p.words), p.reach)
+        )
+        share, answer, leak = _judge(p, region, around)
         if leak:
             cosine = float(along[w, j] / length[w])
             key = (int(text), p.item)
