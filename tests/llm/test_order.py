@@ -63,6 +63,42 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert {(x.doc_id, x.item_id) for x in got if x.doc_id < len(texts)} == wanted
 
 
+def test_copies_without_their_rarest_words_are_found(spark):
+    r = random.Random(4)
+    common = [f"c{i}" for i in range(30)]
+    items = [
+        " ".join([*(w for i, c in enumerate(r.sample(common, 12)) for w in (c, f"r{k}x{i}"))])
+        + ". " + " ".join(r.sample(common, 4)) for k in range(5)
+    ]
+    texts = [prose(i, 80, 3000) + " " + " ".join(common) for i in range(60)]
+    for k, item in enumerate(items):
+        copy = [f"other{k}x{i}" if w.startswith("r") else w for i, w in enumerate(item.split())]
+        texts.append(" ".join([prose(k, 90, 3000), *copy, prose(k + 9, 90, 3000)]))
+    got = decontaminate.matches(documents(spark, texts), benchmark(spark, items)).collect()
+    assert {(60 + k, k) for k in range(5)} == {(x.doc_id, x.item_id) for x in got}
+
+
+def test_no_window_that_would_be_judged_a_leak_is_missing():
+    r = random.Random(6)
+    some = [p for i in range(12) for p in decontaminate.passages(i, prose(f"b{i}", r.choice([9, 30, 150]), 20))]
+    space = decontaminate.latent_space(
+        some, np.zeros((decontaminate.RANGE, decontaminate.TERMS)), np.ones(decontaminate.TERMS), 9.0)
+    part = next(W.texts(__import__("pyarrow").array([prose(i, 300 * i, 24) for i in range(4)])))
+    starts, ends, first = W.split_words(part)
+    hashes = W.span_hashes(W.lowered(part.data), starts, ends)
+    size, want = decontaminate.STEP * decontaminate.STEPS, set()
+    begin, owner = decontaminate._blocks(np.diff(first), decontaminate.STEP)
+    for b, text in zip(begin, owner, strict=True):
+        for p in some:
+            region, around = (
+                hashes[max(first[text], b - n):min(first[text + 1], b + size + n)]
+                for n in (len(p.words), p.reach))
+            if decontaminate._judge(p, region, around)[2]:
+                want.add((text, p.item))
+    got = {(text, item) for text, item, *_ in decontaminate._search(part, space)}
+    assert got == want and want
+
+
 def test_paraphrases_of_long_items_are_found(spark):
     item = f"{prose('long', 194, 5000)}. {prose('answer', 6, 5000)}"
     words = item.split()

@@ -9,6 +9,8 @@
 * A second pass compares every window of 64 words (a step of 16 words apart) with every
   benchmark passage in that space: how much of the passage it covers, and by cosine. A sparse
   bound on the first is taken before, and only windows that can reach it are projected.
+  Weights of rare words dominate there, so windows around which enough of a passage's words
+  stand in order, whatever their weight, are candidates as well.
   Candidates are checked in place on their words: the
   longest common subsequence with the benchmark passage decides, and in the range of
   paraphrases the words of the answer must be there as well.
@@ -43,6 +45,7 @@ TERMS = 1 << 16
 RANGE = 32           # rows of the range finder
 ITEMS = 192          # benchmark passages that are searched in one pass
 STEP, STEPS = 16, 4  # words of a block, and blocks of a window
+SEGMENT = 16         # windows whose words are compared with a passage's at once
 SHORTEST = 8
 LITTLE = 0.005                   # share of a passage that one word covers and that is not listed
 COSINE, COVERED = 0.3, 0.3       # what makes a window a candidate
@@ -137,15 +140,18 @@ class Space:
     entry_item: np.ndarray
     entry: np.ndarray      # what one occurrence of the term covers of the passage, if not little
     little: np.ndarray     # the most an occurrence covers of any passage besides
+    held: np.ndarray       # how often each term is in each passage
+    least: np.ndarray      # words of each passage that a leak has at least
 
 
 def latent_space(some: list[Passage], rows: np.ndarray, frequency: np.ndarray, texts: float) -> Space:
     # A term of every text weighs little, but not nothing: a corpus may be a single text.
     idf = np.log((1.0 + texts) / (1.0 + frequency)) + 0.01
     matter = np.unique(np.concatenate([_terms(p.words) for p in some]))
-    own = np.stack([
+    held = np.stack([
         np.bincount(np.searchsorted(matter, _terms(p.words)), minlength=len(matter)) for p in some
-    ]) * idf[matter]
+    ])
+    own = held * idf[matter]
     own_scaled = 4.0 * own / np.linalg.norm(own, axis=1, keepdims=True)
     corpus = rows * idf
     scale = np.linalg.norm(corpus, axis=1, keepdims=True)
@@ -170,6 +176,8 @@ def latent_space(some: list[Passage], rows: np.ndarray, frequency: np.ndarray, t
         some, row, loading.astype(np.float32), unit.T.astype(np.float32), norms,
         np.searchsorted(term, np.arange(len(matter) + 1)), item, covers[term, item],
         np.where(listed, 0.0, np.maximum(covers, 0.0)).max(axis=1, initial=0.0),
+        np.ascontiguousarray(held.T.astype(np.uint8)),
+        np.array([int(np.ceil(PARAPHRASED * len(p.words))) for p in some]),
     )
 
 
@@ -210,8 +218,9 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     full = (1 << len(a)) - 1
     state = full
     for x in b.tolist():
-        hit = state & masks.get(x, 0)
-        state = ((state + hit) | (state - hit)) & full
+        if x in masks:
+            hit = state & masks[x]
+            state = ((state + hit) | (state - hit)) & full
     return len(a) - state.bit_count()
 
 
@@ -226,6 +235,37 @@ def _judge(p: Passage, region: np.ndarray, around: np.ndarray) -> tuple[float, f
     return share, answer, share >= COPIED or answer >= ANSWERED
 
 
+def _sharing(space: Space, hashes, row, used, begin, owner, first):
+    """(windows, passage) of SEGMENT windows in a row around which enough of the passage's words
+    stand in order, whatever their weight: no window that _judge accepts is missing."""
+    n = np.diff(np.searchsorted(owner, np.arange(len(first))))
+    head, text = _blocks(n, SEGMENT)                # first window of each segment
+    tail = np.minimum(head + SEGMENT, np.cumsum(n)[text])
+    around = max(len(p.words) for p in space.passages)
+    low = np.maximum(begin[head] - around, first[text])
+    high = np.minimum(begin[tail - 1] + STEP * STEPS + around, first[text + 1])
+    a, b = np.searchsorted(used, low), np.searchsorted(used, high)
+    filled = np.flatnonzero(b - a >= space.least.min())
+    if not len(filled):
+        return
+    at, which = _spread(a[filled], (b - a)[filled])
+    terms = len(space.held)
+    which, term = np.divmod(np.unique(which * terms + row[used[at]]), terms)
+    starts = np.searchsorted(which, np.arange(len(filled)))
+    held = np.add.reduceat(space.held[term], starts, axis=0, dtype=np.uint8)
+    for k, j in zip(*np.nonzero(held >= space.least[None, :]), strict=True):
+        p, segment = space.passages[j], filled[k]
+        words = used[a[segment]:b[segment]]
+        words = words[space.held[row[words], j] > 0]
+        if len(words) < space.least[j] or common_subsequence(p.words, hashes[words]) < space.least[j]:
+            continue
+        windows = np.arange(head[segment], tail[segment])
+        there = np.searchsorted(words, begin[windows] + STEP * STEPS + len(p.words))
+        there -= np.searchsorted(words, begin[windows] - len(p.words))
+        if (there >= space.least[j]).any():
+            yield windows[there >= space.least[j]], j
+
+
 def _search(part: W.Texts, space: Space):
     """(text, item, cosine, shared, answered) of the leaks in some texts."""
     starts, ends, first = W.split_words(part)
@@ -237,19 +277,20 @@ def _search(part: W.Texts, space: Space):
     row = space.row[_terms(hashes)]
     used = np.flatnonzero(row >= 0)
     rows = row[used]
-    some = _worth_projecting(space, rows, np.searchsorted(begin, used, side="right") - 1, owner)
-    if not len(some):
-        return
-    begin, owner = begin[some], owner[some]
-    low = np.searchsorted(used, begin)
-    high = np.searchsorted(used, np.minimum(begin + STEP * STEPS, first[owner + 1]))
-    at, _ = _spread(low, high - low)  # a window worth it has some of the terms
-    window = np.add.reduceat(space.loading[rows[at]], np.cumsum(high - low) - (high - low), axis=0)
-    length = np.linalg.norm(window, axis=1)
-    along = window @ space.items
-    near = (along >= COSINE * length[:, None]) & (along >= COVERED * space.norms[None, :])
     best: dict[tuple[int, int], tuple] = {}
-    for w, j in zip(*np.nonzero(near), strict=True):
+
+    def projected(windows: np.ndarray) -> np.ndarray:
+        low = np.searchsorted(used, begin[windows])
+        high = np.searchsorted(used, np.minimum(begin[windows] + STEP * STEPS, first[owner[windows] + 1]))
+        at, which = _spread(low, high - low)
+        out = np.zeros((len(windows), space.loading.shape[1]), dtype=np.float32)
+        filled = np.flatnonzero(high > low)
+        if len(filled):
+            starts = (np.cumsum(high - low) - (high - low))[filled]
+            out[filled] = np.add.reduceat(space.loading[rows[at]], starts, axis=0)
+        return out
+
+    def judge(w: int, j: int, window: np.ndarray) -> None:
         p = space.passages[j]
         text = owner[w]
         region, around = (
@@ -258,9 +299,22 @@ def _search(part: W.Texts, space: Space):
         )
         share, answer, leak = _judge(p, region, around)
         if leak:
-            cosine = float(along[w, j] / length[w])
+            length = float(np.linalg.norm(window))
+            cosine = float(window @ space.items[:, j]) / length if length else 0.0
             key = (int(text), p.item)
             best[key] = max(best.get(key, (0.0,)), (share, answer, cosine))
+
+    some = _worth_projecting(space, rows, np.searchsorted(begin, used, side="right") - 1, owner)
+    if len(some):
+        window = projected(some)
+        length = np.linalg.norm(window, axis=1)
+        along = window @ space.items
+        near = (along >= COSINE * length[:, None]) & (along >= COVERED * space.norms[None, :])
+        for k, j in zip(*np.nonzero(near), strict=True):
+            judge(some[k], j, window[k])
+    for windows, j in _sharing(space, hashes, row, used, begin, owner, first):
+        for w, window in zip(windows, projected(windows), strict=True):
+            judge(w, j, window)
     for (text, item), (share, answer, cosine) in sorted(best.items()):
         yield text, item, cosine, share, answer
 
