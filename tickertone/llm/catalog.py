@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, substrings, training_order
+from . import (
+    chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, spelling, substrings, training_order,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +87,16 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return training_order.write_shards(docs, training_order.new_folder(spark))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words with a few letters lost: one code point of each run whose checksum 97 divides."""
+    docs = table(spark, folder, "documents")
+    run, size = F.col("run"), F.length("run")
+    check = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+    read = docs.select("doc_id", spelling.runs(F.col("text")).alias("run")).where(size >= spelling.LEAST_LENGTH)
+    lost = spelling.without_character(run, F.pmod("check", size).cast("int"))
+    words = read.withColumn("check", check).select(F.when(F.col("check") % 97 == 0, lost).otherwise(run).alias("word"))
+    found = spelling.variants(spelling.counted(words))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
