@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, spelling, substrings, training_order,
+    chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, spelling, substrings,
+    training_order, trie,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +90,13 @@ def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return training_order.write_shards(docs, training_order.new_folder(spark))
 
 
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    return trie.prefix_trie(table(spark, folder, "conversations"), base=conv - conv % 20, head=head)
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words with a few letters lost: one code point of each run whose checksum 97 divides."""

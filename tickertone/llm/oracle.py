@@ -192,3 +192,81 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
         AND n_words - n_common_words >= 0.5 * n_words AS kept
 FROM facts
 """
+
+CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY i) AS tab FROM (
+        SELECT i, list_reduce(list_concat([i], range(8)),
+            lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) r(i)))"""
+CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode({0}))),
+    lambda k: CAST('0x' || substr(hex(encode({0})), CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))),
+    lambda c, k: xor(c >> 8, tab[xor(c & 255, k) + 1])), 4294967295)"""
+
+ORACLES["op12_conversation_trie"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, len({WORDS}) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT c, n, {CRC.format("CAST(c AS VARCHAR)")} % 4 AS h, c - c % 20 AS base
+    FROM (SELECT c, count(*) AS n FROM turns GROUP BY c), crc),
+rebuilt AS (
+    SELECT v.c, t.i AS d, role, text, words FROM convs v JOIN turns t ON t.c = v.base AND t.i <= h
+    UNION ALL
+    SELECT v.c, coalesce(least(v.h, b.n), 0) + t.i - v.h, role, text, words
+    FROM convs v JOIN turns t ON t.c = v.c AND t.i > v.h LEFT JOIN convs b ON b.c = v.base),
+ids AS (SELECT *, dense_rank() OVER (ORDER BY role, text) AS turn FROM rebuilt),
+paths AS (
+    SELECT c, CAST(0 AS BIGINT) AS d, sha256('') AS path, CAST(NULL AS VARCHAR) AS above,
+        CAST(0 AS BIGINT) AS words FROM convs
+    UNION ALL
+    SELECT p.c, p.d + 1, sha256(path || ':' || turn), path, i.words
+    FROM paths p JOIN ids i ON i.c = p.c AND i.d = p.d + 1),
+ended AS (SELECT c, d, d = max(d) OVER (PARTITION BY c) AS last, path, above, words FROM paths),
+nodes AS (
+    SELECT d, path, any_value(above) AS above, min(c) AS c, count(*) AS n, any_value(words) AS words,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends
+    FROM ended GROUP BY d, path),
+children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY above),
+facts AS (
+    SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+sums AS (
+    SELECT e.path, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n - 1) * f.words) AS saved
+    FROM facts f JOIN ended e ON e.c = f.c AND e.d <= f.d GROUP BY e.path)
+SELECT f.c AS conv_id, f.d AS depth, p.c AS parent_conv_id, f.n AS n_convs, f.n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM facts f JOIN sums USING (path) LEFT JOIN nodes p ON p.path = f.above
+"""
+
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+checked AS (
+    SELECT run, n, {CRC.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM counted, crc),
+words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END
+        AS word, CAST(sum(n) AS BIGINT) AS n
+    FROM checked GROUP BY 1),
+vocabulary AS (SELECT * FROM words WHERE length(word) >= 5 AND n >= 3),
+without AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM without a JOIN without b
+        ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM without a JOIN vocabulary b ON a.rest = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM without a JOIN vocabulary b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM pairs GROUP BY word),
+forms AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n
+    FROM vocabulary v LEFT JOIN best USING (word)),
+steps AS (
+    SELECT word, word AS tip, form AS next FROM forms
+    UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next)
+SELECT f.word, form, tip AS root, n, n_near, form_n FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
+"""
