@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat, decontaminate, jaccard, language, mixing, personal, quality, secrets, spelling, substrings,
-    training_order, trie,
+    training_order, trie, urls,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,17 @@ def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return training_order.write_shards(docs, training_order.new_folder(spark))
 
 
+URL_RULES = [
+    urls.Rule(False, "com", "/"), urls.Rule(True, "example.com", "/en/"), urls.Rule(False, "www.example.com", "/en/"),
+    urls.Rule(True, "net", "/es/"), urls.Rule(True, "net", "/fr/"),
+]
+
+
+@query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 @query
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     conv = F.col("conv")
