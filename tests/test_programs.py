@@ -84,9 +84,9 @@ def test_programs(spark, home):
     assert (b[b.headline.str.startswith("down")].cnn_neg > 0.5).all()
 
     for variant in ("baseline", "cnn_fusion"):
-        fitted = programs.train(spark, home, variant, CHOSEN, strengths=(1.0, 0.1), iterations=5)
+        fitted = programs.train(spark, home, variant, CHOSEN, strengths=(1.0, 0.1))
         history = spark.read.schema(readers.HISTORY).json(f"{home}/results/{variant}_history")
-        assert history.count() == 2 and fitted.best_epoch in (1, 2)
+        assert history.count() == fitted.history.count() >= fitted.best_epoch >= 1
     table = {r.model: r for r in programs.evaluate(spark, home, settings=CHOSEN).collect()}
     assert set(table) == {"baseline", "cnn_fusion"}  # the third has not been trained
     csv = spark.read.schema(readers.METRICS).option("header", True).csv(f"{home}/results/comparison").collect()

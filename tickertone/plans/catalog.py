@@ -699,42 +699,48 @@ def _model_b(spark: SparkSession, sf: str) -> DataFrame:
     return views.headlines(spark, sf).select("news_id", "ticker", "date").join(scores, "news_id")
 
 
+def _fitted(spark: SparkSession, sf: str):
+    """All variants trained together; the models, the test samples, and the table of samples."""
+    dataset = stage(_dataset(spark, sf), "dataset")
+    return fit_variants(dataset, stage(_model_b(spark, sf), "scored"), **DAILY)
+
+
 @query
 def direction_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """The tone-A variant fitted on its samples: what it was fitted on, and whether the epoch
-    it kept is the one that early stopping keeps from its history."""
+    """The tone-A variant fitted on its samples: what it was fitted on, and the loss that training
+    started from, which is known before any epoch."""
     dataset = stage(_dataset(spark, sf), "dataset")
     made = variant_samples(dataset, "finbert_fusion", **DAILY)
     fitted = models.fit_direction(made, "finbert_fusion")
-    stop = metrics.early_stop(fitted.history.withColumn("model", F.lit(fitted.variant)))
-    agrees = stop.select((F.col("best_epoch") == fitted.best_epoch).alias("epoch_agrees"))
+    losses = dict(zip(("train", "val"), fitted.untrained))
+    loss = F.coalesce(*[F.when(F.col("split") == k, F.lit(v)) for k, v in losses.items()])
     counts = made.groupBy("split").agg(
         F.count(F.lit(1)).alias("samples"), F.count_if(F.col("label") == 1).alias("ups")
     )
-    return counts.crossJoin(F.broadcast(agrees))
+    return rounded(counts.withColumn("untrained_loss", loss), 6, "untrained_loss")
+
+
+@query
+def direction_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Every epoch of the kept candidate of every variant, next to what early stopping makes of it."""
+    fitted, _ = _fitted(spark, sf)
+    histories = [m.history.withColumn("model", F.lit(name)) for name, m in fitted.items()]
+    history = histories[0].unionAll(histories[1]).unionAll(histories[2])
+    return history.join(metrics.early_stop(history), "model")
+
+
+@query
+def direction_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison table of the three trained variants on the test split."""
+    fitted, test = _fitted(spark, sf)
+    return models.evaluate_all(test, fitted)
 
 
 @query
 def direction_evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    """All three variants fitted and compared on the test split: predictions per variant and
-    true class, and whether metrics and history of the variant fit together."""
-    dataset = stage(_dataset(spark, sf), "dataset")
-    fitted, test = fit_variants(dataset, stage(_model_b(spark, sf), "scored"), **DAILY)
+    """All three variants fitted and put to the test split: how many rows of each true class each judged."""
+    fitted, test = _fitted(spark, sf)
     said = stage(models.predictions_of(test, fitted), "said")
-    right = said.groupBy("model").agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("share"))
-    table = metrics.comparison(said).join(right, "model")
-    losses = [
-        (name, m.best_epoch, r.epoch, r.val_loss)
-        for name, m in fitted.items() for r in m.history.collect()  # one row per strength
-    ]
-    history = spark.createDataFrame(losses, "model string, best int, epoch int, loss double")
-    kept = history.groupBy("model").agg(
-        (F.max("best") == F.min_by("epoch", F.struct("loss", "epoch"))).alias("kept_is_best")
-    )
-    fits = table.join(kept, "model").select(
-        "model", (F.col("kept_is_best") & (F.abs(F.col("accuracy") - F.col("share")) <= 5.1e-5)).alias("fits")
-    )
-    cells = metrics.confusion(said).select(
+    return metrics.confusion(said).select(
         "model", "label", (F.col("pred_0") + F.col("pred_1")).alias("predictions")
     )
-    return cells.join(fits, "model")

@@ -597,12 +597,14 @@ def oracles() -> dict[str, str]:
         ),
         "direction_fit": _with(
             f"""SELECT split, count(*) AS samples, count(*) FILTER (label = 1) AS ups,
-                       true AS epoch_agrees
-                FROM ({_SAMPLES}) GROUP BY split""",
+                       {_round("CASE WHEN split <> 'test' THEN ln(2) * avg(CASE WHEN label = 1 THEN pos_weight ELSE 1 END) END", 6, "untrained_loss")}
+                FROM ({_SAMPLES}), (SELECT count(*) FILTER (label = 0) / count(*) FILTER (label = 1) AS pos_weight
+                                    FROM tagged WHERE split = 'train')
+                GROUP BY split""",
             "tagged", rules=_LABELLED,
         ),
         "direction_evaluate": _with(
-            f"""SELECT model, c AS label, count(*) FILTER (label = c) AS predictions, true AS fits
+            f"""SELECT model, c AS label, count(*) FILTER (label = c) AS predictions
                 FROM ({_SAMPLES}), (VALUES (0), (1)) classes(c),
                      (VALUES ('baseline'), ('cnn_fusion'), ('finbert_fusion')) models(model)
                 WHERE split = 'test' GROUP BY model, c""",

@@ -128,7 +128,8 @@ def _samples(
 def train(
     spark: SparkSession, home: str, variant: str, settings: Settings = Settings(), **learner
 ) -> DirectionModel:
-    """Fit one variant; its best model and its history are written."""
+    """Fit one variant; its best model and its history are written. ``folder`` makes a linear
+    training resumable: it goes on after the last epoch whose state is there."""
     with staging():
         samples = _samples(spark, home, variant, "most_confident", settings)
         fitted = fit_direction(samples, variant, settings, **learner)
