@@ -1,14 +1,16 @@
+import datetime as dt
+
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from helpers import assert_close, bars_frame, indicator_loops, rows_by_date
+from helpers import DAY0, assert_close, bars_frame, indicator_loops, rows_by_date
 from pyspark.sql import functions as F
 
 from tickertone.config import Settings
 from tickertone.operators.indicators import (
-    indicator_builder, indicator_columns, register_indicator, with_indicators,
+    indicator_builder, indicator_columns, macd, register_indicator, with_indicators,
 )
-from tickertone.operators.series import along_series, number_rows
+from tickertone.operators.series import SeriesContext, along_series, in_step, number_rows, reach_of
 
 
 def walk(n, seed):
@@ -174,11 +176,64 @@ def test_a_burst_at_one_time_is_cut_too(spark):
     assert sum(ranges) == 40_000 and max(ranges) < 20_000
 
 
-def test_rows_looked_back_on_are_those_of_the_longest_chain():
-    from tickertone.operators.series import SeriesContext
-
-    ctx, macd = (SeriesContext(("ticker",), "date", True) for _ in range(2))
-    for kind, params in Settings().indicators.values():
-        indicator_builder(kind)(ctx, kind, **params)
-    indicator_builder("MACD")(macd, "M")
-    assert ctx.back == macd.back < 900
+def test_rows_looked_back_on_are_those_of_the_longest_chain(spark):
+    ctx, alone = (SeriesContext(("ticker",), "date", True) for _ in range(2))
+    every = in_step(*[indicator_builder(k)(ctx, out, **p) for out, (k, p) in Settings().indicators.items()])
+    assert reach_of(ctx, every) == reach_of(alone, macd(alone, "M")) and reach_of(ctx, every)[0] < 900
+
+
+def _chain(ctx, out, gap=100, n=50):
+    """A mean over a column that looks back itself."""
+    return [{f"__{out}_then": ctx.lag(F.col("close"), gap)}, {out: ctx.mean(F.col(f"__{out}_then"), n)}]
+
+
+def _tower(ctx, out):
+    """Five windows on top of each other, one of them ahead, one a smoothing average."""
+    a, b, c = (f"__{out}_{x}" for x in "abc")
+    return [
+        {a: ctx.lead(F.col("close"), 30)}, {b: ctx.frame(F.max(a), -40, 20)}, {c: ctx.lag(F.col(b), 64) - F.col(b)},
+        *ctx.smooth(f"__{out}_d", f"coalesce(`{c}`, 0D)", 0.5, 3, 4), {out: ctx.mean(F.col(f"__{out}_d"), 33)},
+    ]
+
+
+def _over_totals(ctx, out):
+    """Windows over a running total and a last-seen value, and a total of those."""
+    t, s, u = f"__{out}_total", f"__{out}_seen", f"__{out}_diff"
+    big = F.when(F.col("close") > 101, F.col("close"))
+    return [
+        {t: ctx.running_sum(t, F.col("volume")), s: ctx.last_seen(s, big)},
+        {u: F.col(t) - F.coalesce(ctx.lag(F.col(t), 90), F.lit(0.0)) + F.coalesce(F.col(s), F.lit(0.0))},
+        {out: ctx.running_sum(out, F.col(u))},
+        {f"{out}_mean": ctx.mean(F.col(out), 20)},
+    ]
+
+
+@pytest.mark.parametrize("build", [_chain, _tower, _over_totals])
+@pytest.mark.parametrize("size", [128, 333])
+def test_chains_of_windows_on_cut_series(spark, build, size):
+    rows = [("A", DAY0 + dt.timedelta(days=i), 100.0 + (i * i % 37) / 8, float(i % 11)) for i in range(1000)]
+    rows += [("B", DAY0 + dt.timedelta(days=i), 100.0 + (i * 7 % 13), 1.0) for i in range(90)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, close double, volume double").repartition(4)
+    names = {}
+    for form, options in (("whole", {"daily": True}), ("cut", {"segment": size})):
+        found = along_series(bars, lambda ctx: build(ctx, "x"), **options)
+        names[form] = {(r.ticker, r.date): r for r in found.collect()}
+    assert names["whole"].keys() == names["cut"].keys() and len(names["cut"]) == 1090
+    for key, one in names["whole"].items():
+        two = names["cut"][key]
+        for column in one.asDict().keys() - {"ticker", "date"}:
+            assert (one[column] is None) == (two[column] is None), (key, column)
+            if one[column] is not None:
+                assert two[column] == pytest.approx(one[column], rel=1e-9, abs=1e-9), (key, column)
+
+
+def test_reach_is_the_longest_path(spark):
+    def reach(build):
+        ctx = SeriesContext(("ticker",), "date", True)
+        return reach_of(ctx, build(ctx, "x"))
+
+    assert reach(_chain) == (149, 0)
+    assert reach(lambda ctx, out: [{out: ctx.lag(F.col("close"), 7), "y": ctx.lead(F.col("close"), 9)}]) == (7, 9)
+    assert reach(_tower)[1] == 50 and reach(_tower)[0] > 40 + 64 + 32
+    signal = SeriesContext.smoothing_reach(2 / 27, 25) + SeriesContext.smoothing_reach(0.2, 33)
+    assert reach(macd) == (signal, 0)

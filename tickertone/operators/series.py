@@ -9,14 +9,19 @@ columns look back (ahead), so no task ever holds a whole long series:
 * sliding frames are exact, since every row they reach is in the segment;
 * a smoothing average forgets its start by (1 - alpha) per row, and the copied rows are
   enough for the rest to be below a double's rounding;
-* running totals and last-seen values are finished with one small row per segment.
+* running totals and last-seen values are finished with one small row per segment, and only then
+  looked at by columns that are made from them.
+
+How many rows are copied follows from the columns: a column that looks back over another one reaches
+as far as both together (``reach_of``).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+import re
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -44,6 +49,8 @@ class SeriesContext:
     blocks: dict[str, Column] = field(default_factory=dict)
     totals: list[str] = field(default_factory=list)
     seen: list[str] = field(default_factory=list)
+    looks: list[tuple[str, int, int]] = field(default_factory=list)  # text of a window, rows back and ahead
+    spans: dict[str, tuple[int, int]] = field(default_factory=dict)  # smoothed: own reach, at least that of its input
     _window: WindowSpec | None = None
 
     row = property(lambda self: F.col("__row"))
@@ -62,22 +69,19 @@ class SeriesContext:
             self._window = Window.partitionBy(*self._parts()).orderBy(self.order)
         return self._window
 
-    def _reach(self, back: int = 0, ahead: int = 0) -> None:
-        """The farthest row any chain of columns looks at; chains run side by side."""
-        self.back = max(self.back, back)
-        self.ahead = max(self.ahead, ahead)
+    def _look(self, column: Column, back: int = 0, ahead: int = 0) -> Column:
+        self.looks.append((_text(column), back, ahead))
+        return column
 
     def lag(self, col: Column, n: int = 1) -> Column:
-        self._reach(back=n)
-        return F.lag(col, n).over(self._along())
+        return self._look(F.lag(col, n).over(self._along()), back=n)
 
     def lead(self, col: Column, n: int = 1) -> Column:
-        self._reach(ahead=n)
-        return F.lead(col, n).over(self._along())
+        return self._look(F.lead(col, n).over(self._along()), ahead=n)
 
     def frame(self, agg: Column, first: int, last: int) -> Column:
-        self._reach(back=max(0, -first), ahead=max(0, last))
-        return agg.over(self._along().rowsBetween(first, last))
+        window = agg.over(self._along().rowsBetween(first, last))
+        return self._look(window, max(0, -first), max(0, last))
 
     def mean(self, col: Column, n: int) -> Column:
         return self.frame(F.avg(col), -(n - 1), 0)
@@ -122,7 +126,7 @@ class SeriesContext:
         block first lets both share one sort.
         """
         if alpha >= 1.0:
-            self._reach(back=after)
+            self.spans[name] = (0, after)
             return [{}, {name: F.expr(f"CASE WHEN __row >= {first} THEN {x} END")}]
         decay = -math.log1p(-alpha)
         block, start = BLOCK_ROWS, 0
@@ -131,11 +135,11 @@ class SeriesContext:
         if first >= block:  # keep the whole seed in one block
             start = first - n + 1
         blk = self._block_column(block, start)
-        self._reach(back=after + self.smoothing_reach(alpha, first))
         local, keep = f"__{name}_local", f"{1.0 - alpha!r}D"
         seed_weight = (1.0 - alpha) ** -float(first - start) / n
         k = f"double(pmod(__pos - {start}, {block}))"
         parts, order = ", ".join(f"`{p}`" for p in self._parts()), f"`{self.order}`"
+        self.spans[local] = (self.smoothing_reach(alpha, first), after)
         weighted = f"""CASE WHEN __row <= {first - n} THEN 0D
             WHEN __row <= {first} THEN ({x}) * {seed_weight!r}D
             WHEN __pos = 0 THEN ({x}) * pow({keep}, -{k})
@@ -164,6 +168,52 @@ def in_step(*plans: Stages) -> Stages:
     return out
 
 
+def _text(column: Column) -> str:
+    return str(column)[len("Column<'"):-len("'>")]
+
+
+def _looks_at(text: str, names: Iterable[str]) -> list[str]:
+    """Which of the columns ``names`` an expression's text mentions."""
+    words = set(re.findall(r"\w+", text))
+    return [n for n in names if (n in words if n.isidentifier() else n in text)]
+
+
+def reach_of(ctx: SeriesContext, stages: Stages) -> tuple[int, int]:
+    """Rows before and after that the farthest chain of columns looks at.
+
+    A column's reach is that of its own windows plus that of the columns it is made from: those of
+    earlier stages that its text mentions.
+    """
+    reach: dict[str, tuple[int, int]] = {}
+    for columns in stages:
+        found = {}
+        for name, column in columns.items():
+            text = _text(column)
+            own = [(back, ahead) for window, back, ahead in ctx.looks if window in text]
+            before = [reach[other] for other in _looks_at(text, reach)]
+            back, ahead = (max((r[i] for r in own), default=0) for i in (0, 1))
+            deep, far = (max((r[i] for r in before), default=0) for i in (0, 1))
+            if name in ctx.spans:
+                span, at_least = ctx.spans[name]
+                back, deep = max(back, span), max(deep, at_least)
+            found[name] = back + deep, ahead + far
+        reach.update(found)
+    return max((r[0] for r in reach.values()), default=0), max((r[1] for r in reach.values()), default=0)
+
+
+def _phases(ctx: SeriesContext, stages: Stages) -> list[Stages]:
+    """The stages, cut before one that looks at a running column that is not finished yet."""
+    phases: list[Stages] = [[]]
+    running: set[str] = set()
+    for columns in stages:
+        if any(_looks_at(_text(c), running) for c in columns.values()):
+            phases.append([])
+            running = set()
+        phases[-1].append(columns)
+        running |= set(columns) & {*ctx.totals, *ctx.seen}
+    return phases
+
+
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: str = "date", out: str = "row"
 ) -> DataFrame:
@@ -217,14 +267,15 @@ def _segments(df: DataFrame, ctx: SeriesContext, size: int) -> DataFrame:
     )
 
 
-def _finish(df: DataFrame, ctx: SeriesContext) -> DataFrame:
-    """Add to each segment what its running columns brought along from earlier ones."""
+def _finish(df: DataFrame, ctx: SeriesContext, keep: Sequence[str] = ()) -> DataFrame:
+    """Add to each segment what its running columns brought along from earlier ones. ``keep`` names
+    the temporary columns that a later phase looks at."""
     own = df.where("__own").drop(*ctx.blocks)
     carried_on = [*ctx.totals, *ctx.seen]
     if not carried_on:
         return own
     own = stage(own.drop(*[c for c in own.columns if c.startswith("__")
-                           and c not in ("__seg", "__row")]), "segments")
+                           and c not in ("__seg", "__row", *keep)]), "segments")
     parts = [*ctx.keys, "__seg"]
     at_end = own.groupBy(*parts).agg(*[
         F.max_by(name, F.when(F.col(name).isNotNull(), F.col("__row"))).alias(f"__t_{name}")
@@ -265,16 +316,36 @@ def along_series(
     ctx = SeriesContext(tuple(keys), order, not daily)
     stages = build(ctx)
     if ctx.split:
-        laid = _segments(df, ctx, segment)
+        laid = _cut(df, ctx, stages, segment)
     else:
         plain = Window.partitionBy(*keys).orderBy(order)
         laid = df.withColumn("__row", (F.row_number().over(plain) - 1).cast("bigint"))
-        laid = laid.withColumn("__pos", F.col("__row"))
+        laid = _staged(laid.withColumn("__pos", F.col("__row")), ctx, stages)
+    return laid.drop(*[c for c in laid.columns if c.startswith("__")])
+
+
+def _staged(laid: DataFrame, ctx: SeriesContext, stages: Stages) -> DataFrame:
     if ctx.blocks:
         laid = laid.withColumns(ctx.blocks)
     for columns in stages:
         if columns:
             laid = laid.withColumns(columns)
-    if ctx.split:
-        laid = _finish(laid, ctx)
-    return laid.drop(*[c for c in laid.columns if c.startswith("__")])
+    return laid
+
+
+def _cut(df: DataFrame, ctx: SeriesContext, stages: Stages, segment: int) -> DataFrame:
+    """All stages on segments; after each phase its running columns are finished."""
+    phases = _phases(ctx, stages)
+    made: list[str] = []
+    for i, part in enumerate(phases):
+        names = {name for columns in part for name in columns}
+        back, ahead = reach_of(ctx, part)
+        now = replace(
+            ctx, back=back, ahead=ahead,
+            totals=[n for n in ctx.totals if n in names], seen=[n for n in ctx.seen if n in names],
+        )
+        made += [n for n in names if n.startswith("__")] if i < len(phases) - 1 else []
+        df = _finish(_staged(_segments(df, now, segment), now, part), now, made)
+        if i < len(phases) - 1:
+            df = df.drop("__seg", "__row", "__own", "__pos")
+    return df
