@@ -80,8 +80,8 @@ def test_every_edit_leaves_the_promised_grams():
 
 def test_runs_and_lost_characters(spark):
     rows = spark.createDataFrame([(1, "Ähm Don't ÀB×cĀd 😀x"), (2, None), (3, "")], "doc_id long, text string")
-    got = [r.w for r in rows.select(spelling.runs(rows.text).alias("w")).collect()]
-    assert got == ["Ähm", "don", "t", "Àb×c", "d", "x"]
+    read = rows.select(spelling.runs(rows.text).alias("w"))
+    assert [r.w for r in read.select(spelling.lowered(read.w).alias("w")).collect()] == ["Ähm", "don", "t", "Àb×c", "d", "x"]
     some = spark.createDataFrame([("héllo", 0), ("héllo", 1), ("héllo", 4), ("h", 0)], "w string, i int")
     assert [r[0] for r in some.select(spelling.without_character(some.w, some.i)).collect()] == ["éllo", "hllo", "héll", ""]
 

@@ -115,6 +115,7 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     run, size = F.col("run"), F.length("run")
     check = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
     read = docs.select("doc_id", spelling.runs(F.col("text")).alias("run")).where(size >= spelling.LEAST_LENGTH)
+    read = read.withColumn("run", spelling.lowered(run))
     lost = spelling.without_character(run, F.pmod("check", size).cast("int"))
     words = read.withColumn("check", check).select(F.when(F.col("check") % 97 == 0, lost).otherwise(run).alias("word"))
     found = spelling.variants(spelling.counted(words))

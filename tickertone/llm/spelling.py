@@ -12,7 +12,8 @@
    order of rarity. So one of the ``affected + 1`` rarest grams of either is shared: left of the edit
    with everything before it, right of it with everything behind it. Those are the keys of the
    lists, split by length; only equal lengths and neighbouring ones meet.
-5. *Verification.* Each candidate is checked by its edit distance; pairs found through several
+5. *Verification.* Candidates whose sets of letters differ by at most two are checked by their edit
+   distance; pairs found through several
    lists are merged.
 
 The padding makes every word keep an unaffected gram (``padding``), so no word needs another path and
@@ -160,35 +161,46 @@ def dictionary(
     return found
 
 
+def _letters(word: str) -> int:
+    """The letters of a word as bits; an edit changes two at most."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits - (bits >> 63 << 64)
+
+
 def near(words: DataFrame, found: Dictionary) -> DataFrame:
     """Each unordered pair of ``words`` (word, n; distinct) one edit apart: a, a_n, b, b_n."""
     shared = words.sparkSession.sparkContext.broadcast(found)
 
     def listed(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [
-            (w, n, left, text)
+            (w, n, _letters(w), left, text)
             for w, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)
             for left, text in shared.value.keys(w)
         ]
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.string())
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["word", "n", "left", "text"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["word", "n", "letters", "left", "text"],
         )
 
     lists = stage(
-        each_batch(words.select("word", "n"), listed, "word string, n long, left boolean, text string")
-        .select(F.xxhash64("left", "text").alias("list"), F.length("word").alias("size"), "word", "n"),
+        each_batch(words.select("word", "n"), listed, "word string, n long, letters long, left boolean, text string")
+        .select(F.xxhash64("left", "text").alias("list"), F.length("word").alias("size"), "word", "n", "letters"),
         "gram-lists",
     )
     a = lists.select(
         "list", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"),
         F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("size").alias("a_size"),
+        F.col("letters").alias("a_letters"),
     )
-    b = lists.select("list", "size", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    b = lists.select("list", "size", F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("letters").alias("b_letters"))
+    alike = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
     once = (F.col("size") > F.col("a_size")) | (F.col("a") < F.col("b"))
     apart = F.levenshtein("a", "b", 1) == 1
-    return a.join(b, ["list", "size"]).where(once & apart).select("a", "a_n", "b", "b_n").distinct()
+    return a.join(b, ["list", "size"]).where(alike & once & apart).select("a", "a_n", "b", "b_n").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -236,10 +248,16 @@ def variants(
 
 
 def runs(text: Column, letters: str = r"[A-Za-zÀ-ÿ]+") -> Column:
-    """Maximal runs of letters, A to Z in lower case."""
-    found = F.regexp_extract_all(text, F.lit(letters), F.lit(0))
-    return F.explode(F.transform(found, lambda w: F.translate(w, "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                                                              "abcdefghijklmnopqrstuvwxyz")))
+    """A row for each maximal run of letters."""
+    return F.explode(F.regexp_extract_all(text, F.lit(letters), F.lit(0)))
+
+
+def lowered(word: Column) -> Column:
+    """A to Z in lower case, other letters as they are."""
+    plain = F.octet_length(word) == F.length(word)
+    return F.when(plain, F.lower(word)).otherwise(
+        F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    )
 
 
 def without_character(word: Column, at: Column) -> Column:
