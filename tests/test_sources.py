@@ -144,3 +144,42 @@ def test_corpus_key_follows_files_and_rows(spark, tmp_path):
         pq.write_table(pa.table({"train": train}), tmp_path / f"{name}.parquet")
     got = readers.read_corpus(spark, str(tmp_path), key="row").orderBy("row").collect()
     assert [r.sentence for r in got] == list("uvwxy") and len({r.row for r in got}) == 5
+
+
+def test_ticker_of_any_root_and_folder(spark, tmp_path):
+    for root, name, t in (("one", "A", "A"), ("two", "BRK%2FB", "BRK/B"), ("two", "a+b c", "a+b c"), ("two", "__HIVE_DEFAULT_PARTITION__", None)):
+        folder = tmp_path / root / f"ticker={name}" / "2024"
+        folder.mkdir(parents=True)
+        nested = {"data": {"news": [{"created_at": "2024-01-01T00:00:00Z", "headline": t}]}}
+        (folder / "x.json").write_text(json.dumps(nested) + "\n" + json.dumps({**nested, "ticker": "own"}) + "\n")
+    paths = [str(tmp_path / "one" / "ticker=A"), str(tmp_path / "two"), str(tmp_path / "two" / "ticker=gone")]
+    got = readers.read_or_empty(spark, readers.read_news_feed_a, *paths).collect()
+    assert sorted((r.ticker or "", r.headline or "") for r in got if r.ticker != "own") == sorted(
+        [("A", "A"), ("BRK/B", "BRK/B"), ("a+b c", "a+b c"), ("", "")])
+    assert sum(r.ticker == "own" for r in got) == 4
+
+
+def test_intake_keeps_every_line_somewhere(spark, tmp_path):
+    good = {"ticker": "A", "datetime": 0, "headline": "h"}
+    lines = [json.dumps(good), "{cut", json.dumps({**good, "ticker": None}), json.dumps({**good, "datetime": None}),
+             json.dumps({**good, "headline": None}), "", json.dumps({**good, "datetime": "soon"})]
+    (tmp_path / "b.json").write_text("\n".join(lines) + "\n")
+    (tmp_path / "d.json.gz").write_bytes(b"no gzip at all")
+    taken = readers.take_in(spark, "b", str(tmp_path / "out"), *[str(tmp_path / n) for n in ("b.json", "d.json.gz", "gone")])
+    assert taken.counts == {"missing_paths": 1, "skipped_files": 1, "lines": 6, "good_lines": 2, "lines_put_aside": 4, "rows": 2}
+    aside = sorted((r.reason, r.line) for r in taken.quarantine.collect())
+    assert [r for r, _ in aside] == ["no ticker", "no time", "not JSON of the schema", "not JSON of the schema"]
+    assert "{cut" in [x for _, x in aside] and all(r.file.endswith("b.json") for r in taken.quarantine.collect())
+    assert sorted((r.ticker, r.headline or "") for r in taken.rows.collect()) == [("A", ""), ("A", "h")]
+    item = {"created_at": "2024-01-01T00:00:00Z", "headline": "x"}
+    nested = [{"ticker": "A", "data": {"news": [item, item]}}, {"ticker": "B", "data": {"news": []}}, {"data": {"news": [item]}},
+              {"ticker": "C"}]
+    (tmp_path / "a.json").write_text("\n".join(map(json.dumps, nested)))
+    taken = readers.take_in(spark, "a", str(tmp_path / "out-a"), str(tmp_path / "a.json"))
+    assert taken.rows.count() == taken.counts["rows"] == 2 and taken.counts["good_lines"] == 3
+    assert [r.reason for r in taken.quarantine.collect()] == ["no ticker"]
+    none = readers.take_in(spark, "a", str(tmp_path / "out-n"), str(tmp_path / "gone"))
+    assert none.rows.count() == none.quarantine.count() == 0 and none.counts["missing_paths"] == 1
+    (tmp_path / "e.json").write_text("")
+    empty = readers.take_in(spark, "b", str(tmp_path / "out-e"), str(tmp_path / "e.json"))
+    assert empty.counts["lines"] == 0 and empty.rows.count() == 0

@@ -15,7 +15,7 @@ from ..config import Settings
 from ..functions.columns import argmax_class, class_from_logit, confidence, sigmoid
 from ..operators import assemble as asm
 from ..operators import metrics, models, news, samples, text, tone
-from ..operators.indicators import indicator_builder, mom, sma, with_indicators
+from ..operators.indicators import indicator_builder, mom, register_indicator, sma, with_indicators
 from ..operators.series import SeriesContext, Stages, along_series, in_step
 from ..session import shared_folder, stage
 from ..sources import readers, views, writers
@@ -84,19 +84,39 @@ def vix_landed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def feed_a_landed(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested JSON payloads, one per headline, flattened by the reader."""
-    path = _folder(spark, "feed-a")
+    """Nested JSON payloads, one per headline and without a ticker, in one folder per ticker under two
+    roots. All folders are named, and one of them is not there."""
+    roots = [_folder(spark, "feed-a") for _ in range(2)]
     item = F.struct(
         F.concat(F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("created_at"),
         "headline",
     )
-    writers.write_json(
-        views.headlines(spark, sf).select(
-            F.col("ticker").cast("string"), F.struct(F.array(item).alias("news")).alias("data")
-        ),
-        path,
-    )
-    return readers.read_news_feed_a(spark, path).select("ticker", _clock(), "headline")
+    headlines = views.headlines(spark, sf)
+    for rest, root in enumerate(roots):
+        headlines.where(F.col("ticker") % 2 == rest).select(
+            "ticker", F.struct(F.array(item).alias("news")).alias("data")
+        ).write.partitionBy("ticker").json(root)
+    folders = [f"{roots[t % 2]}/ticker={t}" for t in range(10)]  # as many as the feed has tickers
+    found = readers.read_or_empty(spark, readers.read_news_feed_a, *folders, f"{roots[0]}/ticker=none")
+    return found.select("ticker", _clock(), "headline")
+
+
+@query
+def feed_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a landed feed that are put aside, by reason, next to what became of the others; some
+    headlines are cut off in their line, some have no ticker, some no time."""
+    folder = _folder(spark, "feed-b")
+    digit = F.substring(F.md5("headline"), 1, 1)
+    flat = _flat(views.headlines(spark, sf)).withColumns({
+        "ticker": F.when(digit != "1", F.col("ticker")), "datetime": F.when(digit != "2", F.col("datetime")),
+    })
+    line = F.to_json(F.struct("ticker", "datetime", "headline"))
+    flat.select(F.when(digit == "0", F.substring(line, 1, 12)).otherwise(line).alias("value")).write.text(folder)
+    taken = readers.take_in(spark, "b", _folder(spark, "intake"), folder)
+    lines = taken.quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    kept = taken.rows.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("lines"))
+    counts = [F.lit(taken.counts[c]).cast("long").alias(c) for c in ("rows", "good_lines", "lines_put_aside")]
+    return lines.unionByName(kept).select("reason", "lines", F.lit(taken.counts["lines"]).cast("long").alias("landed"), *counts)
 
 
 @query
@@ -291,7 +311,7 @@ def hot_series(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rsi_flat(spark: SparkSession, sf: str) -> DataFrame:
-    """Ticks that stand still for longer than several blocks and segments, whole and cut."""
+    """Ticks that stand still for longer than several blocks and segments, cut in two ways."""
     events = views.table(spark, sf, "events")
     n = events.agg(F.count(F.lit(1)).alias("n"))
     still = F.when(
@@ -302,13 +322,38 @@ def rsi_flat(spark: SparkSession, sf: str) -> DataFrame:
     )
     only = {"RSI": INDICATORS["RSI"]}
     forms = [
-        with_indicators(ticks, only, **series).withColumn("form", F.lit(form))
-        for form, series in (("whole", DAILY), ("cut", {"segment": 1024}))
+        with_indicators(ticks, only, segment=size).withColumn("form", F.lit(form))
+        for form, size in (("long", 4096), ("short", 1024))
     ]
     both = forms[0].unionByName(forms[1])
     return rounded(both, 4, "RSI").select("form", _stamp(), "RSI")
 
 
+def _past_ratio(ctx: SeriesContext, out: str, gap: int = 100, timeperiod: int = 50) -> Stages:
+    """The close against the mean over the closes that lie ``gap`` days back."""
+    past = f"__{out}_past"
+    return [{past: ctx.lag(F.col("close"), gap)}, {out: F.col("close") / ctx.mean(F.col(past), timeperiod)}]
+
+
+def _volume_share(ctx: SeriesContext, out: str, timeperiod: int = 30) -> Stages:
+    """The last days' share of all volume so far: windows over a running total."""
+    total = f"__{out}_total"
+    return [
+        {total: ctx.running_sum(total, F.col("volume"))},
+        {out: (F.col(total) - F.coalesce(ctx.lag(F.col(total), timeperiod), F.lit(0.0))) / F.col(total)},
+    ]
+
+
+@query
+def chained_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Registered indicators that look back over columns which look back themselves, on cut series."""
+    register_indicator("PAST_RATIO", _past_ratio)
+    register_indicator("VOLUME_SHARE", _volume_share)
+    chosen = {"past_ratio": ("PAST_RATIO", {}), "volume_share": ("VOLUME_SHARE", {})}
+    full = with_indicators(views.bars(spark, sf), chosen, segment=128)
+    return rounded(full.select("ticker", "date", *chosen), 6, *chosen)
+
+
 # Assembly ----------------------------------------------------------------------------
 
 

@@ -443,7 +443,7 @@ def oracles() -> dict[str, str]:
         ),
         "rsi_flat": _with(
             f"""SELECT form, strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date, {_rounded('RSI', 4)}
-                FROM signals, (VALUES ('whole'), ('cut')) forms(form)""",
+                FROM signals, (VALUES ('long'), ('short')) forms(form)""",
             "signals",
             bars="""SELECT ts AS date, 'ALL' AS ticker, 0.0::DOUBLE AS open, 0.0::DOUBLE AS high,
                            0.0::DOUBLE AS low,
@@ -452,6 +452,25 @@ def oracles() -> dict[str, str]:
                            1.0::DOUBLE AS volume
                     FROM events, (SELECT count(*) AS n FROM events)""",
         ),
+        "chained_windows": _with(
+            f"""SELECT ticker, date, {_rounded('past_ratio volume_share', 6)} FROM (
+                  SELECT ticker, date, close / avg(past) OVER (w ROWS 49 PRECEDING) AS past_ratio,
+                         (total - coalesce(lag(total, 30) OVER w, 0)) / total AS volume_share
+                  FROM (SELECT ticker, date, close, lag(close, 100) OVER w AS past, sum(volume) OVER w AS total
+                        FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date))
+                  WINDOW w AS (PARTITION BY ticker ORDER BY date))""",
+            "bars",
+        ),
+        "feed_quarantine": _with(
+            """SELECT reason, count(*) AS lines, any_value(landed) AS landed,
+                      any_value(good) AS rows, any_value(good) AS good_lines, any_value(landed - good) AS lines_put_aside
+               FROM (SELECT *, CASE d WHEN '0' THEN 'not JSON of the schema' WHEN '1' THEN 'no ticker'
+                                      WHEN '2' THEN 'no time' ELSE 'kept' END AS reason,
+                            count(*) OVER () AS landed, count(*) FILTER (d NOT IN ('0', '1', '2')) OVER () AS good
+                     FROM (SELECT substr(md5(headline), 1, 1) AS d FROM headlines))
+               GROUP BY reason""",
+            "headlines",
+        ),
         "series_split": _with(
             f"""SELECT s.date, s.ticker,
                        {_rounded('SMA_5 SMA_30 EMA_12 EMA_26 RSI MACD MACD_signal MACD_hist MOM OBV', 4)},

@@ -7,27 +7,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.columns import day
 from ..operators.metrics import binary_metrics, class_report, confusion
 from ..operators.models import DirectionModel, fit_direction, predict, variant_columns
-from ..operators.news import count_by_feed, daily_tone, drop_copies, union_feeds
+from ..operators.news import daily_tone, drop_copies, union_feeds
 from ..operators.samples import holdout
 from ..operators.tone import Scorer, ToneFit, fit_best_tone, score_batches, score_tone
 from ..session import sized_shuffles, stage, staging
 from ..sources.readers import (
-    FEED_A,
-    FEED_B,
-    feed_problems,
+    NEWS,
+    filled_files,
     present,
     read_bars,
     read_corpus,
     read_news_feed_a,
     read_news_feed_b,
-    read_or_empty,
     read_parquet,
     read_vix,
 )
@@ -45,32 +43,35 @@ def ingest(
     spark: SparkSession, bars: Sequence[str], vix: Sequence[str], feed_a: Sequence[str],
     feed_b: Sequence[str], home: str, settings: Settings = Settings(),
 ) -> DataFrame:
-    """Landed files to three raw tables; returns the counts worth logging: rows of every
-    table, and what was missing or unreadable in each feed."""
-    both = union_feeds(
-        read_or_empty(spark, read_news_feed_a, *feed_a),
-        read_or_empty(spark, read_news_feed_b, *feed_b),
+    """Landed files to three raw tables; returns the counts worth logging: rows of every table, and
+    what was missing or unreadable in each feed. They are observed while the tables are written, so
+    nothing is read twice; a task that runs again after an executor was lost may count twice."""
+    feeds, problems, watches = [], [], []
+    for i, (read, paths) in enumerate(((read_news_feed_a, feed_a), (read_news_feed_b, feed_b))):
+        there, gone = present(spark, *paths)
+        watch = Observation()
+        feeds.append(read(spark, *there, tolerant=True, watch=watch) if there else spark.createDataFrame([], NEWS))
+        problems.append((f"feed_{i}_missing_paths", len(gone)))
+        watches.append((i, feeds[-1], watch if there else None))
+    rows, combined, priced = Observation(), Observation(), Observation()
+    both = union_feeds(*feeds).observe(
+        rows, *[F.count_if(F.col("feed") == i).alias(f"feed_{i}") for i in range(len(feeds))]
     )
     prices = read_bars(
         spark, *bars, tickers=settings.tickers, start=settings.start, end=settings.end
-    )
+    ).observe(priced, F.count(F.lit(1)).alias("prices"))
     with sized_shuffles(spark, prices, both):
         write_table(prices, f"{home}/raw/ohlcv")
         write_table(read_vix(spark, *vix), f"{home}/raw/vix")
-        write_table(drop_copies(both), f"{home}/raw/news")
-    per_feed = count_by_feed(both).select(F.concat(F.lit("feed_"), "feed").alias("name"), "rows")
-    written = [
-        read_parquet(spark, f"{home}/raw/{table}").agg(
-            F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
-        for name, table in (("combined", "news"), ("prices", "ohlcv"))
-    ]
-    problems = [
-        (f"feed_{i}_{name}", n)
-        for i, (schema, paths) in enumerate(((FEED_A, feed_a), (FEED_B, feed_b)))
-        for name, n in feed_problems(spark, schema, *paths).items()
-    ]
-    trouble = spark.createDataFrame(problems, "name string, rows long")
-    return per_feed.unionByName(written[0]).unionByName(written[1]).unionByName(trouble)
+        write_table(
+            drop_copies(both).observe(combined, F.count(F.lit(1)).alias("combined")), f"{home}/raw/news"
+        )
+    for i, feed, watch in watches:
+        seen = watch.get if watch else {"bad_lines": 0, "files": 0}
+        problems.append((f"feed_{i}_bad_lines", seen["bad_lines"]))
+        problems.append((f"feed_{i}_skipped_files", filled_files(feed) - seen["files"] if watch else 0))
+    counts = {**rows.get, **combined.get, **priced.get}
+    return spark.createDataFrame([*counts.items(), *problems], "name string, rows long")
 
 
 def prepare(

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,21 +99,42 @@ def read_bars(
 
 
 BAD_LINE = "__bad_line"
+FILE = "__file"
 
 
 def _landed_json(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, tolerant: bool
 ) -> DataFrame:
-    """Rows of JSON lines; those that cannot be parsed hold only the line, in BAD_LINE."""
+    """Rows of JSON lines; those that cannot be parsed hold only the line, in BAD_LINE.
+
+    Folders are read as deep as they go. A payload without a ticker has that of the folder
+    ``ticker=...`` it landed in, whichever root or folder the path names.
+    """
     marked = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
     reader = spark.read.schema(marked).option("columnNameOfCorruptRecord", BAD_LINE)
-    return reader.option("ignoreCorruptFiles", str(tolerant).lower()).json(list(paths))
-
-
-def _whole_lines(landed: DataFrame) -> DataFrame:
-    """Without the lines that could not be parsed. A parsed column is looked at, too, since
-    Spark refuses to read nothing but the marker."""
+    reader = reader.option("recursiveFileLookup", "true")
+    raw = reader.option("ignoreCorruptFiles", str(tolerant).lower()).json(list(paths))
+    file = F.col("_metadata.file_path")
+    # Folder names are escaped once as a partition and once as part of an address.
+    folder = F.regexp_extract(file, r".*/ticker=([^/]+)/", 1)
+    named = F.when(folder != "", folder)
+    for _ in range(2):
+        named = F.try_url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))
+    known = F.nullif(named, F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return raw.withColumns({FILE: file, "ticker": F.coalesce("ticker", known)})
+
+
+def _whole_lines(landed: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """Without the lines that could not be parsed; ``watch`` counts lines, bad ones and files while
+    the rows are used. A parsed column is looked at, too, since Spark refuses to read nothing but
+    the marker."""
     parsed = F.length(F.coalesce("ticker", F.lit(""))) >= 0
+    if watch is not None:
+        landed = landed.observe(
+            watch, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad_lines"),
+            # One number per file, of which the driver holds the list anyway.
+            F.size(F.collect_set(F.xxhash64(FILE))).alias("files"),
+        )
     return landed.where(F.col(BAD_LINE).isNull() & parsed)
 
 
@@ -130,6 +152,15 @@ def present(spark: SparkSession, *paths: str) -> tuple[list[str], list[str]]:
     return there, gone
 
 
+def filled_files(landed: DataFrame) -> int:
+    """Files that are not empty, from their listing; none is opened."""
+    files = landed.inputFiles()
+    if not files:
+        return 0
+    listed = landed.sparkSession.read.format("binaryFile").load(list(files))
+    return listed.where("length > 0").select(F.lit(1)).count()
+
+
 def feed_problems(spark: SparkSession, schema: T.StructType, *paths: str) -> dict[str, int]:
     """What a tolerant read of these paths leaves out: paths that are not there, lines that are
     not JSON of this schema, and files of which not one line could be read."""
@@ -137,34 +168,99 @@ def feed_problems(spark: SparkSession, schema: T.StructType, *paths: str) -> dic
     counts = {"missing_paths": len(gone), "bad_lines": 0, "skipped_files": 0}
     if there:
         raw = _landed_json(spark, there, schema, tolerant=True)
-        filled = (
-            spark.read.format("binaryFile").load(list(raw.inputFiles()))
-            .where("length > 0").select(F.count(F.lit(1)).alias("n"))
-        ) if raw.inputFiles() else None
-        seen = raw.select("ticker", BAD_LINE, F.col("_metadata.file_path").alias("file")).agg(
+        seen = raw.select("ticker", BAD_LINE, FILE).agg(
             F.count("ticker").alias("tickers"),  # see _whole_lines
             F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad"),
-            F.count_distinct("file").alias("files"),
+            F.count_distinct(FILE).alias("files"),
         ).first()
         counts["bad_lines"] = seen.bad
-        counts["skipped_files"] = (filled.first().n if filled else 0) - seen.files
+        counts["skipped_files"] = filled_files(raw) - seen.files
     return counts
 
 
-def read_news_feed_a(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
+def _items_a(landed: DataFrame) -> DataFrame:
+    """One row per headline of a nested payload."""
+    item = landed.withColumn("item", F.explode_outer("data.news"))
+    return item.withColumns({"date": utc_wall_time(F.col("item.created_at")), "headline": F.col("item.headline")})
+
+
+def _items_b(landed: DataFrame) -> DataFrame:
+    return landed.withColumns({"item": F.lit(True), "date": epoch_seconds_to_wall_time(F.col("datetime"))})
+
+
+def read_news_feed_a(
+    spark: SparkSession, *paths: str, tolerant: bool = False, watch: Observation | None = None
+) -> DataFrame:
     """Nested payloads ``{ticker, data: {news: [{created_at, headline}]}}``, flattened."""
-    return (
-        _whole_lines(_landed_json(spark, paths, FEED_A, tolerant))
-        .select("ticker", F.explode("data.news").alias("item"))
-        .select("ticker", utc_wall_time(F.col("item.created_at")).alias("date"), "item.headline")
-    )
+    lines = _whole_lines(_landed_json(spark, paths, FEED_A, tolerant), watch)
+    return _items_a(lines).where("item IS NOT NULL").select("ticker", "date", "headline")
 
 
-def read_news_feed_b(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
+def read_news_feed_b(
+    spark: SparkSession, *paths: str, tolerant: bool = False, watch: Observation | None = None
+) -> DataFrame:
     """Flat rows ``{ticker, datetime, headline}`` with the time in epoch seconds."""
-    landed = _whole_lines(_landed_json(spark, paths, FEED_B, tolerant))
-    return landed.select(
-        "ticker", epoch_seconds_to_wall_time(F.col("datetime")).alias("date"), "headline"
+    lines = _whole_lines(_landed_json(spark, paths, FEED_B, tolerant), watch)
+    return _items_b(lines).select("ticker", "date", "headline")
+
+
+@dataclass(frozen=True)
+class FeedIntake:
+    """What one pass over a feed's files gave."""
+
+    rows: DataFrame        # ticker, date, headline
+    quarantine: DataFrame  # file, line, reason
+    counts: dict[str, int]  # missing paths, skipped files; lines landed, good, put aside; rows
+
+
+INTAKE = "ticker string, date timestamp_ntz, headline string, file string, line string, reason string, part string"
+
+
+def take_in(spark: SparkSession, feed: str, path: str, *paths: str) -> FeedIntake:
+    """Read a feed (``a`` or ``b``) once; in the same pass, write its rows and the lines that are put
+    aside to ``path``, in a folder each, and count them.
+
+    A line is put aside if it is not JSON of the feed's schema, or has no ticker, neither itself nor
+    in its folder, or no time (flat lines only). The counts are observed while writing: a task that
+    runs again after an executor was lost may count its lines twice, the tables never hold them twice.
+    """
+    schema, items = {"a": (FEED_A, _items_a), "b": (FEED_B, _items_b)}[feed]
+    there, gone = present(spark, *paths)
+    counts = {"missing_paths": len(gone), "skipped_files": 0, "lines": 0, "good_lines": 0,
+              "lines_put_aside": 0, "rows": 0}
+    if there:
+        landed = _landed_json(spark, there, schema, tolerant=True)
+        reason = F.when(F.col(BAD_LINE).isNotNull(), "not JSON of the schema").when(
+            F.col("ticker").isNull(), "no ticker")
+        if feed == "b":
+            reason = reason.when(F.col("datetime").isNull(), "no time")
+        seen, made = Observation(), Observation()
+        lines = landed.withColumn("reason", reason).observe(
+            seen, F.count(F.lit(1)).alias("lines"), F.count("reason").alias("lines_put_aside"),
+            F.size(F.collect_set(F.xxhash64(FILE))).alias("files"),
+        )
+        aside = F.col("reason").isNotNull()
+        line = F.when(aside, F.coalesce(BAD_LINE, F.to_json(F.struct(*schema.fieldNames()))))
+        if feed == "a":  # a line that is put aside has no items
+            lines = lines.withColumns({"line": line, "data": F.when(~aside, F.col("data"))})
+        else:
+            lines = lines.withColumn("line", line)
+        kept = items(lines).where(aside | F.col("item").isNotNull()).select(
+            *[F.when(~aside, F.col(c)).alias(c) for c in NEWS.fieldNames()],
+            F.when(aside, F.col(FILE)).alias("file"), "line", "reason",
+            F.when(aside, "quarantine").otherwise("rows").alias("part"),
+        ).observe(made, F.count_if(F.col("part") == "rows").alias("rows"))
+        kept.write.mode("overwrite").partitionBy("part").parquet(path)
+        found = seen.get
+        counts |= {k: found[k] for k in ("lines", "lines_put_aside")} | made.get
+        counts["good_lines"] = found["lines"] - found["lines_put_aside"]
+        counts["skipped_files"] = filled_files(landed) - found["files"]
+    else:
+        spark.createDataFrame([], INTAKE).write.mode("overwrite").parquet(path)
+    whole = spark.read.schema(INTAKE).parquet(path)
+    return FeedIntake(
+        whole.where("part = 'rows'").select(*NEWS.fieldNames()),
+        whole.where("part = 'quarantine'").select("file", "line", "reason"), counts,
     )
 
 
