@@ -183,6 +183,72 @@ def test_mixing_reaches_its_budgets(spark, monkeypatch, share, epochs, stretch):
     assert Counter(x.doc_id for x in out.collect()) == Counter(copies)
 
 
+def water(leaves, weights, budget, epochs):
+    """Budgets by raising a level until the children of a node have what it has, top down, with
+    fractions; ``leaves`` maps paths to tokens."""
+    def weight(path):
+        return weights.get(mixing.LEVELS[len(path) - 1], {}).get(path[-1], 1.0)
+
+    def cap(path):
+        if not all(weight(path[:i + 1]) for i in range(len(path))):
+            return 0
+        if len(path) == len(mixing.LEVELS):
+            return leaves[path] * epochs
+        return sum(cap(c) for c in {p[:len(path) + 1] for p in leaves if p[:len(path)] == path})
+
+    def fill(path, given):
+        if len(path) == len(mixing.LEVELS):
+            return {path: given}
+        children = sorted({p[:len(path) + 1] for p in leaves if p[:len(path)] == path})
+        low, high = 0.0, 1e12
+        for _ in range(200):
+            level = (low + high) / 2
+            low, high = (level, high) if sum(min(cap(c), weight(c) * level) for c in children) < given else (low, level)
+        out = {}
+        for c in children:
+            out |= fill(c, min(cap(c), weight(c) * high))
+        return out
+
+    return fill((), min(budget, cap(())))
+
+
+@pytest.mark.parametrize("own, epochs, share, given", [(1600, 1, 0.5, 2000), (1000, 1, 0.9, 3000), (2000, 2, 0.5, 2000), (0, 1, 1.0, 4000)])
+def test_mixing_gives_the_budget_that_leaves_can_take(spark, own, epochs, share, given):
+    """Source s0 of domain d0 must give nothing; its tokens are no capacity of the domain."""
+    tokens = {"s0": own, "s4": 2000 - own, "s1": 1000, "s5": 1000}
+    texts = ["w " * (n // 20) for n in tokens.values() for _ in range(20)]
+    sources = [s for s in tokens for _ in range(20)]
+    mix = mixing.Mix({"source": {"s0": 0.0}, "domain": {"d0": 3.0}}, share, epochs, 1)
+    docs = documents(spark, texts, source=sources)
+    planned = {(r.domain, r.lang, r.source): r.budget for r in mixing.plan(docs, mix).collect()}
+    domains = {"s0": "d0", "s4": "d0", "s1": "d1", "s5": "d1"}
+    leaves = {(domains[s], "en", s): n for s, n in tokens.items()}
+    wanted = water(leaves, mix.weights, int(4000 * share), epochs)
+    assert sum(planned.values()) == given and ("d0", "en", "s0") not in planned
+    assert all(abs(planned.get(k, 0) - n) <= 1 for k, n in wanted.items())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mixing_against_water_filling(spark, seed):
+    r = random.Random(seed)
+    names = [f"s{i}" for i in range(9)]
+    sources = [r.choice(names) for _ in range(200)]
+    langs = [r.choice(["en", "de", "fr"]) for _ in sources]
+    texts = ["w " * r.choice([0, 5, 40, 200]) for _ in sources]
+    weights = {
+        "domain": {f"d{i}": r.choice([0.0, 1.0, 4.0]) for i in range(3)},
+        "lang": {"en": 5.0, "de": r.choice([0.0, 1.0])}, "source": {s: r.choice([0.0, 1.0, 2.5]) for s in names},
+    }
+    mix = mixing.Mix(weights, r.choice([0.3, 0.8, 2.0]), r.choice([1, 3]), seed)
+    leaves = Counter()
+    for t, s, y in zip(texts, sources, langs, strict=True):
+        leaves[f"d{int(s[1:]) % 4}", y, s] += len(t.split())
+    planned = {(x.domain, x.lang, x.source): x.budget for x in mixing.plan(documents(spark, texts, source=sources, lang=langs), mix).collect()}
+    budget = int(sum(leaves.values()) * mix.share + 1e-9)
+    for leaf, n in water(leaves, weights, budget, mix.max_epochs).items():
+        assert abs(planned.get(leaf, 0) - n) <= 4, leaf  # a token is lost to rounding at each level
+
+
 def test_mixing_odd_rows(odd, nothing):
     mix = mixing.Mix()
     assert mixing.mixture(odd, mix).columns == odd.columns and mixing.mixture(nothing, mix).count() == 0

@@ -1,6 +1,7 @@
 """Mixing sources to target weights: budgets down a tree of domain, language and source.
 
-Capacities (tokens times the allowed epochs) are added up from the leaves. The budget then goes
+Capacities (tokens times the allowed epochs; none for a leaf with a weight of zero above it) are added
+up from the leaves. The budget then goes
 down level by level: a node's tokens are dealt to its children by weight, none above its
 capacity, and what a short child cannot take goes to its siblings. Only a shortage of the whole
 node, which is a capped capacity one level up, goes to the node's own siblings.
@@ -90,7 +91,8 @@ def _deal(nodes: DataFrame, parents: DataFrame, level: int, mix: Mix) -> DataFra
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Leaves (domain, lang, source, tokens, docs) with the tokens they are to give."""
-    capped = leaves.withColumn("cap", F.col("tokens") * mix.max_epochs)
+    wanted = reduce(Column.__and__, [_weight(mix, level) > 0 for level in LEVELS])
+    capped = leaves.withColumn("cap", F.when(wanted, F.col("tokens") * mix.max_epochs).otherwise(0).cast("long"))
     whole = capped.agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("cap"),
                        F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
     target = F.floor(F.col("tokens") * mix.share).cast("long")

@@ -99,7 +99,7 @@ def _level(i: int) -> str:
     return f"""
 nodes{i} AS (
     SELECT {own}, cap, budget AS given, {_weight(LEVELS[i])} AS w
-    FROM (SELECT {own}, sum(tokens) * {MIX.max_epochs} AS cap FROM leaves GROUP BY {own}) {join}
+    FROM (SELECT {own}, CAST(sum(cap) AS BIGINT) AS cap FROM leaves GROUP BY {own}) {join}
     WHERE cap > 0),
 full{i} AS (
     SELECT *, cap / w * (sum(w) OVER ({family}) - coalesce(sum(w) OVER ({family} {order} {before}), 0))
@@ -118,9 +118,12 @@ WITH docs AS (
         AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
         coalesce(CAST(doc_id AS VARCHAR), '') AS id, len({WORDS}) AS tokens
     FROM documents),
-leaves AS (SELECT {", ".join(LEVELS)}, sum(tokens) AS tokens FROM docs GROUP BY ALL),
+leaves AS (
+    SELECT {", ".join(LEVELS)}, sum(tokens) AS tokens,
+        sum(CASE WHEN {" AND ".join(f"{_weight(x)} > 0" for x in LEVELS)} THEN tokens ELSE 0 END) * {MIX.max_epochs} AS cap
+    FROM docs GROUP BY ALL),
 given0 AS (
-    SELECT least(CAST(floor(sum(tokens) * {MIX.share}) AS BIGINT), sum(tokens) * {MIX.max_epochs}) AS budget
+    SELECT least(CAST(floor(sum(tokens) * {MIX.share}) AS BIGINT), CAST(sum(cap) AS BIGINT)) AS budget
     FROM leaves),{",".join(_level(i) for i in range(3))},
 rests AS (
     SELECT l.*, budget, CAST(floor(budget / tokens) AS BIGINT) AS epochs,
