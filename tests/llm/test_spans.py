@@ -1,12 +1,17 @@
 import hashlib
+import random
 import re
+import time
+from collections import defaultdict
 
+import pyarrow as pa
 import pytest
-from corpus import ODD, documents
+from corpus import ODD, documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickertone.llm import personal, secrets
+from tickertone.llm.spans import Taken
 
 ASSIGN = re.compile(
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""
@@ -146,3 +151,81 @@ def test_odd_rows(odd, nothing, scan):
     assert len(got) == len(ODD) + 3 and scan(nothing).count() == 0
     empty = hashlib.sha256(b"").hexdigest()
     assert [r.base_sha256 for r in got if r.doc_id is None] == [empty]
+
+
+def test_many_spans_of_one_text_take_little_time():
+    """100,000 spans in one text, each compared with the others by a search."""
+    hexes = [f"{i:016x} {'Zz' * 20}{i}" for i in range(50_000)]
+    start = time.perf_counter()
+    text = " ".join(hexes)
+    base = [s for s, _ in secrets.base_spans(text)]
+    assert len(base) == 50_000 and len(secrets.opaque_spans(text, base)) == 50_000
+    numbers = " ".join(f"10.{i % 256}.{i // 256 % 256}.7, mail{i}@x.org;" for i in range(50_000))
+    base, every = personal.all_spans(numbers, None)
+    assert len(base) == len(every) == 100_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([numbers])], names=["ordering", "text"])
+    assert sum(b.num_rows for b in personal._sample(batch)) > 0
+    assert time.perf_counter() - start < 60
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 2), st.integers(1, 9))), st.integers(0, 45), st.integers(1, 9))
+def test_taken(spans, start, length):
+    spans = [(s, k, s + n) for s, k, n in spans]
+    wanted = any(s < start + length and start < e for s, _, e in spans)
+    assert Taken(spans).touches(start, start + length) == wanted
+
+
+def test_sample_is_bounded_without_ids(spark):
+    rows = documents(spark, [f"call 555-{i:04d} now" for i in range(60)] * 3, doc_id=[None] * 180)
+    seen = []
+    keep = personal.each_batch
+
+    def watched(df, work, schema):
+        seen.append(df.count())
+        return keep(df, work, schema)
+
+    personal.each_batch = watched
+    try:
+        personal.fit_on(rows, max_documents=25)
+    finally:
+        personal.each_batch = keep
+    assert seen == [25]
+
+
+def plain_scan(rows, owners, repositories):
+    """Owners, repositories and what is live, with dictionaries."""
+    found, held, places = [], defaultdict(set), defaultdict(set)
+    for doc, text, source, lang in rows:
+        base = secrets.base_spans(text or "")
+        each = base + secrets.opaque_spans(text or "", [s for s, _ in base])
+        found.append((doc, base, each))
+        for _, value in each:
+            held[value].add(source)
+            places[value].add((source, lang))
+    out = {}
+    for doc, base, each in found:
+        few = {v: len(held[v]) <= owners and len(places[v]) <= repositories for _, v in each}
+        live = [s for s, v in each if few[v] and secrets.looks_random(v)]
+        shown = sorted({s for s, _ in base} | set(live))
+        copied = sum(not few[v] for (_, k, _), v in each if k < 3)
+        out[doc] = (len(live), copied, sum(k == 3 for _, k, _ in live), ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in shown))
+    return out
+
+
+def test_ownership_against_dictionaries(spark):
+    r = random.Random(6)
+    alphabet = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    values = ["".join(r.choice(alphabet) for _ in range(r.choice([14, 24, 36, 44]))) for _ in range(25)]
+    values += ["".join(r.choice("0123456789abcdef") for _ in range(32)) for _ in range(8)] + ["AKIA" + "X7Q2" * 4, "aaaaaaaaaaaaaaaa"]
+    texts = []
+    for i in range(160):
+        some = [r.choice(values[: 4 if r.random() < 0.4 else len(values)]) for _ in range(r.randrange(4))]
+        texts.append(prose(i, 5) + " " + " ".join(r.choice(["token = '{}'", "{}", "x {} y", "password:{}"]).format(v) for v in some))
+    sources = [r.choice(["a", "b", "c", "d", "e"]) for _ in texts]
+    langs = [r.choice(["en", "de"]) for _ in texts]
+    wanted = plain_scan(list(zip(range(160), texts, sources, langs, strict=True)), 2, 3)
+    rows = documents(spark, texts, source=sources, lang=langs)
+    got = secrets.scan(rows, max_owners=2, max_repositories=3).collect()
+    assert {x.doc_id: (x.n_live, x.n_copied, x.n_opaque, x.spans) for x in got} == wanted
+    assert sum(x.n_live for x in got) > 5 and sum(x.n_copied for x in got) > 5 and sum(x.n_opaque for x in got) > 5

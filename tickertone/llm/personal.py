@@ -19,6 +19,8 @@ are reported. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -350,10 +352,10 @@ def all_spans(text: str, w: Weights | None) -> tuple[list[S.Span], list[S.Span]]
     base = base_spans(text)
     if w is None:
         return base, base
-    more = []
+    more, covered = [], S.Taken(base)
     for start, end in regions(text):
         for s, kind, e in decode_region(text, start, end, w):
-            if not any(a < e and s < b for a, _, b in base):
+            if not covered.touches(s, e):
                 more.append((s, kind, e))
     return base, base + more
 
@@ -365,11 +367,14 @@ def _sample(batch: pa.RecordBatch):
     for part in S.sliced(batch):
         rows = []
         for key, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-            spans = base_spans(text or "")
+            spans = sorted(base_spans(text or ""))
+            starts = [s for s, _, _ in spans]
+            reached = list(accumulate((e for _, _, e in spans), max, initial=0))
             for start, end in stretches(text or ""):
-                if any(s < end and start < e and not (start <= s and e <= end) for s, _, e in spans):
-                    continue  # a span runs out of it
-                own = [(s - start, k, e - start) for s, k, e in spans if start <= s < end]
+                low, high = bisect_left(starts, start), bisect_left(starts, end)
+                if reached[low] > start or any(e > end for _, _, e in spans[low:high]):
+                    continue  # a span runs into it, or out of it
+                own = [(s - start, k, e - start) for s, k, e in spans[low:high]]
                 rows.append((key ^ start, text[start:end], *map(list, zip(*own, strict=True)))
                             if own else (key ^ start, text[start:end], [], [], []))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
@@ -386,13 +391,13 @@ def fit_on(
     max_documents: int = MAX_DOCUMENTS, max_stretches: int = MAX_STRETCHES,
 ) -> Weights | None:
     """Weights fitted on a sample of ``docs``; None where the sample has no labelled span."""
-    order = F.xxhash64(F.col(doc_id).cast("long"))
-    ids = (
-        docs.select(order.alias("ordering")).distinct()
-        .orderBy("ordering").limit(max_documents)
-    )
-    picked = docs.select(order.alias("ordering"), F.col(text).cast("string").alias("text"))
-    found = each_batch(picked.join(F.broadcast(ids), "ordering"), _sample, SAMPLE)
+    value = F.col(text).cast("string")
+    order = {"ordering": F.xxhash64(F.col(doc_id).cast("long")), "text_hash": F.xxhash64(value)}
+    keyed = docs.select(*[c.alias(n) for n, c in order.items()], value.alias("text"))
+    chosen = keyed.select(*order).distinct().orderBy(*order).limit(max_documents)
+    # A repeated row counts once, however often it is there.
+    picked = keyed.join(F.broadcast(chosen), [*order]).groupBy(*order).agg(F.first("text").alias("text"))
+    found = each_batch(picked.select("ordering", "text"), _sample, SAMPLE)
     kinds = F.size("kinds")
     # Half of the stretches with a span, half without.
     some = [

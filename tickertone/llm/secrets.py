@@ -74,11 +74,11 @@ def opaque_spans(text: str, taken: list[S.Span]) -> list[tuple[S.Span, str]]:
     """Long runs with digits and letters that overlap none of ``taken``."""
     if not _DIGIT.search(text):
         return []
-    out = []
+    out, covered = [], S.Taken(taken)
     for m in _OPAQUE.finditer(text):
         value = m[0]
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        if mixed and not any(s < m.end() and m.start() < e for s, _, e in taken):
+        if mixed and not covered.touches(m.start(), m.end()):
             out.append(((m.start(), 3, m.end()), value))
     return out
 

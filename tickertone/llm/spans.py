@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,24 @@ def counts(spans: Sequence[Span], n: int) -> list[int]:
     return out
 
 
+class Taken:
+    """What some spans cover, as separate stretches in order; each question is a binary search."""
+
+    def __init__(self, spans: Iterable[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, _, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end) - 1
+        return before >= 0 and self.ends[before] > start
+
+
 def joined_column(spans: Column, kinds: Sequence[str]) -> Column:
     """``joined`` for an array of structs (start, kind, end) in Spark."""
     names = F.array(*[F.lit(k) for k in kinds])
