@@ -185,6 +185,21 @@ def test_substrings_odd_rows(odd, nothing):
     assert substrings.without_repeats(nothing).count() == 0
 
 
+def test_many_texts_without_an_id(spark):
+    """2,000 rows without an id and 300 with one id: each is looked up by its own text."""
+    r = random.Random(8)
+    passages = [prose(i, 40) for i in range(30)]
+    texts = [f"{r.choice(passages)} {prose(i, 8)}" for i in range(2300)] + [passages[0]] * 50
+    ids = [None] * 2000 + [(1 << 63) - 1] * 300 + [None] * 50
+    rows = documents(spark, texts, doc_id=ids)
+    got = substrings.without_repeats(rows).collect()
+    assert len(got) == 2350 and sum(x.doc_id is None for x in got) == 2050
+    assert {x.doc_id for x in got if x.doc_id is not None} == {(1 << 63) - 1}
+    # All copies of a passage but the first go, whatever the order of rows without an id.
+    whole = sum(x.n_removed == 0 for x in got)
+    assert whole <= 30 + 2 and sum(x.n_removed >= 40 for x in got) >= 2350 - 50 - 32
+
+
 def test_automaton_knows_first_places():
     r = random.Random(1)
     for _ in range(60):

@@ -17,9 +17,10 @@ An anchor with more than SHARD runs is dealt on by the windows themselves, so th
 with the corpus. Anchors and runs are compared by 64-bit hashes each, words in the automata by
 themselves.
 
-Defined cases: places are ordered by document id (null last), then text hash, then start. Rows of
-one id and text are one document: none is earlier than the other, and each gets the result. A
-null text has no words. An empty table gives an empty result.
+Defined cases: places are ordered by document id (null last, those by a hash of the text), then text
+hash, then start. Rows of one id and text are one document: none is earlier than the other, and each
+gets the result. Texts are looked up by id and text hash, so many rows without an id, or with one id,
+cost no more than others. A null text has no words. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from . import words as W
-from .frames import IdFilter, among, each_batch
+from .frames import IdFilter, each_batch
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -45,7 +46,7 @@ ANCHOR = 6
 SPREAD = WINDOW - ANCHOR + 1  # places of an anchor in a window, and windows of a run at most
 SHARD = 20_000                # different runs of one anchor that one automaton takes
 SHARD_RUNS = 4000             # runs of a shard, on average
-LAST = (1 << 63) - 1
+LAST = (1 << 63) - 1          # rows without an id come last: they get numbers from here down, by their text
 
 RUNS = "anchor long, run long, doc long, text_hash int, start int, windows int"
 
@@ -169,14 +170,11 @@ def _emit_runs(batch: pa.RecordBatch):
 
 def _emit_words(batch: pa.RecordBatch):
     """The words of some runs of each text, given by their first word and windows."""
-    doc, text, text_hash, wanted = batch.columns
+    _, text, _, wanted = batch.columns
     for part in W.texts(text):
-        own = _text_hashes(part)
         rows = []
         some = range(part.first, part.first + len(part))
         for i, row in enumerate(some):
-            if own[i] != text_hash[row].as_py():
-                continue
             words = part.raw(i).split()
             for x in wanted[row].as_py():
                 span = words[x["start"]:x["start"] + x["windows"] + WINDOW - 1]
@@ -203,23 +201,20 @@ def _shard(group: pd.DataFrame) -> pd.DataFrame:
 
 def _rest(batch: pa.RecordBatch):
     """Counts and digest of each text after its repeated windows are taken out."""
-    doc, text, found = batch.columns
+    doc, text, missing, found = batch.columns
     for part in W.texts(text):
-        own = _text_hashes(part)
         ids, n, gone, digests = [], [], [], []
         for i in range(len(part)):
             words = part.raw(i).split()
             keep = np.ones(len(words), dtype=bool)
             for x in found[part.first + i].as_py() or ():
-                if x["text_hash"] != own[i]:
-                    continue
                 bits, start = x["bits"], x["start"]
                 while bits:
                     low = (bits & -bits).bit_length() - 1
                     keep[start + low:start + low + WINDOW] = False
                     bits &= bits - 1
             kept = b" ".join(w for w, k in zip(words, keep, strict=True) if k)
-            ids.append(doc[part.first + i].as_py())
+            ids.append(None if missing[part.first + i].as_py() else doc[part.first + i].as_py())
             n.append(len(words))
             gone.append(int((~keep).sum()))
             digests.append((hashlib.sha256(kept).hexdigest(), kept.decode()))
@@ -239,17 +234,14 @@ def _by_window(batch: pa.RecordBatch):
     """Runs of a crowded anchor as runs of one window, each its own anchor."""
     doc, text, text_hash, wanted = batch.columns
     for part in W.texts(text):
-        own = _text_hashes(part)
         rows = []
         starts, ends, first = W.split_words(part)
         hashes = W.span_hashes(part.data, starts, ends)
         for i in range(len(part)):
-            if own[i] != text_hash[part.first + i].as_py():
-                continue
             for x in wanted[part.first + i].as_py():
                 at = first[i] + x["start"] + np.arange(x["windows"])
                 for k, h in enumerate(W.span_hashes(hashes, at, at + WINDOW).view(np.int64)):
-                    rows.append((x["anchor"], int(h), doc[part.first + i].as_py(), int(own[i]),
+                    rows.append((x["anchor"], int(h), doc[part.first + i].as_py(), text_hash[part.first + i].as_py(),
                                  x["start"] + k, 1))
         names = [c.split()[0] for c in RUNS.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -259,21 +251,34 @@ def _by_window(batch: pa.RecordBatch):
         )
 
 
+def _picked(rows: DataFrame, chosen: IdFilter) -> DataFrame:
+    """Rows whose id may be chosen, with the hash of their text."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = batch.filter(chosen.holds(batch.column(0)))
+        hashes = [_text_hashes(part) for part in W.texts(batch.column(1))]
+        joined = np.concatenate(hashes) if hashes else np.zeros(0, np.int32)
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(joined)], names=["doc", "text", "missing", "text_hash"]
+        )
+
+    return each_batch(rows, work, "doc long, text string, missing boolean, text_hash int")
+
+
 def _with_texts(rows: DataFrame, runs: DataFrame) -> DataFrame:
     """Texts of the documents of ``runs`` with their runs: doc, text, text_hash, wanted."""
     wanted = runs.groupBy("doc", "text_hash").agg(
-        F.collect_list(F.struct("anchor", "run", "start", "windows")).alias("wanted")
+        F.collect_set(F.struct("anchor", "run", "start", "windows")).alias("wanted")
     )
-    picked = among(rows, IdFilter(runs.select("doc")))
-    return picked.join(wanted, "doc").select("doc", "text", "text_hash", "wanted")
+    picked = _picked(rows, IdFilter(runs.select("doc")))
+    return picked.join(wanted, ["doc", "text_hash"]).select("doc", "text", "text_hash", "wanted")
 
 
 def repeats(rows: DataFrame, shard: int = SHARD) -> DataFrame:
     """Windows that start earlier: doc, text_hash, start and bits of the windows from there on.
 
-    ``rows`` has the columns doc (long, not null) and text.
+    ``rows`` has the columns doc (long, not null), text and missing.
     """
-    runs = stage(each_batch(rows, _emit_runs, RUNS), "runs")
+    runs = stage(each_batch(rows.select("doc", "text"), _emit_runs, RUNS), "runs")
     # Written, so that both sides of the join are plain shuffles, which Spark splits where skewed.
     anchors = stage(
         runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
@@ -322,22 +327,22 @@ def repeats(rows: DataFrame, shard: int = SHARD) -> DataFrame:
 
 def without_repeats(docs: DataFrame, text="text", doc_id="doc_id", shard: int = SHARD) -> DataFrame:
     """Every row's words without the repeated windows: counts, digest and the text kept."""
+    key, value = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    unnamed = F.lit(LAST) - F.pmod(F.xxhash64(value), F.lit(1 << 31))
     rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"),
-        F.col(text).cast("string").alias("text"),
+        F.coalesce(key, unnamed).alias("doc"), value.alias("text"), key.isNull().alias("missing")
     )
     windows = repeats(rows, shard).distinct()
-    found = stage(windows.groupBy("doc").agg(
-        F.collect_list(F.struct("text_hash", "start", "bits")).alias("found")
+    found = stage(windows.groupBy("doc", "text_hash").agg(
+        F.collect_list(F.struct("start", "bits")).alias("found")
     ), "repeats")
     chosen = IdFilter(found.select("doc"))
-    hit = among(rows, chosen).join(found, "doc", "left").select("doc", "text", "found")
+    hit = _picked(rows, chosen).join(found, ["doc", "text_hash"], "left").select("doc", "text", "missing", "found")
 
     def whole(batch: pa.RecordBatch):
         """Texts that surely hold no repeat, in the pass that picks them: one worker per task."""
         batch = batch.filter(pc.invert(chosen.holds(batch.column(0))))
         none = pa.nulls(batch.num_rows, pa.list_(pa.int8()))
-        yield from _rest(pa.RecordBatch.from_arrays([*batch.columns, none], names=["doc", "text", "found"]))
+        yield from _rest(pa.RecordBatch.from_arrays([*batch.columns, none], names=["doc", "text", "missing", "found"]))
 
-    done = each_batch(hit, _rest, REST).unionByName(each_batch(rows, whole, REST))
-    return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
+    return each_batch(hit, _rest, REST).unionByName(each_batch(rows, whole, REST))
