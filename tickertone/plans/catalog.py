@@ -558,6 +558,14 @@ def tone_nb_score(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_scored_b(spark, sf), 6, "neg", "neu", "pos")
 
 
+@query
+def tone_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """What the word-run model counts: the most frequent runs of every size in the training part."""
+    parts = samples.holdout(views.corpus(spark, sf), "doc_id")
+    train = stage(parts.where(F.col("part") == "train").select("sentence"), "train")
+    return tone.run_vocabulary(train)
+
+
 @query
 def tone_pipeline_score(spark: SparkSession, sf: str) -> DataFrame:
     """Fit the word-run model on the training part, save, load, score all headlines."""
@@ -566,12 +574,7 @@ def tone_pipeline_score(spark: SparkSession, sf: str) -> DataFrame:
     path = _folder(spark, "tone-model")
     writers.save_model(tone.fit_tone_pipeline(train), path)
     scored = tone.score_tone(views.headlines(spark, sf), writers.load_model(path))
-    p = [F.col(f"cnn_{c}") for c in tone.CLASSES]
-    inside = [(x >= 0) & (x <= 1) for x in p]
-    adds_up = F.abs(p[0] + p[1] + p[2] - 1) < 1e-9
-    return scored.select(
-        "news_id", "ticker", _clock(), (inside[0] & inside[1] & inside[2] & adds_up).alias("proper")
-    )
+    return scored.select("news_id", "ticker", _clock(), *[f"cnn_{c}" for c in tone.CLASSES])
 
 
 @query

@@ -611,8 +611,18 @@ def oracles() -> dict[str, str]:
                FROM predictions, (VALUES (0), (1)) classes(c) WHERE label = 1 GROUP BY model, c""",
             "predictions",
         ),
-        "tone_pipeline_score": _with(
-            f"SELECT news_id, ticker, {_CLOCK}, true AS proper FROM headlines", "headlines"
+        "tone_vocabulary": _with(
+            f"""SELECT CAST(size AS INTEGER) AS size, run, cnt FROM (
+                  SELECT size, run, count(*) AS cnt FROM (
+                    SELECT size, array_to_string(ws[i:i + size - 1], ' ') AS run FROM (
+                      SELECT ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM (
+                        SELECT list_filter(string_split_regex(lower(sentence), '{_SPACES}'), lambda x: x <> '') AS ws
+                        FROM corpus
+                        WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20),
+                        (VALUES (1), (3), (4), (5)) sizes(size)))
+                  GROUP BY size, run)
+                QUALIFY row_number() OVER (PARTITION BY size ORDER BY cnt DESC, run) <= 20000""",
+            "corpus",
         ),
         "direction_fit": _with(
             f"""SELECT split, count(*) AS samples, count(*) FILTER (label = 1) AS ups,
