@@ -4,10 +4,13 @@ import os
 
 from tickertone import session
 from tickertone.config import Settings
-from tickertone.operators import news
+from pyspark.sql import functions as F
+
+from tickertone.operators import news, samples
+from tickertone.operators.assemble import with_direction, with_next_close
 from tickertone.operators.indicators import with_indicators
 from tickertone.plans.dataset import assemble
-from tickertone.sources import readers, views
+from tickertone.sources import readers, views, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +88,37 @@ def test_staged_tables_go_when_their_reader_is_done(spark):
         assert gone.count() == 3
         paths = [f.removeprefix("file:") for f in gone.inputFiles()]
     assert not any(os.path.exists(p) for p in paths) and kept.count() == 3
+
+
+def test_samples_are_made_from_buckets_without_a_shuffle(spark, tmp_path):
+    """Indicators, next close, splits and lookback samples after the one shuffle of the writer."""
+    path = str(tmp_path / "bars")
+    assert writers.write_buckets(views.bars(spark, SF), path, buckets=4) == 4
+    bars = readers.read_buckets(spark, path)
+    assert sorted(map(tuple, bars.collect())) == sorted(map(tuple, views.bars(spark, SF).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full = with_direction(with_next_close(with_indicators(bars, daily=True), daily=True))
+        tagged = samples.tag_split(full, samples.split_cutoffs(spark.read.parquet(path)))
+        made = samples.lookback_samples(tagged, ["close", "RSI"], ["MOM"], daily=True)
+        text = plan(made)
+        assert text.count("Window") >= 3 and "Bucketed: true" in text and "SelectedBucketsCount: 4 out of 4" in text
+        shuffles = [x for x in text.split("\n") if "Exchange" in x and "Broadcast" not in x]
+        assert all("SinglePartition" in x for x in shuffles), shuffles  # of the cut-off days' one row
+        counts = bars.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
+        assert "Exchange" not in plan(counts)
+        writers.write_buckets(views.vix(spark, SF).withColumn("ticker", F.lit(3).cast("long")), str(tmp_path / "b"), buckets=4)
+        other = readers.read_buckets(spark, str(tmp_path / "b")).groupBy("ticker").agg(F.max("vix").alias("vix"))
+        assert "Exchange" not in plan(counts.join(other, "ticker"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert made.where("size(seq) <> 10").count() == 0
+
+
+def test_buckets_are_overwritten_and_read_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (3, 5):
+        writers.write_buckets(spark.range(n * 100).select((F.col("id") % 7).alias("ticker"), F.col("id").alias("date")), path, buckets=n)
+        assert readers.read_buckets(spark, path).count() == n * 100
+    files = [f for f in (tmp_path / "t").iterdir() if f.suffix == ".parquet"]
+    assert 1 <= len(files) <= 5

@@ -23,13 +23,14 @@ from ..sources.readers import (
     filled_files,
     present,
     read_bars,
+    read_buckets,
     read_corpus,
     read_news_feed_a,
     read_news_feed_b,
     read_parquet,
     read_vix,
 )
-from ..sources.writers import load_model, save_model, write_csv, write_json, write_table
+from ..sources.writers import load_model, save_model, write_buckets, write_csv, write_json, write_table
 from .dataset import build_dataset
 from .evaluate import CNN_SCORES, variant_samples
 
@@ -78,7 +79,8 @@ def prepare(
     spark: SparkSession, home: str, load_a: Callable[[], Scorer], settings: Settings = Settings(),
     batch: int = 16, **options,
 ) -> DataFrame:
-    """Score the headlines with model A and build the dataset; both are written."""
+    """Score the headlines with model A and build the dataset; both are written, the dataset in buckets
+    by ticker, so that samples are made from it without a shuffle."""
     raw = read_parquet(spark, f"{home}/raw/news")
     # The day is the key of everything that follows; the time only breaks ties.
     news = raw.withColumn("time", F.col("date")).withColumn("date", day(F.col("date")))
@@ -94,8 +96,8 @@ def prepare(
             bars, read_parquet(spark, f"{home}/raw/vix"),
             daily_tone(a, tie=ARRIVAL), settings, tickers=settings.tickers, **options,
         )
-        write_table(dataset, f"{home}/processed/dataset")
-    return read_parquet(spark, f"{home}/processed/dataset")
+        write_buckets(dataset, f"{home}/processed/dataset")
+    return read_buckets(spark, f"{home}/processed/dataset")
 
 
 def score_with_model_b(
@@ -118,7 +120,7 @@ def score_with_model_b(
 def _samples(
     spark: SparkSession, home: str, variant: str, how: str, settings: Settings
 ) -> DataFrame:
-    dataset = read_parquet(spark, f"{home}/processed/dataset")
+    dataset = read_buckets(spark, f"{home}/processed/dataset")
     scored_b = None
     if variant_columns(variant) == CNN_SCORES:
         scored_b = read_parquet(spark, f"{home}/processed/news_cnn")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from ..functions.columns import (
     no_nan,
     utc_wall_time,
 )
+from .writers import BUCKETS
 
 PRICES = ("open", "high", "low", "close", "volume")
 NEWS = T.StructType([
@@ -74,6 +76,21 @@ def read_parquet(spark: SparkSession, *paths: str, nanos: Sequence[str] = ()) ->
     return df
 
 
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``writers.write_buckets``. Spark only knows buckets of catalog tables, so the folder is
+    named in the session's catalog; any session that sees the folder can read it."""
+    layout = spark.read.schema(BUCKETS).json(f"{path}_layout").first()
+    name = f"buckets_{hashlib.md5(path.encode()).hexdigest()}"
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
+    )
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"""CREATE TABLE {name} ({columns}) USING parquet
+        CLUSTERED BY ({", ".join(f"`{c}`" for c in layout.by)}) SORTED BY ({", ".join(f"`{c}`" for c in layout.sort)})
+        INTO {layout.buckets} BUCKETS LOCATION '{path}'""")
+    return spark.table(name)
+
+
 def read_bars(
     spark: SparkSession, *paths: str, tickers: Sequence | None = None,
     start: dt.date | None = None, end: dt.date | None = None, fmt: str = "parquet",

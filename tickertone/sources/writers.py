@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BUCKETS = "buckets int, by array<string>, sort array<string>"
+
+
 def write_table(
     df: DataFrame, path: str, cluster_by: Sequence[str] = ("ticker", "date"),
     partition_by: Sequence[str] = (),
@@ -29,6 +33,31 @@ def write_table(
     writer.parquet(path)
 
 
+def write_buckets(
+    df: DataFrame, path: str, by: Sequence[str] = ("ticker",), sort: Sequence[str] = ("ticker", "date"),
+    buckets: int | None = None,
+) -> int:
+    """Overwrite a Parquet table laid out for readers that work key by key: rows of a key are in one of
+    ``buckets`` files, sorted. Windows and aggregates by these keys, and joins of tables with as many
+    buckets, then read it without a shuffle (``readers.read_buckets``).
+
+    By default as many buckets as the session has shuffle partitions. One key is one task's work, so
+    this is for bounded series, such as daily ones; ``write_table`` splits a key of any length.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"buckets_{uuid.uuid4().hex}"
+    (
+        df.repartition(n, *by)  # the hash that buckets go by: one file each
+        .write.mode("overwrite").format("parquet").bucketBy(n, *by).sortBy(*sort)
+        .option("path", path).saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")  # the files stay, read_buckets names them again
+    layout = spark.createDataFrame([(n, list(by), list(sort))], BUCKETS)
+    layout.coalesce(1).write.mode("overwrite").json(f"{path}_layout")
+    return n
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
