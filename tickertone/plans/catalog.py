@@ -19,6 +19,7 @@ from ..operators.indicators import indicator_builder, mom, register_indicator, s
 from ..operators.series import SeriesContext, Stages, along_series, in_step
 from ..session import shared_folder, stage
 from ..sources import readers, views, writers
+from ..streaming import news as streaming
 from .dataset import build_dataset, scale
 from .evaluate import fit_variants, variant_samples
 
@@ -231,6 +232,40 @@ def daily_tone_best(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(best, 6, "pos", "neg", "neu")
 
 
+def _streamed(rows: DataFrame, close) -> DataFrame:
+    """``rows`` landed in three parts by time, each followed by a run of the stream ``close``, and then
+    a row far ahead of all others, which lets the watermark pass the last of them."""
+    spark = rows.sparkSession
+    landing, out, state = (_folder(spark, f"stream-{x}") for x in ("landing", "out", "state"))
+    rows = stage(rows, "to-land")
+    ends = rows.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    place = F.timestamp_diff("MINUTE", "first", "date") * 3 / (F.timestamp_diff("MINUTE", "first", "last") + 1)
+    parted = rows.crossJoin(F.broadcast(ends)).withColumn("part", F.floor(place)).drop("first", "last")
+    newest = rows.orderBy(F.col("date").desc(), "news_id").limit(1)
+    late = newest.withColumn("date", F.timestamp_add("DAY", F.lit(30), "date"))
+    for part in range(4):
+        some = parted.where(F.col("part") == part).drop("part") if part < 3 else late
+        some.write.mode("append").parquet(landing)
+        stream = streaming.landed(spark, landing, rows.schema)
+        streaming.append_once(close(stream), out, state)
+    return spark.read.schema(close(rows).schema).parquet(out)
+
+
+@query
+def stream_news_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feeds without copies, from files that land in three parts."""
+    kept = _streamed(_feeds(spark, sf), lambda s: streaming.without_copies(s, carry=("news_id",)))
+    return kept.select("ticker", _clock(), "headline", "feed", "news_id")
+
+
+@query
+def stream_daily_tone(spark: SparkSession, sf: str) -> DataFrame:
+    """The most confident headline of every day, written when the day is closed."""
+    scored = views.scored_headlines(spark, sf).drop("headline")
+    best = _streamed(scored, streaming.daily_tone_most_confident)
+    return rounded(best, 6, "pos", "neg", "neu")
+
+
 @query
 def daily_tone_mean(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(news.daily_tone_mean(views.scored_headlines(spark, sf)), 6, "pos", "neg", "neu")

@@ -409,6 +409,12 @@ def oracles() -> dict[str, str]:
                 FROM feeds GROUP BY ticker, date, headline)""",
             "feeds",
         ),
+        "stream_news_dedupe": _with(
+            f"""SELECT ticker, {_CLOCK}, headline, min(feed) AS feed, min(news_id) AS news_id
+                FROM feeds GROUP BY ticker, feeds.date, headline""",
+            "feeds",
+        ),
+        "stream_daily_tone": _with(f"SELECT ticker, date, {_rounded('pos neg neu', 6)} FROM best", "best"),
         "feed_counts": _with(
             """SELECT 'feed_' || feed AS name, count(*) AS rows FROM feeds GROUP BY feed
                UNION ALL
