@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .frames import VECTOR, each_batch, pieces, summed_vector, vector_rows
+from .frames import VECTOR, each_batch, pieces, summed_vector, tidied, vector_rows
 
 TERMS = 1 << 16
 RANGE = 32           # rows of the range finder
@@ -123,7 +123,7 @@ def corpus_range(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
     length = RANGE * TERMS + TERMS + 1
-    total = summed_vector(docs.mapInArrow(count, VECTOR), length)
+    total = summed_vector(docs.mapInArrow(tidied(count), VECTOR), length)
     return total[:RANGE * TERMS].reshape(RANGE, TERMS), total[RANGE * TERMS:-1], float(total[-1])
 
 

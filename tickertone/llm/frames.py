@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -34,6 +35,26 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Spark keeps its Python workers for later tasks, and what
+    they keep adds up with the workers of the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only glibc has it
+        pass
+
+
+def tidied(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on the batches of a task, after which the worker gives back its memory."""
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+    return run
+
+
 def each_batch(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
     schema: str | T.StructType,
@@ -48,7 +69,7 @@ def each_batch(
                 yield done
             else:
                 yield from done
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def _add_up(batches: Batches) -> Batches:
@@ -92,9 +113,9 @@ def summed_vector(df: DataFrame, length: int) -> np.ndarray:
     """
     wide = -(-length // SLICE)
     grouped = df.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-    once = grouped.repartition(wide, "part", "piece").mapInArrow(_add_up, VECTOR)
+    once = grouped.repartition(wide, "part", "piece").mapInArrow(tidied(_add_up), VECTOR)
     both = (
-        once.withColumn("part", F.lit(0)).repartition(wide, "piece").mapInArrow(_add_up, VECTOR)
+        once.withColumn("part", F.lit(0)).repartition(wide, "piece").mapInArrow(tidied(_add_up), VECTOR)
     )
     total = np.zeros(wide * SLICE)
     for row in both.toLocalIterator():
@@ -125,7 +146,7 @@ class IdFilter:
                 total[_slots(batch.column(0))] = 1
             yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
-        filled = summed_vector(ids.mapInArrow(fill, VECTOR), SLOTS) > 0
+        filled = summed_vector(ids.mapInArrow(tidied(fill), VECTOR), SLOTS) > 0
         self._bits = ids.sparkSession.sparkContext.broadcast(np.packbits(filled))
 
     def holds(self, ids: pa.Array) -> pa.Array:

@@ -26,7 +26,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +39,10 @@ from ..session import stage
 from . import words as W
 from .components import components
 from .frames import (
-    ROW, VECTOR, IdFilter, each_batch, pieces, rows_of, summed_vector, unused, vector_rows,
+    ROW, VECTOR, IdFilter, each_batch, give_back, pieces, rows_of, summed_vector, tidied, unused,
+    vector_rows,
 )
 
-if TYPE_CHECKING:
-    import pandas as pd
-
 SKETCH = 1 << 22
 PAIRED = 32            # nodes of a shingle that are still paired one by one
 BLOCK = 512            # nodes of a block, on average
@@ -129,7 +126,7 @@ def rarities(docs: DataFrame, rule: Rule) -> np.ndarray:
                 np.add.at(total, _slot(shingles(part, rule)[0], slots), 1)
         yield from vector_rows(pieces(total, TaskContext.get().partitionId()))
 
-    counts = summed_vector(docs.mapInArrow(count, VECTOR), slots)
+    counts = summed_vector(docs.mapInArrow(tidied(count), VECTOR), slots)
     return np.floor(4 * np.log2(1 + counts)).astype(np.uint8)
 
 
@@ -247,24 +244,30 @@ def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
-    """Links among the nodes of two blocks that share a frequent shingle."""
-    import pandas as pd  # only here, as each worker pays for it
+LINKS = "node long, other long, weight long"
+
+
+def _links(node: np.ndarray, other: np.ndarray, weight: np.ndarray) -> pa.Table:
+    return pa.table({"node": pa.array(node, pa.int64()), "other": pa.array(other, pa.int64()),
+                     "weight": pa.array(weight, pa.int64())})
 
-    m = len(group)
-    token = group["token"].iloc[0]
-    nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()
-    n, pos = group["n"].to_numpy(), group["pos"].to_numpy()
-    home = (group["block"] == group["low"]).to_numpy()
+
+def _block_links(group: pa.Table, rule: Rule) -> pa.Table:
+    """Links among the nodes of two blocks that share a frequent shingle."""
+    m = group.num_rows
+    token, low, high = (group[c][0].as_py() for c in ("token", "low", "high"))
+    nodes, copies, n, pos = (group[c].to_numpy() for c in ("node", "copies", "n", "pos"))
+    home = group["block"].to_numpy() == low
+    frequent = group["frequent"].to_pylist()
     wanted = -(-rule.num * (n[:, None] + n[None, :]) // (rule.num + rule.den))
     open_ = rule.num * np.maximum.outer(n, n) <= rule.den * np.minimum.outer(n, n)
     # Rare shingles that both share may come before this one, so what precedes it counts as well.
     left = n - pos
     open_ &= np.minimum.outer(pos, pos) + np.minimum.outer(left, left) >= wanted
     np.fill_diagonal(open_, False)
-    if group["low"].iloc[0] != group["high"].iloc[0]:
+    if low != high:
         open_ &= home[:, None] != home[None, :]
-    earlier = [f[: list(f).index(token)] for f in group["frequent"]]
+    earlier = [f[: f.index(token)] for f in frequent]
     known = {t: i for i, t in enumerate(sorted({t for f in earlier for t in f}))}
     if known:
         before = np.zeros((m, len(known)), dtype=np.float32)
@@ -272,8 +275,8 @@ def _block_links(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
             before[i, [known[t] for t in f]] = 1.0
         open_ &= (before @ before.T) == 0  # the pair belongs to an earlier shingle
     if not open_.any():
-        return pd.DataFrame({"node": nodes[:0], "other": nodes[:0], "weight": nodes[:0]})
-    common = _common_counts([np.frombuffer(s, dtype=np.uint64) for s in group["members"]])
+        return _links(nodes[:0], nodes[:0], nodes[:0])
+    common = _common_counts([np.frombuffer(s, dtype=np.uint64) for s in group["members"].to_pylist()])
     linked = open_ & (common >= wanted)
     root = np.arange(m)
     while True:  # the smallest index each node can reach
@@ -283,10 +286,7 @@ def _block_links(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
             break
         root = least
     some = linked.any(axis=1)
-    return pd.DataFrame({
-        "node": nodes[some], "other": nodes[root[some]],
-        "weight": (linked[some] * copies[None, :]).sum(axis=1),
-    })
+    return _links(nodes[some], nodes[root[some]], (linked[some] * copies[None, :]).sum(axis=1))
 
 
 def block_links(live: DataFrame, members: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
@@ -305,9 +305,12 @@ def block_links(live: DataFrame, members: DataFrame, held: DataFrame, rule: Rule
         .join(held.select("node", "members"), "node")
         .select("token", "low", "high", "block", "node", "n", "pos", "copies", "frequent", "members")
     )
-    return dealt.groupBy("token", "low", "high").applyInPandas(
-        lambda group: _block_links(group, rule), "node long, other long, weight long"
-    )
+    def work(group: pa.Table) -> pa.Table:
+        found = _block_links(group, rule)
+        give_back()
+        return found
+
+    return dealt.groupBy("token", "low", "high").applyInArrow(work, LINKS)
 
 
 def needed_sets(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
