@@ -203,6 +203,33 @@ def test_round_trip(spark, tmp_path):
     assert files == [f"shard-{i:08d}.bin" for i in range(-(-len(manifest) // 16))]
 
 
+def _encode(text):
+    ranks = training_order.load_ranks(LAYOUT.ranks)
+    encoders = [training_order._encoder(ranks, p, f"test {p}") for p in (training_order.PLAIN, LAYOUT.pattern)]
+    pieces = training_order.cut_at_spaces(text)
+    return [x for blank, piece in pieces for x in encoders[not blank].encode(piece, disallowed_special=())], encoders[1]
+
+
+@needs_ranks
+@pytest.mark.parametrize("run", [" " * 12_000, "\n" * 10_001, " \t" * 9_000, "\u3000\x85" * 6_000, "\x1c" * 11_000, " " * 9_999])
+def test_long_white_space_is_cut_where_the_pattern_cuts(run):
+    r = random.Random(4)
+    for before, after in (("", ""), ("word", ""), ("", "word"), ("it's 12", "'s"), ("!", "\x1cx"), ("a ", "é 1")):
+        text = before + run + after + prose(r.random(), 30) + run + "end" + run[:r.randrange(len(run))]
+        got, plain = _encode(text)
+        assert got == plain.encode(text, disallowed_special=())
+
+
+@needs_ranks
+def test_ten_million_characters_of_each_sort(spark, tmp_path):
+    texts = [c * 10_000_000 for c in (" ", "a", "1", "!")] + ["a" + "\n" * 3_000_000 + "b"]
+    folder = f"file://{tmp_path}/long"
+    manifest = training_order.write_shards(documents(spark, texts), folder, training_order.Layout()).collect()
+    tokens = {i: sum(s.n for r in manifest for s in r.segments if s.doc_id == i) for i in range(len(texts))}
+    assert tokens[0] == 10_000_001 and tokens[4] == 2 + 1 + 1_500_000 + 1
+    assert tokens[1] == tokens[2] == 2_500_001 and tokens[3] == 1_250_001
+
+
 @needs_ranks
 def test_order_odd_rows(odd, nothing, tmp_path):
     got = training_order.write_shards(odd, str(tmp_path / "a"), LAYOUT).collect()

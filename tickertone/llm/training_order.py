@@ -10,7 +10,8 @@ Slots are dealt to tasks by range, sorted, and written as binary shards of a fix
 ``slot // per_shard``, byte ``(slot % per_shard) * stride``, little-endian tokens, no header. A
 shard is written under another name and then renamed, so a task that runs again replaces it by
 the same bytes. Reading from any slot on is one seek (``read_slots``). Hot sources or long texts
-do not matter: slots are uniform.
+do not matter: slots are uniform. Long runs of white space are cut out before the pattern sees them,
+since its look-ahead would run out of stack; the tokens are the same.
 
 Defined cases: a null text is skipped; an empty one is a single end mark. Repeated rows are
 separate texts. Rows without an id are kept, their segments have no id. An empty table gives no
@@ -23,7 +24,9 @@ import base64
 import hashlib
 import json
 import os
+import re
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, stage
-from .frames import Batches
+from .frames import Batches, tidied
 from .words import mixed
 
 # Fixed value: how byte-level BPE vocabularies of this family cut a text before merging.
@@ -85,6 +88,24 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+LONG = 10_000  # white space: a longer run makes the pattern's look-ahead run out of stack
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
+PLAIN = r"\s+|\S+"
+
+
+def cut_at_spaces(text: str) -> Iterator[tuple[bool, str]]:
+    """(is white space, piece) where PATTERN cuts a text before and after long runs of white space:
+    a run is one piece, but for its last character if a word follows, which goes on with that."""
+    at = 0
+    if len(text) >= LONG:
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            yield False, text[at:run.start()]
+            yield True, text[run.start():end]
+            at = end
+    yield False, text[at:]
+
+
 _encoders: dict[str, object] = {}
 
 
@@ -150,21 +171,25 @@ def sequences(docs: DataFrame, layout: Layout, text="text", doc_id="doc_id") ->
     def pack(batches: Batches) -> Batches:
         name = f"{layout.ranks}:{layout.pattern}"
         encoder = _encoder(ranks.value, layout.pattern, name)
+        spaces = _encoder(ranks.value, PLAIN, f"{layout.ranks}:{PLAIN}")
         packer = _Packer(layout, TaskContext.get().partitionId())
         end = np.array([layout.end], dtype="<u2")
         for batch in batches:
             for key, value in zip(*batch.columns, strict=True):
                 if not value.is_valid:
                     continue
-                ids = encoder.encode_to_numpy(value.as_py(), disallowed_special=())
-                packer.add(key.as_py(), np.concatenate([ids.astype("<u2"), end]))
+                ids = [
+                    (spaces if blank else encoder).encode_to_numpy(piece, disallowed_special=()).astype("<u2")
+                    for blank, piece in cut_at_spaces(value.as_py())
+                ]
+                packer.add(key.as_py(), np.concatenate([*ids, end]))
                 if len(packer.rows) >= 256:
                     yield packer.batch()
         packer.close()
         yield packer.batch()
 
     rows = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(pack, SEQUENCES)
+    return rows.mapInArrow(tidied(pack), SEQUENCES)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
