@@ -292,3 +292,26 @@ def test_chat_odd_rows(spark):
     assert set(got) == {1, 2} and got[1].prompt == "<|unknown|>\n<|end|>\n"
     assert got[2].chosen == "" and got[2].n_prompt_turns == 1  # both sides are the same
     assert chat.format_preferences(turns(spark, [])).count() == 0
+
+
+def syllables(seed, sounds, n):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(sounds) for _ in range(r.randrange(1, 4))) for _ in range(n))
+
+
+def test_texts_unlike_every_language_are_told_apart(spark):
+    """Random letters and the sounds of no learned language score below the learned bound, clean texts above."""
+    sounds = {"one": ["the", "an", "ing", "er", "st", "ou"], "two": ["der", "sch", "ung", "ein", "ge", "ch"],
+              "three": ["que", "les", "eau", "oi", "ment", "ai"]}
+    r = random.Random(9)
+    rows = [(syllables(i, s, r.choice([4, 15, 60, 400])), y) for i in range(150) for y, s in sounds.items()]
+    docs = documents(spark, [t for t, _ in rows], lang=[y if i % 5 else None for i, (_, y) in enumerate(rows)])
+    profiles = language.learn(docs)
+    least = language.least_score(docs, profiles)
+    scored = language.with_language(docs, profiles).collect()
+    assert 0.1 < least <= min(x.score for x in scored)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    odd = ["".join(r.choice(letters + " ") for _ in range(n)) for n in (30, 300, 3000, 30000)]
+    odd += [syllables(5, ["kku", "aa", "ylly", "vo", "jo"], n) for n in (10, 100, 1000)]
+    assert all(s < least for s in profiles.predict(odd)[1])
+    assert language.least_score(docs.where("lang IS NULL"), profiles) == 0.0

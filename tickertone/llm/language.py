@@ -28,6 +28,7 @@ from .frames import each_batch
 
 PROFILE = 400
 MAX_DOCUMENTS = 5000  # per language, bound of the sample the profiles are learned from
+MARGIN = 0.8   # of the lowest score of a labelled document: what other texts must reach
 UNKNOWN = "und"
 _BITS = 10
 _letters: list[np.ndarray] = []
@@ -145,11 +146,11 @@ def _count(batch: pa.RecordBatch):
         )
 
 
-def learn(
-    docs: DataFrame, text="text", doc_id="doc_id", lang="lang",
-    profile: int = PROFILE, max_documents: int = MAX_DOCUMENTS,
-) -> Profiles:
-    """Profiles of the languages of ``docs``."""
+def labelled(
+    docs: DataFrame, text="text", doc_id="doc_id", lang="lang", max_documents: int = MAX_DOCUMENTS,
+) -> DataFrame | None:
+    """What is learned from: (lang, text) of about ``max_documents`` documents of each language at
+    most, picked by a hash of their ids; None without any."""
     rows = docs.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(1 << 20)).alias("at"),
@@ -161,11 +162,21 @@ def learn(
     # One number per language reaches the driver, as do the profiles later on.
     counts = {r.lang: r.docs for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()}
     if not counts:
-        return Profiles({}, profile)
+        return None
     until = F.create_map(*[
         F.lit(x) for name, n in counts.items() for x in (name, (max_documents << 20) // n)
     ])
-    sample = rows.where(F.col("at") < F.try_element_at(until, F.col("lang"))).select("lang", "text")
+    return rows.where(F.col("at") < F.try_element_at(until, F.col("lang"))).select("lang", "text")
+
+
+def learn(
+    docs: DataFrame, text="text", doc_id="doc_id", lang="lang",
+    profile: int = PROFILE, max_documents: int = MAX_DOCUMENTS,
+) -> Profiles:
+    """Profiles of the languages of ``docs``."""
+    sample = labelled(docs, text, doc_id, lang, max_documents)
+    if sample is None:
+        return Profiles({}, profile)
     grams = each_batch(sample, _count, "lang string, code long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = (
@@ -203,6 +214,19 @@ def with_language(
     return each_batch(docs, predict, T.StructType([*docs.schema.fields, *added]))
 
 
+def least_score(
+    docs: DataFrame, profiles: Profiles, text="text", doc_id="doc_id", lang="lang",
+    margin: float = MARGIN, max_documents: int = MAX_DOCUMENTS,
+) -> float:
+    """A score that every text in a learned language should reach: ``margin`` times the lowest of the
+    labelled documents that are told right. 0 without any."""
+    sample = labelled(docs, text, doc_id, lang, max_documents)
+    if sample is None:
+        return 0.0
+    told = with_language(sample, profiles, "text", "said", "score").where(F.col("said") == F.col("lang"))
+    return margin * (told.agg(F.min("score")).first()[0] or 0.0)
+
+
 def identify(docs: DataFrame, text="text", doc_id="doc_id", lang="lang", **sample) -> DataFrame:
     """Learn from the documents not held out, predict all of them."""
     profiles = learn(docs, text, doc_id, lang, **sample)
