@@ -819,6 +819,40 @@ def direction_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return models.evaluate_all(test, fitted)
 
 
+def _rising_models() -> dict:
+    """Fixed linear models: the close's change over the lookback, without and with the day's tone."""
+    rise = [0.0] * (3 * Settings().lookback)
+    rise[0], rise[-3] = -1.0, 1.0  # the close leads each step
+    return {
+        "baseline": models.linear_model([*rise, 0.5]),
+        "finbert_fusion": models.linear_model([*rise, 4000.0, -4000.0, 0.0, 0.25]),
+    }
+
+
+def _fixed_samples(spark: SparkSession, sf: str) -> DataFrame:
+    made = samples.lookback_samples(_tagged(spark, sf), ("close", "volume", "MOM"), **DAILY)
+    return stage(made.where(F.col("split") == "test"), "test-samples")
+
+
+@query
+def direction_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Logit and class of every test sample under fixed models, saved and loaded again."""
+    made, out = _fixed_samples(spark, sf), []
+    for name, model in _rising_models().items():
+        path = _folder(spark, name)
+        writers.save_model(model, path)
+        out.append(models.predict(made, writers.load_model(path), name).withColumn("model", F.lit(name)))
+    both = out[0].unionByName(out[1]).select("model", "ticker", "date", "label", "logit", "pred")
+    return rounded(both, 4, "logit")
+
+
+@query
+def direction_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison table of the fixed models on the test split."""
+    made, fixed = _fixed_samples(spark, sf), _rising_models()
+    return models.evaluate_all({name: made for name in fixed}, fixed)
+
+
 @query
 def direction_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     """All three variants fitted and put to the test split: how many rows of each true class each judged."""

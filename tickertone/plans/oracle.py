@@ -354,6 +354,27 @@ def _lookback() -> str:
     )
 
 
+def _fixed_models(body: str) -> str:
+    return _with(
+        f""", fixed AS (
+          SELECT ticker, date, label, model,
+                 CASE model WHEN 'baseline' THEN 0.5 - first + last
+                      ELSE 0.25 - first + last + 4000 * pos - 4000 * neg END AS logit
+          FROM (SELECT split, ticker, date, label, pos, neg, CAST(lag(close, 10) OVER w AS DOUBLE) AS first,
+                       CAST(lag(close, 1) OVER w AS DOUBLE) AS last, row_number() OVER w AS nth
+                FROM tagged WINDOW w AS (PARTITION BY split, ticker ORDER BY date)),
+               (VALUES ('baseline'), ('finbert_fusion')) models(model)
+          WHERE split = 'test' AND nth > 10),
+        said AS (SELECT *, CAST(logit > 0 AS INTEGER) AS pred FROM fixed),
+        counts AS (
+          SELECT model, count(*) FILTER (pred = 1 AND label = 1) AS tp, count(*) FILTER (pred = 1 AND label = 0) AS fp,
+                 count(*) FILTER (pred = 0 AND label = 1) AS fn, count(*) FILTER (pred = 0 AND label = 0) AS tn
+          FROM said GROUP BY model)
+        {body}""",
+        "tagged",
+    )
+
+
 def _early_stop() -> str:
     return _with(
         """, marked AS (
@@ -638,6 +659,9 @@ def oracles() -> dict[str, str]:
                 GROUP BY split""",
             "tagged", rules=_LABELLED,
         ),
+        "direction_predict": _fixed_models(
+            f"SELECT model, ticker, date, label, {_round('logit', 4, 'logit')}, pred FROM said"),
+        "direction_metrics": _fixed_models(_METRICS),
         "direction_evaluate": _with(
             f"""SELECT model, c AS label, count(*) FILTER (label = c) AS predictions
                 FROM ({_SAMPLES}), (VALUES (0), (1)) classes(c),
