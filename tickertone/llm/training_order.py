@@ -88,6 +88,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+STAGED_LEVEL = 9  # of zstd: staged sequences, shuffled ones and shards are on disk at once
 LONG = 10_000  # white space: a longer run makes the pattern's look-ahead run out of stack
 _LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 PLAIN = r"\s+|\S+"
@@ -225,7 +226,8 @@ def write_shards(docs: DataFrame, folder: str, layout: Layout = Layout(), text="
 
     spark = docs.sparkSession
     packed = os.path.join(shared_folder(spark), f"sequences-{uuid.uuid4().hex}")
-    sequences(docs, layout, text, doc_id).write.option("compression", "zstd").parquet(packed)
+    kept = sequences(docs, layout, text, doc_id).write.option("compression", "zstd")
+    kept.option("parquet.compression.codec.zstd.level", STAGED_LEVEL).option("parquet.page.size", 8 << 20).parquet(packed)
     staged = spark.read.schema(SEQUENCES).parquet(packed)
     # Two numbers per task of the pass before.
     sizes = {r.part: r.n for r in staged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
