@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -855,9 +856,28 @@ def direction_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def direction_evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    """All three variants fitted and put to the test split: how many rows of each true class each judged."""
+    """All three variants fitted and compared on the test split: how many rows of each true class each
+    judged, and whether the metrics and the history of the variant fit together."""
     fitted, test = _fitted(spark, sf)
     said = stage(models.predictions_of(test, fitted), "said")
-    return metrics.confusion(said).select(
+    return said_against_history(said, {n: (m.history, m.best_epoch) for n, m in fitted.items()})
+
+
+def said_against_history(said: DataFrame, histories: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Predictions of every model and true class. ``fits`` tells that the comparison table's accuracy is
+    the share of right rows, and that the kept epoch is the first of the lowest validation loss."""
+    right = said.groupBy("model").agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("share"))
+    history = reduce(DataFrame.unionAll, [
+        h.select(F.lit(name).alias("model"), F.lit(best).alias("best"), "epoch", "val_loss")
+        for name, (h, best) in histories.items()
+    ])
+    kept = history.groupBy("model").agg(
+        (F.max("best") == F.min_by("epoch", F.struct("val_loss", "epoch"))).alias("kept_is_best")
+    )
+    fits = metrics.comparison(said).join(right, "model").join(kept, "model").select(
+        "model", (F.col("kept_is_best") & (F.abs(F.col("accuracy") - F.col("share")) <= 5.1e-5)).alias("fits")
+    )
+    cells = metrics.confusion(said).select(
         "model", "label", (F.col("pred_0") + F.col("pred_1")).alias("predictions")
     )
+    return cells.join(fits, "model")
