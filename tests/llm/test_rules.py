@@ -315,3 +315,15 @@ def test_texts_unlike_every_language_are_told_apart(spark):
     odd += [syllables(5, ["kku", "aa", "ylly", "vo", "jo"], n) for n in (10, 100, 1000)]
     assert all(s < least for s in profiles.predict(odd)[1])
     assert language.least_score(docs.where("lang IS NULL"), profiles) == 0.0
+
+
+def test_language_learns_from_every_labelled_document(spark):
+    """More of one language than any bound: the one text that scores least counts, wherever it is."""
+    rows = spark.range(14_000).selectExpr("id AS doc_id", "'banana lama' AS text", "'aa' AS lang")
+    kept = rows.where(~language.held_out(F.col("doc_id")))
+    assert language.labelled(rows).count() == kept.count() > 10_000
+    profiles = language.learn(rows)
+    for odd in [r.doc_id for r in kept.orderBy("doc_id").limit(8).collect()]:
+        text = F.when(F.col("doc_id") == odd, "bananx lamq").otherwise(F.col("text"))
+        least = language.least_score(rows.withColumn("text", text), profiles, margin=1.0)
+        assert least == pytest.approx(profiles.predict(["bananx lamq"])[1][0]) and least < 0.99

@@ -6,9 +6,8 @@ it, and the language with the smallest out-of-place distance is predicted: for e
 the text the difference of the two ranks, or PROFILE if the profile lacks it. The score is
 one minus the distance, as a share of the greatest possible one.
 
-Profiles are learned from at most about ``max_documents`` documents per language, picked by a
-hash of their id, among those with a text and a language and not held out. The language, the
-source and the id are never inputs of a prediction.
+Profiles are learned from all documents with an id, a text and a language that are not held out.
+The language, the source and the id are never inputs of a prediction.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is every
 text if nothing could be learned. Ties go to the language that sorts first. A row without an id is not held out and not
@@ -27,7 +26,6 @@ from . import words as W
 from .frames import each_batch
 
 PROFILE = 400
-MAX_DOCUMENTS = 5000  # per language, bound of the sample the profiles are learned from
 MARGIN = 0.8   # of the lowest score of a labelled document: what other texts must reach
 UNKNOWN = "und"
 _BITS = 10
@@ -146,45 +144,31 @@ def _count(batch: pa.RecordBatch):
         )
 
 
-def labelled(
-    docs: DataFrame, text="text", doc_id="doc_id", lang="lang", max_documents: int = MAX_DOCUMENTS,
-) -> DataFrame | None:
-    """What is learned from: (lang, text) of about ``max_documents`` documents of each language at
-    most, picked by a hash of their ids; None without any."""
+def labelled(docs: DataFrame, text="text", doc_id="doc_id", lang="lang") -> DataFrame:
+    """What is learned from: (lang, text) of every document that has an id, both of these, and is not
+    held out."""
     rows = docs.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(1 << 20)).alias("at"),
         F.col(doc_id).cast("long").alias("id"),
-    ).where(
+    )
+    return rows.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
         & ~held_out(F.col("id"))
-    )
-    # One number per language reaches the driver, as do the profiles later on.
-    counts = {r.lang: r.docs for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()}
-    if not counts:
-        return None
-    until = F.create_map(*[
-        F.lit(x) for name, n in counts.items() for x in (name, (max_documents << 20) // n)
-    ])
-    return rows.where(F.col("at") < F.try_element_at(until, F.col("lang"))).select("lang", "text")
+    ).select("lang", "text")
 
 
 def learn(
-    docs: DataFrame, text="text", doc_id="doc_id", lang="lang",
-    profile: int = PROFILE, max_documents: int = MAX_DOCUMENTS,
+    docs: DataFrame, text="text", doc_id="doc_id", lang="lang", profile: int = PROFILE,
 ) -> Profiles:
     """Profiles of the languages of ``docs``."""
-    sample = labelled(docs, text, doc_id, lang, max_documents)
-    if sample is None:
-        return Profiles({}, profile)
-    grams = each_batch(sample, _count, "lang string, code long, n long")
+    grams = each_batch(labelled(docs, text, doc_id, lang), _count, "lang string, code long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = (
         grams.groupBy("lang", "code").agg(F.sum("n").alias("n"))
         .withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < profile)
     )
     ranks: dict[str, dict[int, int]] = {}
-    for row in top.collect():
+    for row in top.collect():  # ``profile`` rows per language
         ranks.setdefault(row.lang, {})[row.code] = row.rank
     return Profiles(ranks, profile)
 
@@ -215,21 +199,17 @@ def with_language(
 
 
 def least_score(
-    docs: DataFrame, profiles: Profiles, text="text", doc_id="doc_id", lang="lang",
-    margin: float = MARGIN, max_documents: int = MAX_DOCUMENTS,
+    docs: DataFrame, profiles: Profiles, text="text", doc_id="doc_id", lang="lang", margin: float = MARGIN,
 ) -> float:
-    """A score that every text in a learned language should reach: ``margin`` times the lowest of the
+    """A score that every text in a learned language should reach: ``margin`` times the lowest of all
     labelled documents that are told right. 0 without any."""
-    sample = labelled(docs, text, doc_id, lang, max_documents)
-    if sample is None:
-        return 0.0
-    told = with_language(sample, profiles, "text", "said", "score").where(F.col("said") == F.col("lang"))
-    return margin * (told.agg(F.min("score")).first()[0] or 0.0)
+    told = with_language(labelled(docs, text, doc_id, lang), profiles, "text", "said", "score")
+    return margin * (told.where(F.col("said") == F.col("lang")).agg(F.min("score")).first()[0] or 0.0)
 
 
-def identify(docs: DataFrame, text="text", doc_id="doc_id", lang="lang", **sample) -> DataFrame:
+def identify(docs: DataFrame, text="text", doc_id="doc_id", lang="lang", **options) -> DataFrame:
     """Learn from the documents not held out, predict all of them."""
-    profiles = learn(docs, text, doc_id, lang, **sample)
+    profiles = learn(docs, text, doc_id, lang, **options)
     id_ = F.col(doc_id).cast("long")
     rows = docs.select(
         id_.alias("doc_id"), held_out(id_).alias("held_out"),
