@@ -6,10 +6,12 @@ import pytest
 from helpers import DAY0, assert_close, bars_frame, indicator_loops, rows_by_date
 from pyspark.sql import functions as F
 
+from tickertone import stage
 from tickertone.config import Settings
 from tickertone.operators.indicators import (
     indicator_builder, indicator_columns, macd, register_indicator, with_indicators,
 )
+from tickertone.operators import series
 from tickertone.operators.series import SeriesContext, along_series, in_step, number_rows, reach_of
 
 
@@ -237,3 +239,47 @@ def test_reach_is_the_longest_path(spark):
     assert reach(_tower)[1] == 50 and reach(_tower)[0] > 40 + 64 + 32
     signal = SeriesContext.smoothing_reach(2 / 27, 25) + SeriesContext.smoothing_reach(0.2, 33)
     assert reach(macd) == (signal, 0)
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """Names and rows of the tables that series work writes."""
+    written = []
+    def watched(df, name):
+        table = stage(df, name)
+        written.append((name, table.count()))
+        return table
+    monkeypatch.setattr(series, "stage", watched)
+    return written
+
+
+def test_series_of_one_segment_are_written_once_and_not_copied(spark, staged):
+    bars = bars_frame(spark, range(1, 101), "A").union(bars_frame(spark, range(1, 51), "B"))
+    spec = {"O": ("OBV", {}), "S": ("SMA", {"timeperiod": 30})}
+    got = rows_by_date(with_indicators(bars, spec, segment=128))
+    assert [n for n, _ in staged if n not in ("starts", "carried")] == ["numbered"]
+    plain = rows_by_date(with_indicators(bars, spec, daily=True))
+    assert got.equals(plain)
+
+
+def test_segments_are_copied_in_part_and_only_where_there_is_one(spark):
+    rows = spark.range(1000).select(F.lit("T").alias("ticker"), F.col("id").alias("__row"), F.lit(1000).alias("__length"))
+    ctx = SeriesContext(("ticker",), "date", True, back=100)
+    cut = series._segments(rows, ctx, 64)
+    assert cut.where(~F.col("__own")).count() == 2 * 100  # 400 + 400 + 200 rows
+    assert {r["__seg"] for r in cut.where("__own").select("__seg").distinct().collect()} == {0, 1, 2}
+    assert cut.select("__seg").distinct().count() == 3
+
+
+def test_chained_windows_number_the_rows_once(spark, staged):
+    close, volume = walk(2000, 11)
+    bars = bars_frame(spark, close, volume=volume).union(bars_frame(spark, close[:90], "S", volume[:90]))
+    def build(ctx):
+        total = {"__t": ctx.running_sum("__t", F.col("volume"))}
+        return [total, {"share": (F.col("__t") - F.coalesce(ctx.lag(F.col("__t"), 30), F.lit(0.0))) / F.col("__t")}]
+    got = rows_by_date(along_series(bars, build, segment=128))
+    assert [n for n, _ in staged].count("numbered") == 1
+    assert dict(staged)["segments"] == 2000
+    plain = rows_by_date(along_series(bars, build, daily=True))
+    assert len(got) == 2090
+    assert_close(got["share"], plain["share"], 1.0)

@@ -3,8 +3,9 @@
 A daily series holds at most one row per key and calendar day, so a plain window per
 key is small (a century is 36,525 rows) and costs one shuffle. Callers that can prove
 it pass ``daily=True``. Any other series is cut into segments of equal row count, whatever its
-length. A segment also gets copies of the rows just before (and after) it, as many as the
-columns look back (ahead), so no task ever holds a whole long series:
+length; it is at least WIDER times as long as the columns look back (or ahead). A segment also gets
+copies of the rows just before (and after) it, as many as the columns look back (ahead), so no task
+ever holds a whole long series. A series that fits into one segment is neither copied nor completed:
 
 * sliding frames are exact, since every row they reach is in the segment;
 * a smoothing average forgets its start by (1 - alpha) per row, and the copied rows are
@@ -27,9 +28,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage
+from ..session import estimated_bytes, stage
 
 SEGMENT_ROWS = 65_536
+WIDER = 4  # at most a quarter of a segment's rows are copied
+TASK_BYTES = 8 << 20  # of the files that dealt daily series come from, for one task
 BLOCK_ROWS = 2048
 # exp(-39) is below a double's relative rounding; exp(600) is far from overflow.
 FORGOTTEN, OVERFLOW = 39.0, 600.0
@@ -214,16 +217,9 @@ def _phases(ctx: SeriesContext, stages: Stages) -> list[Stages]:
     return phases
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str = "date", out: str = "row"
-) -> DataFrame:
-    """0-based position of each row in its key's series, without gathering the series.
-
-    The rows are written once, sorted in ranges of (key, order); equal times are told apart
-    by a hash of the row, so that a range ends anywhere, also inside a burst. A row's place in
-    its range comes with the writing, and the rows of a key in earlier ranges are added up
-    from one small row per key and range.
-    """
+def _placed(df: DataFrame, keys: Sequence[str], order: str) -> tuple[DataFrame, DataFrame]:
+    """The rows, written in ranges of (key, order) with their place ``__at`` in all of them, and one row
+    per key and range: what to add for the place in the key's series, and the length of that series."""
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     by = [*keys, order, "__tie"]
     placed = stage(
@@ -233,26 +229,45 @@ def number_rows(
         "numbered",
     ).withColumn("__part", F.shiftright("__at", 33))
     own = [*keys, "__part"]
-    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    series = Window.partitionBy(*keys)
+    earlier = series.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(*own)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
         .select(*own, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first"))
-                .alias("__shift"))
+                .alias("__shift"), F.sum("__n").over(series).alias("__length"))
     )
+    return placed, starts
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: str = "date", out: str = "row"
+) -> DataFrame:
+    """0-based position of each row in its key's series, without gathering the series.
+
+    The rows are written once, sorted in ranges of (key, order); equal times are told apart
+    by a hash of the row, so that a range ends anywhere, also inside a burst. A row's place in
+    its range comes with the writing, and the rows of a key in earlier ranges are added up
+    from one small row per key and range.
+    """
+    placed, starts = _placed(df, keys, order)
     return (
-        placed.join(starts, own).withColumn(out, F.col("__at") + F.col("__shift"))
-        .drop("__at", "__part", "__shift")
+        placed.join(starts, [*keys, "__part"]).withColumn(out, F.col("__at") + F.col("__shift"))
+        .drop("__at", "__part", "__shift", "__length")
     )
 
 
-def _segments(df: DataFrame, ctx: SeriesContext, size: int) -> DataFrame:
-    size = max(size, ctx.back, ctx.ahead)
-    numbered = number_rows(df, ctx.keys, ctx.order, "__row")
+def _size(segment: int, back: int, ahead: int) -> int:
+    return max(segment, WIDER * back, WIDER * ahead)
+
+
+def _segments(numbered: DataFrame, ctx: SeriesContext, segment: int) -> DataFrame:
+    """Rows that know their number ``__row`` and their series' ``__length``, with copies where a
+    neighbouring segment needs them."""
+    size = _size(segment, ctx.back, ctx.ahead)
     own = F.floor(F.col("__row") / size)
-    following = F.when((own + 1) * size - F.col("__row") <= ctx.back, own + 1)
+    reaches = (own + 1) * size - F.col("__row") <= ctx.back
+    following = F.when(reaches & ((own + 1) * size < F.col("__length")), own + 1)
     previous = F.when((own > 0) & (F.col("__row") - own * size < ctx.ahead), own - 1)
     copies = F.array_compact(F.array(own, following, previous))
     return (
@@ -275,7 +290,7 @@ def _finish(df: DataFrame, ctx: SeriesContext, keep: Sequence[str] = ()) -> Data
     if not carried_on:
         return own
     own = stage(own.drop(*[c for c in own.columns if c.startswith("__")
-                           and c not in ("__seg", "__row", *keep)]), "segments")
+                           and c not in ("__seg", "__row", "__length", *keep)]), "segments")
     parts = [*ctx.keys, "__seg"]
     at_end = own.groupBy(*parts).agg(*[
         F.max_by(name, F.when(F.col(name).isNotNull(), F.col("__row"))).alias(f"__t_{name}")
@@ -284,11 +299,12 @@ def _finish(df: DataFrame, ctx: SeriesContext, keep: Sequence[str] = ()) -> Data
     earlier = Window.partitionBy(*ctx.keys).orderBy("__seg").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = at_end.select(
+    # Written, so that Spark sees how few they are: then the segments need no further shuffle.
+    carried = stage(at_end.select(
         *parts,
         *[F.sum(f"__t_{n}").over(earlier).alias(f"__c_{n}") for n in ctx.totals],
         *[F.last(f"__t_{n}", ignorenulls=True).over(earlier).alias(f"__c_{n}") for n in ctx.seen],
-    )
+    ), "carried")
     done = own.join(carried, parts)
     for name in ctx.totals:
         start = F.coalesce(F.col(f"__c_{name}"), F.lit(0.0))
@@ -305,11 +321,13 @@ def along_series(
     order: str = "date",
     daily: bool = False,
     segment: int = SEGMENT_ROWS,
+    dealt: bool = False,
 ) -> DataFrame:
     """Add the columns ``build`` describes to every row of every key's series.
 
     Rows without a key belong to no series and are left out. ``daily`` states that a key
-    has at most one row per day, which bounds the series; any other is cut into segments.
+    has at most one row per day, which bounds the series; any other is cut into segments. ``dealt``
+    deals daily series to as many tasks as their files ask for, so that a task's memory does not grow.
     """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
@@ -318,12 +336,20 @@ def along_series(
     if ctx.split:
         laid = _cut(df, ctx, stages, segment)
     else:
+        df = dealt_out(df, keys) if dealt else df
         plain = Window.partitionBy(*keys).orderBy(order)
         laid = df.withColumn("__row", (F.row_number().over(plain) - 1).cast("bigint"))
         laid = _staged(laid.withColumn("__pos", F.col("__row")), ctx, stages)
     return laid.drop(*[c for c in laid.columns if c.startswith("__")])
 
 
+def dealt_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dealt by key to a task for every TASK_BYTES of its files, where the session plans fewer tasks."""
+    tasks = estimated_bytes(df) // TASK_BYTES
+    planned = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys) if tasks > planned else df
+
+
 def _staged(laid: DataFrame, ctx: SeriesContext, stages: Stages) -> DataFrame:
     if ctx.blocks:
         laid = laid.withColumns(ctx.blocks)
@@ -334,6 +360,33 @@ def _staged(laid: DataFrame, ctx: SeriesContext, stages: Stages) -> DataFrame:
 
 
 def _cut(df: DataFrame, ctx: SeriesContext, stages: Stages, segment: int) -> DataFrame:
+    """All stages on series of any length: those that fit into one segment are laid out whole, longer ones
+    in segments. Rows are written and numbered once."""
+    placed, starts = _placed(df, ctx.keys, ctx.order)
+    starts = stage(starts, "starts")
+    keys, size = [*ctx.keys], _size(segment, *reach_of(ctx, stages))
+    cut = F.col("__length") > size
+    found = starts.agg(F.count_if(cut).alias("cut"), F.count_if(~cut).alias("whole")).first()
+    if not found.cut:
+        return _whole(placed, ctx, stages)
+    numbered = placed.join(starts.where(cut), [*keys, "__part"]).withColumn("__row", F.col("__at") + F.col("__shift"))
+    laid = _in_segments(numbered.drop("__at", "__part", "__shift"), ctx, stages, segment)
+    if not found.whole:
+        return laid
+    short = placed.join(starts.where(~cut).select(*keys, "__part"), [*keys, "__part"])
+    columns = [c for c in laid.columns if not c.startswith("__")]
+    return laid.select(*columns).unionAll(_whole(short, ctx, stages).select(*columns))
+
+
+def _whole(placed: DataFrame, ctx: SeriesContext, stages: Stages) -> DataFrame:
+    """Each series as its own only segment: nothing is copied, nothing is left to be completed."""
+    whole = placed.drop("__part").withColumn("__seg", F.lit(0).cast("bigint")).withColumn("__own", F.lit(True))
+    place = F.row_number().over(Window.partitionBy(*ctx.keys, "__seg").orderBy(ctx.order, "__at"))
+    numbered = whole.withColumn("__row", (place - 1).cast("bigint")).drop("__at")
+    return _staged(numbered.withColumn("__pos", F.col("__row")), ctx, stages)
+
+
+def _in_segments(df: DataFrame, ctx: SeriesContext, stages: Stages, segment: int) -> DataFrame:
     """All stages on segments; after each phase its running columns are finished."""
     phases = _phases(ctx, stages)
     made: list[str] = []
@@ -347,5 +400,5 @@ def _cut(df: DataFrame, ctx: SeriesContext, stages: Stages, segment: int) -> Dat
         made += [n for n in names if n.startswith("__")] if i < len(phases) - 1 else []
         df = _finish(_staged(_segments(df, now, segment), now, part), now, made)
         if i < len(phases) - 1:
-            df = df.drop("__seg", "__row", "__own", "__pos")
+            df = df.drop("__seg", "__own", "__pos")
     return df
