@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickertone import Settings
 from tickertone.operators import assemble as asm
-from tickertone.operators import news
+from tickertone.operators import news, series
 from tickertone.plans.dataset import assemble, build_dataset, scale
 
 D = [DAY0 + dt.timedelta(days=i) for i in range(60)]
@@ -129,3 +129,18 @@ def test_hot_day_and_hot_copies(spark):
 
 def test_settings_defaults():
     assert Settings().lookback == 10 and len(Settings().indicators) == 8
+
+
+def test_large_daily_series_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    """Files of more than the session's tasks' worth: more tasks, none with more tickers, the same rows."""
+    bars = spark.range(3000).select(
+        F.date_add(F.lit(DAY0), (F.col("id") % 50).cast("int")).alias("date"),
+        (F.col("id") / 50).cast("int").alias("ticker"), F.rand(3).alias("close"))
+    bars.write.parquet(str(tmp_path / "bars"))
+    read = spark.read.parquet(str(tmp_path / "bars"))
+    plain = asm.with_next_close(read, daily=True)
+    monkeypatch.setattr(series, "TASK_BYTES", 1000)
+    dealt = asm.with_next_close(read, daily=True, dealt=True)
+    assert rows_by_date(dealt).equals(rows_by_date(plain))
+    tasks = dealt.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
