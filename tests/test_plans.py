@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tickertone.operators import news, samples
 from tickertone.operators.assemble import with_direction, with_next_close
 from tickertone.operators.indicators import with_indicators
-from tickertone.plans.dataset import assemble
+from tickertone.plans import catalog
+from tickertone.plans.dataset import assemble, build_dataset
+from tickertone.plans.evaluate import fit_variants, variant_samples
 from tickertone.sources import readers, views, writers
 
 SF = "/root/testdata/sf0.001"
@@ -122,3 +124,22 @@ def test_buckets_are_overwritten_and_read_again(spark, tmp_path):
         assert readers.read_buckets(spark, path).count() == n * 100
     files = [f for f in (tmp_path / "t").iterdir() if f.suffix == ".parquet"]
     assert 1 <= len(files) <= 5
+
+
+def test_training_stages_no_sequences_and_shuffles_no_series(spark):
+    """From the tables to trained models: the bars are dealt by ticker once, steps are written once."""
+    said = catalog._model_b(spark, SF)
+    first = len(session._staged)
+    best = news.daily_tone_most_confident(views.scored_headlines(spark, SF))
+    plain = build_dataset(views.bars(spark, SF), views.vix(spark, SF), best, daily=True)
+    data = catalog._dataset(spark, SF, in_buckets=True)
+    assert sorted(map(tuple, data.collect())) == sorted(map(tuple, plain.select(*data.columns).collect()))
+    fitted, test = fit_variants(data, said, settings=Settings(max_epochs=2), daily=True, keyed=True)
+    assert set(fitted) == set(test) and all(m.history.count() == 2 for m in fitted.values())
+    for path in session._staged[first:]:
+        folder = f"{path}/table" if os.path.exists(f"{path}/table") else path
+        assert "seq" not in spark.read.parquet(folder).columns
+    for made in (test["cnn_fusion"], variant_samples(data, "finbert_fusion", staged=False, daily=True)):
+        assert "Bucketed: true" in plan(made) and "Exchange hashpartitioning" not in plan(made)
+        counts = plan(made.groupBy("split").agg(F.count(F.lit(1))))
+        assert "collect_list" not in counts
